@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickfold.functions.columns import running_product
+from tickfold.session import stage
 
 # Library defaults the results depend on.
 PERIODS_PER_YEAR = 252
@@ -51,14 +52,18 @@ def price_vectors(history: DataFrame) -> DataFrame:
 
     At most n prices meet in a row, in ticker order; a basket's names are those with any row in the history.
     """
-    by_date = history.groupBy("date_r", "date").agg(
-        F.sort_array(F.collect_list(F.struct("ticker", "adj_close"))).alias("cells"),
-        F.count("adj_close").alias("n_prices"),
+    cells = F.sort_array(F.collect_list(F.struct("ticker", "adj_close")))
+    by_date = history.groupBy("date_r", "date").agg(cells.alias("cells"))
+    # counted on the grouped rows, so both uses share one shuffle of the history
+    names = (
+        by_date.select("date_r", F.explode("cells.ticker").alias("ticker"))
+        .groupBy("date_r")
+        .agg(F.count_distinct("ticker").alias("basket_size"))
     )
-    names = history.groupBy("date_r").agg(F.count_distinct("ticker").alias("basket_size"))
+    priced = F.size(F.filter("cells", lambda c: c["adj_close"].isNotNull()))
     return (
         by_date.join(names, "date_r")
-        .filter(F.col("n_prices") == F.col("basket_size"))
+        .filter(priced == F.col("basket_size"))
         .select(
             "date_r",
             "date",
@@ -300,42 +305,52 @@ def positions(weights: DataFrame, picks: DataFrame, schedule: DataFrame) -> Data
 def position_prices(held: DataFrame, panel: DataFrame, rows: int | None = None) -> DataFrame:
     """Opening prices on the first and last day of the holding period (missing stays missing).
 
-    The panel is first cut down to the (ticker, date) pairs in demand, so the outer joins that follow see few rows.
+    One pass over the panel looks up both days of every position; the end price must belong to the company of the start
+    price. The outer join then meets few rows.
     """
-    demand = held.select(
-        "ticker", F.explode(F.array("period_start_date", "period_end_date")).alias("date")
-    ).distinct()
-    quotes = panel.select("ticker", "simfinid", "comp_name", "date", "open").join(
-        _small(demand, None if rows is None else 2 * rows), ["ticker", "date"], "left_semi"
+    sides = F.array(
+        F.struct(F.lit(True).alias("starts"), F.col("period_start_date").alias("on")),
+        F.struct(F.lit(False).alias("starts"), F.col("period_end_date").alias("on")),
     )
-    start = quotes.select(
-        "ticker", "simfinid", "comp_name", F.col("date").alias("period_start_date"), F.col("open").alias("open_start_date")
+    demand = held.select(F.col("date").alias("date_r"), "ticker", F.explode(sides).alias("s")).select(
+        "date_r", "ticker", "s.starts", F.col("s.on").alias("date")
     )
-    end = quotes.select(
-        "ticker", "simfinid", "comp_name", F.col("date").alias("period_end_date"), F.col("open").alias("open_end_date")
-    )
-    return (
-        held.join(start, ["ticker", "period_start_date"], "left")
-        .join(end, ["ticker", "simfinid", "comp_name", "period_end_date"], "left")
-        .select(
-            "date", "simfinid", "comp_name", "ticker", "weights", "month_end_date", "period_start_date",
-            "period_end_date", "open_start_date", "open_end_date",
+    quotes = (
+        panel.select("ticker", "simfinid", "comp_name", "date", "open")
+        .join(_small(demand, None if rows is None else 2 * rows), ["ticker", "date"])
+        .groupBy(F.col("date_r").alias("date"), "ticker", "simfinid", "comp_name")
+        .agg(
+            F.count_if("starts").alias("n_start"),
+            F.max(F.when(F.col("starts"), F.col("open"))).alias("open_start_date"),
+            F.max(F.when(~F.col("starts"), F.col("open"))).alias("open_end_date"),
         )
+        .filter("n_start > 0")
+        .drop("n_start")
     )
+    return held.join(quotes, ["date", "ticker"], "left").select(
+        "date", "simfinid", "comp_name", "ticker", "weights", "month_end_date", "period_start_date",
+        "period_end_date", "open_start_date", "open_end_date",
+    )
 
 
-def portfolio_amounts(priced: DataFrame, initial: float) -> DataFrame:
-    """Amount invested on each rebalancing date.
+def _growth():
+    """What one unit invested at the start is worth at the end; names without an end price are lost."""
+    return F.coalesce(F.sum(F.col("weights") * F.try_divide("open_end_date", "open_start_date")), F.lit(0.0))
+
 
-    Every period reinvests the last one's end amount, so the amount is the initial value times the product of all
-    earlier growth factors: a window over one row per period, no loop. A basket without any end price ends at zero.
+def _carried(initial: float):
+    """Amount at the start of a period: the initial value times the growth of all earlier periods.
+
+    Every period reinvests the last one's end amount; as a product over one row per period this needs no loop.
     """
-    growth = F.coalesce(
-        F.sum(F.col("weights") * F.try_divide("open_end_date", "open_start_date")), F.lit(0.0)
-    )
-    periods = priced.groupBy("date").agg(growth.alias("growth"))
     earlier = running_product("growth", Window.orderBy("date"), last=-1)
-    return periods.select("date", (F.lit(initial) * F.coalesce(earlier, F.lit(1.0))).alias("portfolio_amount"))
+    return F.lit(initial) * F.coalesce(earlier, F.lit(1.0))
+
+
+def portfolio_amounts(priced: DataFrame, initial: float) -> DataFrame:
+    """Amount invested on each rebalancing date."""
+    periods = priced.groupBy("date").agg(_growth().alias("growth"))
+    return periods.select("date", _carried(initial).alias("portfolio_amount"))
 
 
 def position_values(priced: DataFrame, initial: float) -> DataFrame:
@@ -364,17 +379,42 @@ def period_returns(values: DataFrame) -> DataFrame:
 
 
 def backtest(priced: DataFrame, initial: float) -> DataFrame:
-    """Period totals with the compounded return."""
-    periods = period_returns(position_values(priced, initial))
-    return periods.withColumn("rolling_returns", running_product("period_return", Window.orderBy("date")))
+    """Totals per period with the compounded return.
+
+    Equal to :func:`period_returns` over :func:`position_values`, but the totals per unit invested come first, so the
+    positions are read once and everything after has one row per period.
+    """
+    periods = priced.groupBy("date").agg(
+        F.max("period_start_date").alias("period_start_date"),
+        F.max("period_end_date").alias("period_end_date"),
+        F.coalesce(F.sum("weights"), F.lit(0.0)).alias("invested"),
+        _growth().alias("growth"),
+    )
+    amounts = periods.withColumn("amount", _carried(initial)).select(
+        "date",
+        "period_start_date",
+        "period_end_date",
+        (F.col("amount") * F.col("invested")).alias("begin_dollar_amount"),
+        (F.col("amount") * F.col("growth")).alias("end_dollar_amount"),
+    )
+    returns = amounts.withColumn("period_return", F.try_divide("end_dollar_amount", "begin_dollar_amount"))
+    return returns.withColumn("rolling_returns", running_product("period_return", Window.orderBy("date")))
+
+
+def _staged_weights(
+    picks: DataFrame, panel: DataFrame, schedule: DataFrame, confidence: float, rows: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """Picks on the schedule's month ends and their weights, written once: several joins below read them."""
+    dates = F.broadcast(schedule.select(F.col("month_end_date").alias("date")))
+    chosen = stage(picks.join(dates, "date", "left_semi"), "picks")
+    return chosen, stage(optimal_weights(chosen, panel, confidence, rows), "weights")
 
 
 def portfolio_backtesting(
     picks: DataFrame, panel: DataFrame, schedule: DataFrame, initial: float, confidence: float, rows: int | None = None
 ) -> DataFrame:
     """Weights for every month end of the schedule, held for the following period and compounded."""
-    chosen = picks.join(F.broadcast(schedule.select(F.col("month_end_date").alias("date"))), "date", "left_semi")
-    weights = optimal_weights(chosen, panel, confidence, rows)
+    chosen, weights = _staged_weights(picks, panel, schedule, confidence, rows)
     return backtest(position_prices(positions(weights, chosen, schedule), panel, rows), initial).drop("date")
 
 
@@ -382,6 +422,5 @@ def portfolio_optimization(
     picks: DataFrame, panel: DataFrame, schedule: DataFrame, confidence: float, rows: int | None = None
 ) -> DataFrame:
     """Production weights with the opening price of the coming period, where it is already known."""
-    chosen = picks.join(F.broadcast(schedule.select(F.col("month_end_date").alias("date"))), "date", "left_semi")
-    weights = optimal_weights(chosen, panel, confidence, rows)
+    chosen, weights = _staged_weights(picks, panel, schedule, confidence, rows)
     return position_prices(positions(weights, chosen, schedule), panel, rows).drop("date", "open_end_date")
