@@ -25,33 +25,33 @@ def _unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def profile_numeric(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """One row per numeric column: counts, extremes, mean, spread, shape and quantiles.
 
-    One aggregation pass. Quantiles come from a mergeable sketch whose size depends on ``accuracy`` alone (rank error
-    at most 1/accuracy), so no task ever holds a column's values.
+    Columns are turned into rows inside the scan and folded per task, so the shuffle carries one partial state per
+    column and task, for narrow and wide tables alike. Quantiles come from a mergeable sketch whose size depends on
+    ``accuracy`` alone (rank error at most 1/accuracy; exact up to that many rows): no task ever holds a column.
     """
-    stats = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        stats.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count(x).alias("n_values"),
-                F.count_if(x.isNull()).alias("n_missing"),
-                F.count_if(x == 0).alias("n_zeros"),
-                F.count_if(x < 0).alias("n_negative"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.skewness(x).alias("skewness"),
-                F.kurtosis(x).alias("kurtosis"),
-                F.percentile_approx(x, list(QUANTILES.values()), accuracy).alias("q"),
-            )
-        )
-    wide = df.agg(F.array(*stats).alias("stats"))
-    rows = wide.select(F.inline("stats"))
-    quantiles = [F.get("q", F.lit(i)).alias(name) for i, name in enumerate(QUANTILES)]
-    return rows.select("*", *quantiles).drop("q")
+    cells = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])
+        ).alias("cell")
+    ).select("cell.column", "cell.x")
+    x, n = F.col("x"), F.count("x")
+    skew, kurt = F.skewness(x), F.kurtosis(x)
+    sketch = cells.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        n.alias("n_values"),
+        F.count_if(x.isNull()).alias("n_missing"),
+        F.count_if(x == 0).alias("n_zeros"),
+        F.count_if(x < 0).alias("n_negative"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        # sample-adjusted, as usual in table profiles
+        F.when(n > 2, skew * F.sqrt(n * (n - 1.0)) / (n - 2)).alias("skewness"),
+        F.when(n > 3, (kurt * (n + 1) + 6) * (n - 1) / ((n - 2) * (n - 3.0))).alias("kurtosis"),
+        F.percentile_approx(x, list(QUANTILES.values()), accuracy).alias("q"),
+    )
+    return sketch.select("*", *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(QUANTILES)]).drop("q")
 
 
 def profile_distinct(df: DataFrame, columns: Sequence[str], rsd: float | None = None) -> DataFrame:

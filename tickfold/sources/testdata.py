@@ -9,8 +9,18 @@ CALENDAR_START = "1995-01-02"
 CALENDAR_END = "2001-10-31"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared, so building a plan runs no footer-reading job per table.
+SCHEMAS = {
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey long, p_retailprice double",
+    "lineitem": "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ticker(column: str):
@@ -18,7 +28,7 @@ def _ticker(column: str):
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("long").alias("SimFinId"),
         _ticker("s_suppkey").alias("Ticker"),
         F.col("s_name").alias("Company Name"),
@@ -27,7 +37,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("long").alias("IndustryId"),
         F.col("r_name").alias("Sector"),
@@ -38,13 +48,13 @@ def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier and ship date, plus one empty row per supplier on the first calendar day."""
     shipped = (
-        _table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem")
         .select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
         # on the raw column, so both bounds reach the Parquet scan
         .filter((F.col("l_shipdate") >= CALENDAR_START) & (F.col("l_shipdate") < F.date_add(F.lit(CALENDAR_END), 1)))
         .filter(F.weekday("l_shipdate") < 5)
     )
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     sales = shipped.join(part, shipped.l_partkey == part.p_partkey).select(
         F.col("l_suppkey").cast("long").alias("SimFinId"),
         F.col("l_shipdate").cast("date").alias("Date"),
@@ -54,7 +64,7 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("boolean").alias("listed"),
     )
     nothing = F.lit(None).cast("double")
-    listed = _table(spark, sf_dir, "supplier").select(
+    listed = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("long").alias("SimFinId"),
         F.lit(CALENDAR_START).cast("date").alias("Date"),
         nothing.alias("price"),
@@ -143,6 +153,6 @@ def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def data_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First and last ship date: one row (start, end)."""
-    return _table(spark, sf_dir, "lineitem").agg(
+    return table(spark, sf_dir, "lineitem").agg(
         F.min("l_shipdate").cast("date").alias("start"), F.max("l_shipdate").cast("date").alias("end")
     )
