@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,13 +15,16 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """``df`` itself, failing at run time when a key repeats.
 
-    The check rides in the plan: rows already clustered and sorted for the join (or any later window on a prefix of
-    ``keys``) are compared with their neighbour, so it costs no action and no further shuffle or sort.
+    The check rides in the plan: rows clustered by the first key and sorted by the others, as the join and the windows
+    want them anyway, are compared with the row before. It costs no action and no further shuffle or sort. Rows a later
+    filter on the keys removes before the join are not checked.
     """
-    order = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.col(f"`{keys[-1]}`"))
-    seen = F.row_number().over(order)
-    message = F.concat(
-        F.lit(f"{what}: duplicate key "), F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]))
+    columns = [f"`{k}`" for k in keys]
+    order = f"(PARTITION BY {columns[0]} ORDER BY {', '.join(columns[1:] or columns)})"
+    same = " AND ".join(f"_before_{i} = {c}" for i, c in enumerate(columns))
+    message = f"concat('{what}: duplicate key ', to_json(struct({', '.join(columns)})))"
+    return (
+        df.selectExpr("*", *[f"lag({c}) OVER {order} AS _before_{i}" for i, c in enumerate(columns)])
+        .filter(f"CASE WHEN {same} THEN CAST(raise_error({message}) AS BOOLEAN) ELSE true END")
+        .drop(*[f"_before_{i}" for i in range(len(columns))])
     )
-    single = F.when(F.col("_seen") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return df.withColumn("_seen", seen).filter(single).drop("_seen")

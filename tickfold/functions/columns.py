@@ -22,51 +22,46 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def panel_window() -> WindowSpec:
-    """Row order of the daily panel.
-
-    Year and month lead the sort order although the date implies them: the per-month count can then use the same
-    sorted partitions as all rolling and lag windows, so the panel is sorted once.
-    """
-    return Window.partitionBy("ticker").orderBy("year", "month", "date", "simfinid")
-
-
-def month_window() -> WindowSpec:
-    """Row order of month-end tables, unique per ticker and date."""
-    return Window.partitionBy("ticker").orderBy("date")
+# Row order of the daily panel. Year and month lead the sort order although the date implies them: the per-month count
+# can then use the same sorted partitions as all rolling and lag windows, so the panel is sorted once.
+PANEL_ORDER = "PARTITION BY ticker ORDER BY year, month, date, simfinid"
+# Row order of month-end tables, unique per ticker and date.
+MONTH_ORDER = "PARTITION BY ticker ORDER BY date"
 
 
 def with_date_parts(df: DataFrame) -> DataFrame:
     if {"year", "month", "day"} <= set(df.columns):
         return df
-    return df.withColumns(
-        {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}
-    )
+    return df.withColumns({"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")})
 
 
-def first_value_index(column: str, window: WindowSpec) -> Column:
+# Window columns are written as SQL text: a wide table needs hundreds of them, and text is one call each.
+
+
+def first_value_index(column: str, order: str = PANEL_ORDER) -> Column:
     """Value relative to the first non-missing value of the group; a zero first value gives NULL.
 
     The running frame is enough: up to the first non-missing row the quotient is NULL either way, and it lets Spark
     stream the group instead of buffering it.
     """
-    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.try_divide(F.col(column), F.first(column, ignorenulls=True).over(running))
+    frame = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return F.expr(f"try_divide({column}, first({column}, true) OVER {frame})")
 
 
-def rolling(aggregate: Column, column: str, rows: int, min_rows: int, window: WindowSpec) -> Column:
+def rolling(aggregate: str, column: str, rows: int, min_rows: int, order: str = PANEL_ORDER) -> Column:
     """``aggregate`` over the last ``rows`` rows, NULL with fewer than ``min_rows`` non-missing values."""
-    frame = window.rowsBetween(1 - rows, 0)
-    return F.when(F.count(column).over(frame) >= min_rows, aggregate.over(frame))
+    frame = f"({order} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    return F.expr(f"CASE WHEN count({column}) OVER {frame} >= {min_rows} THEN {aggregate} OVER {frame} END")
+
+
+def lag_column(column: str, rows: int, order: str = PANEL_ORDER) -> Column:
+    return F.expr(f"lag({column}, {rows}) OVER ({order})")
 
 
-def lag_by(column: str, offset: Column, offsets: Iterable[int], window: WindowSpec) -> Column:
+def lag_by(column: str, offset: str, offsets: Iterable[int], order: str = PANEL_ORDER) -> Column:
     """``lag`` with an offset that differs by row; NULL when the offset is not one of ``offsets``."""
-    picked = None
-    for k in offsets:
-        value = F.lag(column, k).over(window)
-        picked = F.when(offset == k, value) if picked is None else picked.when(offset == k, value)
-    return picked
+    cases = " ".join(f"WHEN {k} THEN lag({column}, {k}) OVER ({order})" for k in offsets)
+    return F.expr(f"CASE {offset} {cases} END")
 
 
 def running_product(column: str | Column, window: WindowSpec, last: int = 0) -> Column:

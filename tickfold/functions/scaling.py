@@ -13,8 +13,9 @@ def double_columns(df: DataFrame, skip: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType) and f.name not in skip]
 
 
-def safe_spread(spread: Column) -> Column:
-    return F.when(spread == 0, F.lit(1.0)).otherwise(spread)
+def _statistics(columns: list[str]) -> list[Column]:
+    means = [F.expr(f"avg(`{c}`) AS `avg_{c}`") for c in columns]
+    return means + [F.expr(f"coalesce(nullif(stddev_pop(`{c}`), 0D), 1D) AS `std_{c}`") for c in columns]
 
 
 @dataclass(frozen=True)
@@ -26,10 +27,7 @@ class ZScore:
 
     @staticmethod
     def fit(df: DataFrame, columns: list[str]) -> "ZScore":
-        row = df.agg(
-            *[F.avg(c).alias(f"avg_{c}") for c in columns],
-            *[safe_spread(F.stddev_pop(c)).alias(f"std_{c}") for c in columns],
-        ).first()
+        row = df.agg(*_statistics(columns)).first()
         return ZScore({c: row[f"avg_{c}"] for c in columns}, {c: row[f"std_{c}"] for c in columns})
 
     def scaled(self, column: str) -> Column:
@@ -50,14 +48,8 @@ def zscore_by(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     Statistics are aggregated first (partial sums per task) and joined back, instead of a window per group: a month's
     cross-section can hold any share of the rows, and a window would put it into one task.
     """
-    stats = df.groupBy(group).agg(
-        *[F.avg(c).alias(f"avg_{c}") for c in columns],
-        *[safe_spread(F.stddev_pop(c)).alias(f"std_{c}") for c in columns],
-    )
+    stats = df.groupBy(group).agg(*_statistics(columns))
     joined = df.join(stats, group)
     return joined.select(
-        *[
-            ((F.col(c) - F.col(f"avg_{c}")) / F.col(f"std_{c}")).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+        *[F.expr(f"(`{c}` - `avg_{c}`) / `std_{c}` AS `{c}`") if c in columns else F.col(c) for c in df.columns]
     )

@@ -1,6 +1,6 @@
 """From the filtered daily panel to the modeling table.
 
-All daily steps share :func:`panel_window`: one partitioning by ticker, one sort. A ticker has at most one row per
+All daily steps share ``PANEL_ORDER``: one partitioning by ticker, one sort. A ticker has at most one row per
 session (checked when the inputs are joined), so its group is bounded by the calendar, not by the size of the panel.
 """
 
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tickfold.config import TARGET, rolling_name
 from tickfold.functions.columns import (
+    MONTH_ORDER,
+    PANEL_ORDER,
     first_value_index,
     lag_by,
-    month_window,
-    panel_window,
+    lag_column,
     rolling,
     with_date_parts,
 )
@@ -30,11 +31,10 @@ HALF_YEAR_ROWS, YEAR_ROWS, PRIOR_MONTH_ROWS = 121, 247, 47
 
 def create_returns(panel: DataFrame, change_index: Sequence[str]) -> DataFrame:
     """Adds ``return_index`` and ``<column>_index``: each value relative to the ticker's first."""
-    df, w = with_date_parts(panel), panel_window()
-    return df.withColumns(
+    return with_date_parts(panel).withColumns(
         {
-            "return_index": first_value_index("adj_close", w),
-            **{f"{c}_index": first_value_index(c, w) for c in change_index},
+            "return_index": first_value_index("adj_close"),
+            **{f"{c}_index": first_value_index(c) for c in change_index},
         }
     )
 
@@ -43,16 +43,15 @@ def create_rolling_values(
     returns: DataFrame, sum_columns: Sequence[str], avg_columns: Sequence[str], median_columns: Sequence[str]
 ) -> DataFrame:
     """Rolling sums and means over 7 and 11 rows, rolling medians over 30 rows (at least 11)."""
-    df, w = with_date_parts(returns), panel_window()
     out = {}
     for days in (SHORT, LONG):
         for c in sum_columns:
-            out[rolling_name(days, f"sum_{c}")] = rolling(F.sum(c), c, days, days, w)
+            out[rolling_name(days, f"sum_{c}")] = rolling(f"sum({c})", c, days, days)
         for c in avg_columns:
-            out[rolling_name(days, f"avg_{c}")] = rolling(F.avg(c), c, days, days, w)
+            out[rolling_name(days, f"avg_{c}")] = rolling(f"avg({c})", c, days, days)
     for c in median_columns:
-        out[f"roll_{MEDIAN}day_med_{c}"] = rolling(F.percentile(c, F.lit(0.5)), c, MEDIAN, MEDIAN_MIN, w)
-    return df.withColumns(out)
+        out[f"roll_{MEDIAN}day_med_{c}"] = rolling(f"percentile({c}, 0.5D)", c, MEDIAN, MEDIAN_MIN)
+    return with_date_parts(returns).withColumns(out)
 
 
 def days_in_month(panel: DataFrame) -> DataFrame:
@@ -79,43 +78,42 @@ def _rolled(sum_columns: Iterable[str], avg_columns: Iterable[str]) -> list[str]
 
 def lag_1m(df: DataFrame, sum_columns: Sequence[str], avg_columns: Sequence[str]) -> DataFrame:
     """One month back for the 7-day values: three rows less than the month has (19 to 23 rows)."""
-    w, offset = panel_window(), F.col("days_in_month") - 3
     offsets = [d - 3 for d in MONTH_LENGTHS]
     return df.withColumns(
         {
-            f"{rolling_name(SHORT, s)}_1m_lag": lag_by(rolling_name(SHORT, s), offset, offsets, w)
+            f"{rolling_name(SHORT, s)}_1m_lag": lag_by(rolling_name(SHORT, s), "days_in_month - 3", offsets)
             for s in _rolled(sum_columns, avg_columns)
         }
     )
 
 
-def offset_3m():
+def offset_3m(this: str = "days_in_month", prior: str = "prior_days_in_month") -> str:
     """Rows back for the three-month lag, from the lengths of this month and of the month 47 rows back."""
-    this, prior = F.col("days_in_month"), F.col("prior_days_in_month")
-    known = this.between(MONTH_LENGTHS[0], MONTH_LENGTHS[-1]) & prior.between(MONTH_LENGTHS[0], MONTH_LENGTHS[-1])
-    return F.when(known, this + 36 + F.greatest(F.lit(0), prior - 21))
+    low, high = MONTH_LENGTHS[0], MONTH_LENGTHS[-1]
+    known = f"{this} BETWEEN {low} AND {high} AND {prior} BETWEEN {low} AND {high}"
+    return f"CASE WHEN {known} THEN {this} + 36 + greatest(0, {prior} - 21) END"
 
 
 def lag_3m(df: DataFrame, sum_columns: Sequence[str], avg_columns: Sequence[str]) -> DataFrame:
-    """Three months back for the 11-day values."""
-    w = panel_window()
-    with_offset = df.withColumn(
-        "prior_days_in_month", F.lag("days_in_month", PRIOR_MONTH_ROWS).over(w)
-    ).withColumn("offset_3m", offset_3m())
+    """Three months back for the 11-day values.
+
+    The offset is part of the expression, not a column of its own, so all lags end up in one window operator.
+    """
+    prior = f"lag(days_in_month, {PRIOR_MONTH_ROWS}) OVER ({PANEL_ORDER})"
+    offset = offset_3m(prior=f"({prior})")
     offsets = range(MONTH_LENGTHS[0] + 36, MONTH_LENGTHS[-1] + 36 + 3)
-    return with_offset.withColumns(
+    return df.withColumns(
         {
-            f"{rolling_name(LONG, s)}_3m_lag": lag_by(rolling_name(LONG, s), F.col("offset_3m"), offsets, w)
+            f"{rolling_name(LONG, s)}_3m_lag": lag_by(rolling_name(LONG, s), offset, offsets)
             for s in _rolled(sum_columns, avg_columns)
         }
-    ).drop("prior_days_in_month", "offset_3m")
+    )
 
 
 def _fixed_lag(df: DataFrame, sum_columns, avg_columns, rows: int, suffix: str) -> DataFrame:
-    w = panel_window()
     return df.withColumns(
         {
-            f"{rolling_name(LONG, s)}_{suffix}_lag": F.lag(rolling_name(LONG, s), rows).over(w)
+            f"{rolling_name(LONG, s)}_{suffix}_lag": lag_column(rolling_name(LONG, s), rows)
             for s in _rolled(sum_columns, avg_columns)
         }
     )
@@ -141,13 +139,10 @@ def lagged_rolling_returns(
 
 def month_end(daily: DataFrame) -> DataFrame:
     """Last row of each ticker and month: the row whose successor lies in another month."""
-    df = with_date_parts(daily)
-    following = F.lead(F.col("year") * 12 + F.col("month")).over(panel_window())
-    return (
-        df.withColumn("next_month", following)
-        .filter(F.col("next_month").isNull() | (F.col("next_month") != F.col("year") * 12 + F.col("month")))
-        .drop("next_month")
+    df = with_date_parts(daily).withColumns(
+        {name: F.expr(f"lead({name[5:]}) OVER ({PANEL_ORDER})") for name in ("next_year", "next_month")}
     )
+    return df.filter("next_month IS NULL OR next_month != month OR next_year != year").drop("next_year", "next_month")
 
 
 def get_monthly(daily: DataFrame, volume_floor: float) -> DataFrame:
@@ -163,18 +158,15 @@ def create_momentum_factors(
     lag_range: int,
 ) -> DataFrame:
     """Ratios (output, numerator, denominator) and row lags ``1 .. lag_range - 1`` of the ``lagged`` outputs."""
-    w = month_window()
-    factors = monthly.select(
-        *features, *[F.try_divide(numerator, denominator).alias(out) for out, numerator, denominator in ratios]
-    )
-    return factors.select(
-        "*", *[F.lag(c, k).over(w).alias(f"{c}_L{k}") for c in lagged for k in range(1, lag_range)]
-    )
+    quotients = [f"try_divide({numerator}, {denominator}) AS {out}" for out, numerator, denominator in ratios]
+    factors = monthly.select(*features, *map(F.expr, quotients))
+    lags = [f"lag({c}, {k}) OVER ({MONTH_ORDER}) AS {c}_L{k}" for c in lagged for k in range(1, lag_range)]
+    return factors.selectExpr("*", *lags)
 
 
 def lead_target(momentum: DataFrame, target: str = TARGET) -> DataFrame:
     """Adds next month's one-month momentum, taken before any row is dropped."""
-    return momentum.withColumn(target, F.lead("return_mom_1_0", 1).over(month_window()))
+    return momentum.withColumn(target, F.expr(f"lead(return_mom_1_0) OVER ({MONTH_ORDER})"))
 
 
 def create_modeling_data(

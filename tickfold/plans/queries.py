@@ -42,7 +42,7 @@ def register(function: Query) -> Query:
 def _rounded(df: DataFrame, *exact: str, digits: int = 6) -> DataFrame:
     """Doubles to ``digits`` places: sums over a window may be added in another order elsewhere."""
     rounded = set(double_columns(df)) - set(exact)
-    return df.select(*[F.round(F.col(n), digits).alias(n) if n in rounded else F.col(n) for n in df.columns])
+    return df.selectExpr(*[f"round(`{n}`, {digits}) AS `{n}`" if n in rounded else f"`{n}`" for n in df.columns])
 
 
 def _plain_names(df: DataFrame) -> DataFrame:

@@ -37,6 +37,8 @@ def local_session(app: str = "tickfold", cores: str = "*", partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # no call-site lookup for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
