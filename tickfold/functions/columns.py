@@ -48,10 +48,21 @@ def first_value_index(column: str, order: str = PANEL_ORDER) -> Column:
     return F.expr(f"try_divide({column}, first({column}, true) OVER {frame})")
 
 
-def rolling(aggregate: str, column: str, rows: int, min_rows: int, order: str = PANEL_ORDER) -> Column:
-    """``aggregate`` over the last ``rows`` rows, NULL with fewer than ``min_rows`` non-missing values."""
+def rolling(kind: str, column: str, rows: int, min_rows: int, order: str = PANEL_ORDER) -> Column:
+    """Sum, avg or median of the last ``rows`` rows, NULL with fewer than ``min_rows`` non-missing values.
+
+    The mean is the sum over the count the guard needs anyway: a sliding frame is folded anew for every row, so each
+    aggregate saved counts.
+    """
     frame = f"({order} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    return F.expr(f"CASE WHEN count({column}) OVER {frame} >= {min_rows} THEN {aggregate} OVER {frame} END")
+    count, total = f"count({column}) OVER {frame}", f"sum({column}) OVER {frame}"
+    value = {
+        "sum": total,
+        "avg": f"{total} / {count}",
+        # median() takes no frame in Spark, percentile() does
+        "median": f"percentile({column}, 0.5D) OVER {frame}",
+    }[kind]
+    return F.expr(f"CASE WHEN {count} >= {min_rows} THEN {value} END")
 
 
 def lag_column(column: str, rows: int, order: str = PANEL_ORDER) -> Column:

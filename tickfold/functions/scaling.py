@@ -46,7 +46,8 @@ def zscore_by(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Z-score within each group.
 
     Statistics are aggregated first (partial sums per task) and joined back, instead of a window per group: a month's
-    cross-section can hold any share of the rows, and a window would put it into one task.
+    cross-section can hold any share of the rows, and a window would put it into one task. ``df`` is read twice, so it
+    should be a stored table.
     """
     stats = df.groupBy(group).agg(*_statistics(columns))
     joined = df.join(stats, group)

@@ -46,11 +46,11 @@ def create_rolling_values(
     out = {}
     for days in (SHORT, LONG):
         for c in sum_columns:
-            out[rolling_name(days, f"sum_{c}")] = rolling(f"sum({c})", c, days, days)
+            out[rolling_name(days, f"sum_{c}")] = rolling("sum", c, days, days)
         for c in avg_columns:
-            out[rolling_name(days, f"avg_{c}")] = rolling(f"avg({c})", c, days, days)
+            out[rolling_name(days, f"avg_{c}")] = rolling("avg", c, days, days)
     for c in median_columns:
-        out[f"roll_{MEDIAN}day_med_{c}"] = rolling(f"percentile({c}, 0.5D)", c, MEDIAN, MEDIAN_MIN)
+        out[f"roll_{MEDIAN}day_med_{c}"] = rolling("median", c, MEDIAN, MEDIAN_MIN)
     return with_date_parts(returns).withColumns(out)
 
 

@@ -79,6 +79,11 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_predictions(_modeling(spark, sf_dir))
 
 
+def _staged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once: the market and the top picks are averaged in separate passes."""
+    return stage(_predictions(spark, sf_dir), "holdout_results")
+
+
 def _schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = calendar.clip_span(testdata.data_span(spark, sf_dir), S.schedule_start, S.schedule_end)
     return calendar.market_dates(calendar.trading_calendar(bounds, S.holidays), S.last_prediction)
@@ -423,7 +428,7 @@ def train_y(spark, sf_dir):
 
 @register
 def xsec_zscore(spark, sf_dir):
-    df = _modeling(spark, sf_dir).drop(TARGET)
+    df = _staged_modeling(spark, sf_dir).drop(TARGET)
     return _rounded(zscore_by(df, "date", double_columns(df)), digits=5)
 
 
@@ -580,12 +585,12 @@ def top_n(spark, sf_dir):
 
 @register
 def mean_returns(spark, sf_dir):
-    return _rounded(evaluate.mean_returns(_predictions(spark, sf_dir), S.top_n))
+    return _rounded(evaluate.mean_returns(_staged_predictions(spark, sf_dir), S.top_n))
 
 
 @register
 def performance_summary(spark, sf_dir):
-    return _rounded(evaluate.performance_summary(_predictions(spark, sf_dir), S.top_n))
+    return _rounded(evaluate.performance_summary(_staged_predictions(spark, sf_dir), S.top_n))
 
 
 # -- portfolio ----------------------------------------------------------------------------------------------------
