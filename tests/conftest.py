@@ -16,6 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = local_session("tests", "4", 4, "4g")
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("stage")))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("stage")))
     yield session
     session.stop()

@@ -140,7 +140,7 @@ def shrunk_covariance(returns: DataFrame) -> DataFrame:
     parallel and stay where the return window left them.
     """
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # by date, so the sums do not depend on how rows arrived
         x = np.array(pdf.sort_values("date")["returns"].tolist(), dtype="float64")
         sample, shrunk, share = _shrink(x)
