@@ -22,21 +22,24 @@ def _unpivot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).select("cell.column", "cell.value")
 
 
-def profile_numeric(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """One row per numeric column: counts, extremes, mean, spread, shape and quantiles.
-
-    Columns are turned into rows inside the scan and folded per task, so the shuffle carries one partial state per
-    column and task, for narrow and wide tables alike. Quantiles come from a mergeable sketch whose size depends on
-    ``accuracy`` alone (rank error at most 1/accuracy; exact up to that many rows): no task ever holds a column.
-    """
-    cells = df.select(
+def _cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, x) rows of numeric columns, inside one scan."""
+    return df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])
         ).alias("cell")
     ).select("cell.column", "cell.x")
+
+
+def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per numeric column: counts, extremes, mean, spread and shape.
+
+    Columns are turned into rows inside the scan and folded per task, so the shuffle carries one partial state per
+    column and task, for narrow and wide tables alike.
+    """
     x, n = F.col("x"), F.count("x")
     skew, kurt = F.skewness(x), F.kurtosis(x)
-    sketch = cells.groupBy("column").agg(
+    return _cells(df, columns).groupBy("column").agg(
         F.count(F.lit(1)).alias("n_rows"),
         n.alias("n_values"),
         F.count_if(x.isNull()).alias("n_missing"),
@@ -49,9 +52,19 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], accuracy: int = 10_00
         # sample-adjusted, as usual in table profiles
         F.when(n > 2, skew * F.sqrt(n * (n - 1.0)) / (n - 2)).alias("skewness"),
         F.when(n > 3, (kurt * (n + 1) + 6) * (n - 1) / ((n - 2) * (n - 3.0))).alias("kurtosis"),
-        F.percentile_approx(x, list(QUANTILES.values()), accuracy).alias("q"),
     )
-    return sketch.select("*", *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(QUANTILES)]).drop("q")
+
+
+def profile_quantiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """Quantiles per numeric column: the value at rank q * n, off by at most n / accuracy ranks.
+
+    A mergeable sketch, whose size depends on ``accuracy`` alone; with fewer values than half of it the result is exact.
+    No task ever holds a column.
+    """
+    sketch = _cells(df, columns).groupBy("column").agg(
+        F.percentile_approx("x", list(QUANTILES.values()), accuracy).alias("q")
+    )
+    return sketch.select("column", *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(QUANTILES)])
 
 
 def profile_distinct(df: DataFrame, columns: Sequence[str], rsd: float | None = None) -> DataFrame:

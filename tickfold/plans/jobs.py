@@ -74,9 +74,14 @@ def _panel(run: Run) -> DataFrame:
     return files.read_panel(run.spark, run.path("intro_cleaned_data"))
 
 
+def _profiled(df: DataFrame) -> DataFrame:
+    columns = double_columns(df)
+    return profile.profile_numeric(df, columns).join(profile.profile_quantiles(df, columns), "column")
+
+
 def raw_data_eda(run: Run) -> DataFrame:
     panel = _panel(run)
-    return run.save("cleaned_data_eda", profile.profile_numeric(panel, double_columns(panel)))
+    return run.save("cleaned_data_eda", _profiled(panel))
 
 
 def feature_engineering(run: Run) -> DataFrame:
@@ -85,7 +90,7 @@ def feature_engineering(run: Run) -> DataFrame:
 
 def final_data_eda(run: Run) -> DataFrame:
     modeling = run.load("modeling_data")
-    return run.save("eda_modeling_data", profile.profile_numeric(modeling, double_columns(modeling)))
+    return run.save("eda_modeling_data", _profiled(modeling))
 
 
 def train_test_splits(run: Run) -> None:

@@ -24,8 +24,6 @@ QUERIES: dict[str, Query] = {}
 PROFILED = ["open", "adj_close", "volume", "market_cap", "p_b", "p_fcf_quart", "p_fcf_ttm"]
 LAGGED = [c.momentum_name(n, 1) for n in c.MOMENTUM_SERIES]
 RATIOS = [out for out, _, _ in c.momentum_ratios()]
-# Rank error of the registered profile quantiles: one row in this many.
-ACCURACY = 200_000
 
 
 def register(function: Query) -> Query:
@@ -225,7 +223,12 @@ def clean_panel(spark, sf_dir):
 
 @register
 def profile_numeric(spark, sf_dir):
-    return _rounded(profile.profile_numeric(_panel(spark, sf_dir), PROFILED, ACCURACY), "min", "max", *profile.QUANTILES, digits=4)
+    return _rounded(profile.profile_numeric(_panel(spark, sf_dir), PROFILED), "min", "max", digits=4)
+
+
+@register
+def profile_quantiles(spark, sf_dir):
+    return profile.profile_quantiles(_panel(spark, sf_dir), PROFILED)
 
 
 @register
@@ -392,9 +395,7 @@ def modeling_data(spark, sf_dir):
 @register
 def profile_modeling(spark, sf_dir):
     df = _modeling(spark, sf_dir)
-    return _rounded(
-        profile.profile_numeric(df, double_columns(df), ACCURACY).drop("skewness", "kurtosis"), digits=5
-    )
+    return _rounded(profile.profile_numeric(df, double_columns(df)).drop("skewness", "kurtosis"), digits=5)
 
 
 @register
