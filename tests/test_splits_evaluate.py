@@ -58,8 +58,11 @@ def test_train_features_are_scaled_without_the_target(spark):
 
 
 def test_zscore_by_group(spark):
-    for row in zscore_by(monthly(spark), "date", ["x"]).collect():
-        assert abs(row.x) == pytest.approx(1)
+    for bound in (12, None):
+        out = zscore_by(monthly(spark), "date", ["x"], bound)
+        assert all(abs(row.x) == pytest.approx(1) for row in out.collect())
+    plan = zscore_by(monthly(spark), "date", ["x"], 12)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
 
 
 def predictions(spark):

@@ -42,14 +42,21 @@ class ZScore:
         return value * spread + mean
 
 
-def zscore_by(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
+# Largest statistics table (values) that is broadcast.
+BROADCAST_VALUES = 4_000_000
+
+
+def zscore_by(df: DataFrame, group: str, columns: list[str], max_groups: int | None = None) -> DataFrame:
     """Z-score within each group.
 
     Statistics are aggregated first (partial sums per task) and joined back, instead of a window per group: a month's
     cross-section can hold any share of the rows, and a window would put it into one task. ``df`` is read twice, so it
-    should be a stored table.
+    should be a stored table. ``max_groups`` is a proven bound on the groups, e.g. the months between two dates; if the
+    statistics are small by it they are broadcast and the rows of ``df`` never move.
     """
     stats = df.groupBy(group).agg(*_statistics(columns))
+    if max_groups is not None and max_groups * 2 * len(columns) <= BROADCAST_VALUES:
+        stats = F.broadcast(stats)
     joined = df.join(stats, group)
     return joined.select(
         *[F.expr(f"(`{c}` - `avg_{c}`) / `std_{c}` AS `{c}`") if c in columns else F.col(c) for c in df.columns]

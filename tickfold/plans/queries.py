@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 PROFILED = ["open", "adj_close", "volume", "market_cap", "p_b", "p_fcf_quart", "p_fcf_ttm"]
 LAGGED = [c.momentum_name(n, 1) for n in c.MOMENTUM_SERIES]
 RATIOS = [out for out, _, _ in c.momentum_ratios()]
+# one month end per month of the modeling table
+MONTHS = calendar.month_count(S.start_date, S.current_date)
 
 
 def register(function: Query) -> Query:
@@ -430,7 +432,7 @@ def train_y(spark, sf_dir):
 @register
 def xsec_zscore(spark, sf_dir):
     df = _staged_modeling(spark, sf_dir).drop(TARGET)
-    return _rounded(zscore_by(df, "date", double_columns(df)), digits=5)
+    return _rounded(zscore_by(df, "date", double_columns(df), MONTHS), digits=5)
 
 
 # -- modelling ----------------------------------------------------------------------------------------------------

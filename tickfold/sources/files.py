@@ -42,16 +42,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_panel(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Daily panel partitioned by year, so a date range reads only its years.
 
-    Rows are spread by (year, ticker hash) first: each task then writes to few folders, and no single year's rows have
-    to pass through one task.
+    Rows are rebalanced by year first: each task writes to few folders, small years share a task, and a year larger than
+    the advisory partition size is split over as many tasks as it needs.
     """
-    yearly = df.withColumn("panel_year", F.year("date"))
-    (
-        yearly.repartition("panel_year", F.pmod(F.xxhash64("ticker"), F.lit(64)))
-        .write.mode(mode)
-        .partitionBy("panel_year")
-        .parquet(path)
-    )
+    yearly = df.withColumn("panel_year", F.year("date")).hint("rebalance", "panel_year")
+    yearly.write.mode(mode).partitionBy("panel_year").parquet(path)
 
 
 def read_panel(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
