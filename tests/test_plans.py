@@ -67,6 +67,14 @@ def test_panel_is_shuffled_once(spark, tmp_path):
     assert "Python" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_daily_windows_are_merged(spark):
+    configure(spark)
+    panel = spark.createDataFrame([], files.CLEAN_PANEL)
+    plan = physical(plans.modeling_data(panel, FIXTURE))
+    # indices, rolling values, month counts, all lags with the month-end mark, monthly lags
+    assert len(re.findall(r"[-+] Window \[", plan)) <= 5
+
+
 def test_scan_reads_only_needed_columns(spark, tmp_path):
     configure(spark)
     inputs = stored_inputs(spark, tmp_path)

@@ -48,31 +48,50 @@ def first_value_index(column: str, order: str = PANEL_ORDER) -> Column:
     return F.expr(f"try_divide({column}, first({column}, true) OVER {frame})")
 
 
-def rolling(kind: str, column: str, rows: int, min_rows: int, order: str = PANEL_ORDER) -> Column:
-    """Sum, avg or median of the last ``rows`` rows, NULL with fewer than ``min_rows`` non-missing values.
+def with_rolling(df: DataFrame, outputs: dict[str, tuple[str, str, int, int]], order: str = PANEL_ORDER) -> DataFrame:
+    """Adds rolling values: output -> (kind, column, rows, least non-missing values), kind one of sum, avg, median.
 
-    The mean is the sum over the count the guard needs anyway: a sliding frame is folded anew for every row, so each
-    aggregate saved counts.
+    NULL with fewer values. Counts and sums are columns of their own first: a window function written twice is computed
+    twice, and a sliding frame is folded anew for every row.
     """
-    frame = f"({order} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    count, total = f"count({column}) OVER {frame}", f"sum({column}) OVER {frame}"
-    value = {
-        "sum": total,
-        "avg": f"{total} / {count}",
-        # median() takes no frame in Spark, percentile() does
-        "median": f"percentile({column}, 0.5D) OVER {frame}",
-    }[kind]
-    return F.expr(f"CASE WHEN {count} >= {min_rows} THEN {value} END")
+    helpers, results = {}, []
+    for out, (kind, column, rows, least) in outputs.items():
+        frame = f"({order} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+        count = f"_count_{rows}_{column}"
+        helpers[count] = f"count({column}) OVER {frame}"
+        if kind == "median":
+            # median() takes no frame in Spark, percentile() does
+            value = f"_median_{rows}_{column}"
+            helpers[value] = f"percentile({column}, 0.5D) OVER {frame}"
+        else:
+            value = f"_sum_{rows}_{column}"
+            helpers[value] = f"sum({column}) OVER {frame}"
+        results.append(f"CASE WHEN {count} >= {least} THEN {value}{f' / {count}' if kind == 'avg' else ''} END AS {out}")
+    wide = df.selectExpr("*", *[f"{text} AS {name}" for name, text in helpers.items()])
+    return wide.selectExpr(*[f"`{c}`" for c in df.columns], *results)
 
 
 def lag_column(column: str, rows: int, order: str = PANEL_ORDER) -> Column:
     return F.expr(f"lag({column}, {rows}) OVER ({order})")
 
 
-def lag_by(column: str, offset: str, offsets: Iterable[int], order: str = PANEL_ORDER) -> Column:
-    """``lag`` with an offset that differs by row; NULL when the offset is not one of ``offsets``."""
-    cases = " ".join(f"WHEN {k} THEN lag({column}, {k}) OVER ({order})" for k in offsets)
-    return F.expr(f"CASE {offset} {cases} END")
+def with_lags_by(
+    df: DataFrame, outputs: dict[str, str], offset: str, offsets: Iterable[int], order: str = PANEL_ORDER, **windows: str
+) -> DataFrame:
+    """Adds lags whose offset differs by row: output -> column. NULL where ``offset`` is not one of ``offsets``.
+
+    ``windows`` are further window columns (name -> text) that ``offset`` may use. Each lag is computed once, then the
+    offset picks among them. Only one projection follows, so that the optimizer can merge neighbouring lag steps into one
+    window operator.
+    """
+    offsets = list(offsets)
+    lags = [f"lag({c}, {k}) OVER ({order}) AS _{c}_{k}" for c in outputs.values() for k in offsets]
+    others = [f"{text} AS {name}" for name, text in windows.items()]
+    wide = df.selectExpr("*", *others, *lags)
+    picks = [
+        f"CASE {offset} {' '.join(f'WHEN {k} THEN _{c}_{k}' for k in offsets)} END AS {out}" for out, c in outputs.items()
+    ]
+    return wide.selectExpr(*[f"`{c}`" for c in df.columns], *picks)
 
 
 def running_product(column: str | Column, window: WindowSpec, last: int = 0) -> Column:

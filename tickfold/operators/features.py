@@ -17,10 +17,10 @@ from tickfold.functions.columns import (
     MONTH_ORDER,
     PANEL_ORDER,
     first_value_index,
-    lag_by,
     lag_column,
-    rolling,
     with_date_parts,
+    with_lags_by,
+    with_rolling,
 )
 
 SHORT, LONG, MEDIAN, MEDIAN_MIN = 7, 11, 30, 11
@@ -46,12 +46,12 @@ def create_rolling_values(
     out = {}
     for days in (SHORT, LONG):
         for c in sum_columns:
-            out[rolling_name(days, f"sum_{c}")] = rolling("sum", c, days, days)
+            out[rolling_name(days, f"sum_{c}")] = ("sum", c, days, days)
         for c in avg_columns:
-            out[rolling_name(days, f"avg_{c}")] = rolling("avg", c, days, days)
+            out[rolling_name(days, f"avg_{c}")] = ("avg", c, days, days)
     for c in median_columns:
-        out[f"roll_{MEDIAN}day_med_{c}"] = rolling("median", c, MEDIAN, MEDIAN_MIN)
-    return with_date_parts(returns).withColumns(out)
+        out[f"roll_{MEDIAN}day_med_{c}"] = ("median", c, MEDIAN, MEDIAN_MIN)
+    return with_rolling(with_date_parts(returns), out)
 
 
 def days_in_month(panel: DataFrame) -> DataFrame:
@@ -78,16 +78,11 @@ def _rolled(sum_columns: Iterable[str], avg_columns: Iterable[str]) -> list[str]
 
 def lag_1m(df: DataFrame, sum_columns: Sequence[str], avg_columns: Sequence[str]) -> DataFrame:
     """One month back for the 7-day values: three rows less than the month has (19 to 23 rows)."""
-    offsets = [d - 3 for d in MONTH_LENGTHS]
-    return df.withColumns(
-        {
-            f"{rolling_name(SHORT, s)}_1m_lag": lag_by(rolling_name(SHORT, s), "days_in_month - 3", offsets)
-            for s in _rolled(sum_columns, avg_columns)
-        }
-    )
+    outputs = {f"{rolling_name(SHORT, s)}_1m_lag": rolling_name(SHORT, s) for s in _rolled(sum_columns, avg_columns)}
+    return with_lags_by(df, outputs, "days_in_month - 3", [d - 3 for d in MONTH_LENGTHS])
 
 
-def offset_3m(this: str = "days_in_month", prior: str = "prior_days_in_month") -> str:
+def offset_3m(this: str, prior: str) -> str:
     """Rows back for the three-month lag, from the lengths of this month and of the month 47 rows back."""
     low, high = MONTH_LENGTHS[0], MONTH_LENGTHS[-1]
     known = f"{this} BETWEEN {low} AND {high} AND {prior} BETWEEN {low} AND {high}"
@@ -95,18 +90,14 @@ def offset_3m(this: str = "days_in_month", prior: str = "prior_days_in_month") -
 
 
 def lag_3m(df: DataFrame, sum_columns: Sequence[str], avg_columns: Sequence[str]) -> DataFrame:
-    """Three months back for the 11-day values.
-
-    The offset is part of the expression, not a column of its own, so all lags end up in one window operator.
-    """
-    prior = f"lag(days_in_month, {PRIOR_MONTH_ROWS}) OVER ({PANEL_ORDER})"
-    offset = offset_3m(prior=f"({prior})")
-    offsets = range(MONTH_LENGTHS[0] + 36, MONTH_LENGTHS[-1] + 36 + 3)
-    return df.withColumns(
-        {
-            f"{rolling_name(LONG, s)}_3m_lag": lag_by(rolling_name(LONG, s), offset, offsets)
-            for s in _rolled(sum_columns, avg_columns)
-        }
+    """Three months back for the 11-day values."""
+    outputs = {f"{rolling_name(LONG, s)}_3m_lag": rolling_name(LONG, s) for s in _rolled(sum_columns, avg_columns)}
+    return with_lags_by(
+        df,
+        outputs,
+        offset_3m("days_in_month", "_prior"),
+        range(MONTH_LENGTHS[0] + 36, MONTH_LENGTHS[-1] + 36 + 3),
+        _prior=f"lag(days_in_month, {PRIOR_MONTH_ROWS}) OVER ({PANEL_ORDER})",
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CALENDAR_START = "1995-01-02"
@@ -23,25 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ticker(column: str):
-    return F.concat(F.lit("S"), F.col(column).cast("string"))
-
-
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("long").alias("SimFinId"),
-        _ticker("s_suppkey").alias("Ticker"),
-        F.col("s_name").alias("Company Name"),
-        F.col("s_nationkey").cast("long").alias("IndustryId"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS SimFinId",
+        "concat('S', s_suppkey) AS Ticker",
+        "s_name AS `Company Name`",
+        "CAST(s_nationkey AS BIGINT) AS IndustryId",
     )
 
 
 def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").cast("long").alias("IndustryId"),
-        F.col("r_name").alias("Sector"),
-        F.col("n_name").alias("Industry"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS IndustryId", "r_name AS Sector", "n_name AS Industry"
     )
 
 
@@ -49,32 +43,31 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier and ship date, plus one empty row per supplier on the first calendar day."""
     shipped = (
         table(spark, sf_dir, "lineitem")
-        .select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-        # on the raw column, so both bounds reach the Parquet scan
-        .filter((F.col("l_shipdate") >= CALENDAR_START) & (F.col("l_shipdate") < F.date_add(F.lit(CALENDAR_END), 1)))
-        .filter(F.weekday("l_shipdate") < 5)
+        # bounds on the raw column, so both reach the Parquet scan
+        .filter(f"l_shipdate >= TIMESTAMP_NTZ'{CALENDAR_START}' AND l_shipdate < TIMESTAMP_NTZ'{CALENDAR_END}' + INTERVAL 1 DAY")
+        .filter("weekday(l_shipdate) < 5")
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    sales = shipped.join(part, shipped.l_partkey == part.p_partkey).select(
-        F.col("l_suppkey").cast("long").alias("SimFinId"),
-        F.col("l_shipdate").cast("date").alias("Date"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("p_retailprice").alias("book"),
-        F.lit(None).cast("boolean").alias("listed"),
+    part = table(spark, sf_dir, "part")
+    # A hot part is split by the adaptive skew join, a hot supplier is folded per task before its rows move.
+    sales = shipped.join(part, shipped.l_partkey == part.p_partkey).selectExpr(
+        "l_suppkey AS SimFinId",
+        "CAST(l_shipdate AS DATE) AS Date",
+        "l_extendedprice AS price",
+        "l_quantity AS quantity",
+        "p_retailprice AS book",
+        "CAST(NULL AS BOOLEAN) AS listed",
     )
-    nothing = F.lit(None).cast("double")
-    listed = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("long").alias("SimFinId"),
-        F.lit(CALENDAR_START).cast("date").alias("Date"),
-        nothing.alias("price"),
-        nothing.alias("quantity"),
-        nothing.alias("book"),
-        F.lit(True).alias("listed"),
+    listed = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS SimFinId",
+        f"DATE'{CALENDAR_START}' AS Date",
+        "CAST(NULL AS DOUBLE) AS price",
+        "CAST(NULL AS DOUBLE) AS quantity",
+        "CAST(NULL AS DOUBLE) AS book",
+        "true AS listed",
     )
     return (
         sales.unionByName(listed)
-        .groupBy("SimFinId", _ticker("SimFinId").alias("Ticker"), "Date")
+        .groupBy("SimFinId", F.expr("concat('S', SimFinId) AS Ticker"), "Date")
         .agg(
             F.max("price").alias("px"),
             F.min("price").alias("op"),
@@ -85,69 +78,68 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations carried forward over the weekday calendar.
 
     Values are filled and spread between observations *after* the shuffle by ticker, so only the sparse observations
-    move, and the dense panel leaves already partitioned by ticker.
+    move, and the dense panel leaves already partitioned by ticker. Days are counted in whole numbers: a sequence of
+    dates would go through calendar arithmetic for every element.
     """
-    by_ticker = Window.partitionBy("Ticker").orderBy("Date")
-    so_far = by_ticker.rowsBetween(Window.unboundedPreceding, 0)
-    steps = _observations(spark, sf_dir).select(
+    order = "PARTITION BY Ticker ORDER BY Date"
+    so_far = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    steps = _observations(spark, sf_dir).selectExpr(
         "SimFinId",
         "Ticker",
         "Date",
-        *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("px", "op", "q", "bv")],
-        F.first("listed").over(so_far).alias("listed"),
-        F.lead("Date").over(by_ticker).alias("next_date"),
+        *[f"last({c}, true) OVER {so_far} AS {c}" for c in ("px", "op", "q", "bv")],
+        f"first(listed) OVER {so_far} AS listed",
+        f"datediff(coalesce(lead(Date) OVER ({order}), DATE'{CALENDAR_END}' + 1), Date) AS days",
     )
-    until = F.coalesce(F.date_sub("next_date", 1), F.lit(CALENDAR_END).cast("date"))
-    # whole-number steps: a sequence of dates goes through calendar arithmetic for every element
-    steps = steps.filter("listed").withColumn("step", F.explode(F.sequence(F.lit(0), F.datediff(until, "Date"))))
     return (
-        steps.select("SimFinId", "Ticker", F.date_add("Date", F.col("step")).alias("Date"), "px", "op", "q", "bv")
-        .filter(F.weekday("Date") < 5)
+        steps.filter("listed")
+        .selectExpr("SimFinId", "Ticker", "Date", "px", "op", "q", "bv", "explode(sequence(0, days - 1)) AS step")
+        .selectExpr("SimFinId", "Ticker", "date_add(Date, step) AS Date", "px", "op", "q", "bv")
+        .filter("weekday(Date) < 5")
         # incomplete months
-        .filter(
-            ~(
-                ((F.col("SimFinId") * 31 + F.year("Date") * 12 + F.month("Date")) % 17 == 0)
-                & (F.dayofmonth("Date") == 15)
-            )
-        )
+        .filter("NOT ((SimFinId * 31 + year(Date) * 12 + month(Date)) % 17 = 0 AND day(Date) = 15)")
         # delisted names
-        .filter(~((F.col("SimFinId") % 10 == 9) & (F.col("Date") >= F.lit("2001-06-01").cast("date"))))
+        .filter("NOT (SimFinId % 10 = 9 AND Date >= DATE'2001-06-01')")
     )
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _filled(spark, sf_dir).select(
-        "SimFinId",
-        "Ticker",
-        "Date",
-        F.col("op").alias("Open"),
-        F.col("px").alias("Adj. Close"),
-        (F.col("q") * 1000).alias("Volume"),
+def _prices(days: DataFrame) -> DataFrame:
+    return days.selectExpr(
+        "SimFinId", "Ticker", "Date", "op AS Open", "px AS `Adj. Close`", "q * 1000 AS Volume"
     )
 
 
-def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _filled(spark, sf_dir).select(
+def _ratios(days: DataFrame) -> DataFrame:
+    return days.selectExpr(
         "SimFinId",
         "Ticker",
         "Date",
-        (F.col("px") * F.col("q") * 20000).alias("Market-Cap"),
-        F.try_divide("px", "bv").alias("Price to Book Value"),
-        F.try_divide(F.col("px"), F.col("bv") * 4).alias("Price to Free Cash Flow (quarterly)"),
-        F.try_divide("op", "bv").alias("Price to Free Cash Flow (ttm)"),
+        "px * q * 20000 AS `Market-Cap`",
+        "try_divide(px, bv) AS `Price to Book Value`",
+        "try_divide(px, bv * 4) AS `Price to Free Cash Flow (quarterly)`",
+        "try_divide(op, bv) AS `Price to Free Cash Flow (ttm)`",
     )
 
 
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prices(filled(spark, sf_dir))
+
+
+def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ratios(filled(spark, sf_dir))
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    days = filled(spark, sf_dir)
     return {
         "companies": companies(spark, sf_dir),
         "industries": industries(spark, sf_dir),
-        "prices": prices(spark, sf_dir),
-        "ratios": ratios(spark, sf_dir),
+        "prices": _prices(days),
+        "ratios": _ratios(days),
     }
 
 
