@@ -52,6 +52,8 @@ def test_encoding(spark, modeling):
     assert {(r.sector, r.sector_idx) for r in out.collect()} == {("B", 0.0), ("A", 1.0)}
     values = model.category_values(modeling)
     assert values == {"sector": ["A", "B"], "market_cap_cat": ["mid"]}
+    with pytest.raises(ValueError, match="more than"):
+        model.category_values(spark.range(model.MAX_CATEGORIES + 1).selectExpr("string(id) AS s"), ["s"])
     row = model.encode_onehot(modeling, values).filter("ticker = 'T1'").first()
     assert (row.sector_A, row.sector_B, row.market_cap_cat_mid) == (0.0, 1.0, 1.0)
 

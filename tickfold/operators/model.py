@@ -47,10 +47,19 @@ def encode_index(train: DataFrame, other: DataFrame | None = None, columns: Sequ
     return category_indexer(columns).fit(train).transform(train if other is None else other)
 
 
+MAX_CATEGORIES = 1000
+
+
 def category_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """Values per categorical column; a handful each, so they may come to the driver."""
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
-    return {c: list(row[c]) for c in columns}
+    """Values per categorical column. A column with more than ``MAX_CATEGORIES`` is refused, not cut: its values become
+    columns, so they have to be few anyway."""
+    values = {}
+    for c in columns:
+        rows = df.select(c).distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(rows) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} values")
+        values[c] = sorted(r[0] for r in rows if r[0] is not None)
+    return values
 
 
 def encode_onehot(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:
