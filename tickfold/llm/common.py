@@ -39,9 +39,9 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def fold_of(doc_id: Column | str, folds: int) -> Column:
+def fold_of(doc_id: str, folds: int) -> Column:
     """crc32 of the id's decimal text modulo ``folds``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None)).cast("string")) % folds
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % folds
 
 
 def staged_rows(df: DataFrame, row: str, name: str) -> DataFrame:

@@ -8,12 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, decontam, slots
-from tickfold.llm.common import table
+from tickfold.llm import bpe, decontam, llr, slots, toxicity
+from tickfold.llm.common import fold_of, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def lexicon(docs: DataFrame, spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
+    """Learned from labelled rows outside the held-out fold."""
+    learn = docs.filter(fold_of("doc_id", 4) != 2)
+    return toxicity.fit(toxicity.labelled(learn, table(spark, sf_dir, "labels")))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.scores(docs, lexicon(docs, spark, sf_dir), keep=["doc_id"])
+    return scored.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, RANKS, keep=["doc_id"], offsets=False, decoded=True)
@@ -54,8 +66,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return llr.quality_rules(docs, trusted, keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
+    "op10_quality_rules": op10_quality_rules,
 }
