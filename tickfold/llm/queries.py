@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, decontam, llr, slots, toxicity
+from tickfold.llm import bpe, decontam, llr, slots, suffix_tree, toxicity
 from tickfold.llm.common import fold_of, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -66,6 +66,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = suffix_tree.scores(docs, docs.filter(fold_of("doc_id", 10) != 0))
+    return scored.select(
+        "doc_id", (fold_of("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -77,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
+    "op9_suffix_tree": op9_suffix_tree,
     "op10_quality_rules": op10_quality_rules,
 }
