@@ -58,21 +58,26 @@ def narrow_join(left: DataFrame, right: DataFrame, on: str, how: str, rows: int)
     return left.join(F.broadcast(right) if rows <= BROADCAST_IDS else right, on, how)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, per_task: int = 2000) -> DataFrame:
-    """Inner equi-join of many ``left`` rows with one ``right`` row per key, without a hot key in one task.
+def salted(left: DataFrame, key: str, per_task: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """(``left`` with a column ``salt``, salts per key): a key with more than ``per_task`` rows is dealt over salts.
 
-    Left rows are counted per key; a key with more than ``per_task`` rows is dealt over enough salts, and its one right
-    row is repeated once per salt.
+    The salt is a hash of the row, so a task that runs again deals it alike. At most rows / ``per_task`` keys are hot.
     """
-    salts, salt = "__salts", "__salt"
-    counts = left.groupBy(key).agg(F.ceil(F.count("*") / per_task).cast("int").alias(salts))
-    spread = right.join(counts, key).withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1)))
-    hot = counts.filter(F.col(salts) > 1)
-    # at most rows / per_task keys are hot; the others keep salt 0
-    dealt = left.join(hot, key, "left").withColumn(
-        salt, F.when(F.col(salts).isNull(), 0).otherwise(F.floor(F.rand(7) * F.col(salts)).cast("int"))
-    )
-    return dealt.drop(salts).join(spread.drop(salts), [key, salt]).drop(salt)
+    counts = left.groupBy(key).agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
+    hot = counts.filter("salts > 1")
+    dealt = left.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(*left.columns), F.coalesce("salts", F.lit(1))).cast("int"))
+    return dealt.drop("salts"), counts
+
+
+def spread(right: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """``right``, one row per key, repeated for every salt of its key."""
+    return right.join(counts, key).withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).drop("salts")
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, per_task: int = 2000) -> DataFrame:
+    """Inner equi-join of many ``left`` rows with one ``right`` row per key, without a hot key in one task."""
+    dealt, counts = salted(left, key, per_task)
+    return dealt.join(spread(right, counts, key), [key, "salt"]).drop("salt")
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

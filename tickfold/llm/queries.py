@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, decontam, llr, slots, suffix_tree, toxicity
+from tickfold.llm import bpe, decontam, llr, minhash, slots, suffix_tree, toxicity
 from tickfold.llm.common import fold_of, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _, cls, flag = minhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", cls, flag)
+
+
 def lexicon(docs: DataFrame, spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """Learned from labelled rows outside the held-out fold."""
     learn = docs.filter(fold_of("doc_id", 4) != 2)
@@ -81,6 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op5_decontamination": op5_decontamination,
