@@ -53,7 +53,7 @@ def staged_rows(df: DataFrame, row: str, name: str) -> DataFrame:
     return stage(df.withColumn(row, F.monotonically_increasing_id()), name)
 
 
-def narrow_join(left: DataFrame, right: DataFrame, on: str, how: str, rows: int) -> DataFrame:
+def narrow_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int) -> DataFrame:
     """Join with a narrow right side of ``rows`` rows: broadcast up to ``BROADCAST_IDS`` of them, else shuffled."""
     return left.join(F.broadcast(right) if rows <= BROADCAST_IDS else right, on, how)
 

@@ -2,4 +2,57 @@
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+from tickfold.llm import templates
+
+LINE_DEDUP = f"""
+WITH lines AS (
+    SELECT doc_id, pos, tokens, len(tokens) AS n, array_to_string(tokens, ' ') AS mask,
+        len(tokens) || ' ' || array_to_string(list_slice(tokens, 1, {templates.LEADING}), ' ') AS leaf
+    FROM (
+        SELECT doc_id, generate_subscripts(parts, 1) AS pos,
+            unnest(list_transform(parts, lambda line: list_transform(
+                list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda t: t <> ''),
+                lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END))) AS tokens
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
+    )
+), worded AS (SELECT * FROM lines WHERE n > 0),
+masks AS (
+    SELECT leaf, mask, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM worded GROUP BY leaf, mask
+), seeds AS (
+    SELECT leaf, first(mask ORDER BY docs DESC, mask) AS seed, first(tokens ORDER BY docs DESC, mask) AS seed_tokens
+    FROM masks GROUP BY leaf
+), mapped AS (
+    SELECT leaf, mask,
+        CASE WHEN len(list_filter(list_zip(tokens, seed_tokens), lambda p: p[1] = p[2])) >= {templates.AGREEMENT} * len(tokens)
+            THEN seed ELSE mask END AS template
+    FROM masks JOIN seeds USING (leaf)
+), grouped AS (SELECT * FROM worded JOIN mapped USING (leaf, mask)),
+recurring AS (
+    SELECT leaf, template, min(doc_id) AS first FROM grouped GROUP BY leaf, template
+    HAVING count(DISTINCT doc_id) >= CASE WHEN max(n) >= {templates.LONG_TOKENS}
+        THEN {templates.LONG_DOCS} ELSE {templates.SHORT_DOCS} END
+), marked AS (
+    SELECT g.*, r.first IS NOT NULL AS recurs, coalesce(r.first <> g.doc_id, false) AS gone
+    FROM grouped g LEFT JOIN recurring r USING (leaf, template)
+), per_doc AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_drop, sum(n) AS tokens,
+        coalesce(sum(n) FILTER (recurs), 0) AS shared,
+        count(DISTINCT leaf || chr(10) || template) FILTER (recurs) AS templates
+    FROM marked GROUP BY doc_id
+), verdict AS (
+    SELECT doc_id, n_lines,
+        CASE WHEN shared = tokens OR templates > 1 AND shared >= {templates.COPY_SHARE} * tokens THEN 0 ELSE n_drop END AS n_drop
+    FROM per_doc
+), kept AS (
+    SELECT doc_id, list(pos) FILTER (gone) AS gone FROM marked SEMI JOIN (SELECT doc_id FROM verdict WHERE n_drop > 0) USING (doc_id)
+    GROUP BY doc_id
+)
+SELECT d.doc_id,
+    CASE WHEN k.gone IS NULL THEN d.text ELSE array_to_string(list_transform(
+        list_filter(list_zip(string_split(d.text, chr(10)), generate_series(1, len(string_split(d.text, chr(10))))),
+            lambda p: NOT list_contains(k.gone, p[2])), lambda p: p[1]), chr(10)) END AS text,
+    coalesce(v.n_lines, 0) AS n_lines, CAST(coalesce(v.n_drop, 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN verdict v USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+STATEMENTS: dict[str, str] = {"op4_line_dedup": LINE_DEDUP}

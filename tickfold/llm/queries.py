@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, decontam, llr, minhash, slots, suffix_tree, toxicity
+from tickfold.llm import bpe, decontam, llr, minhash, slots, suffix_tree, templates, toxicity
 from tickfold.llm.common import fold_of, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))[0]
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
     "op9_suffix_tree": op9_suffix_tree,
