@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickfold.llm.common import chunks, extended, free_name, schema_of
+from tickfold.llm.common import chunks, extended, schema_of
 
 #: Words of UTF-8 text in lower case: digits, a to z, and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -219,12 +219,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     return docs.select(*columns).mapInArrow(step, schema_of(docs, keep, "n_words long, n_hit long, items array<string>"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents without any hit word, with their own columns."""
-    hits = free_name(docs, "hit_words")
     names = docs.columns
-    marked = contamination(docs.toDF(*[f"c{i}" for i in range(len(names))]), benchmark, text=f"c{names.index('text')}", window=window)
-    return marked.withColumnRenamed("n_hit", hits).filter(F.col(hits) == 0).drop(hits, "n_words", "items").toDF(*names)
+    held = [f"c{i}" for i in range(len(names))]
+    marked = contamination(docs.toDF(*held), benchmark, text=held[names.index(text)], window=window)
+    return marked.filter("n_hit = 0").select(*held).toDF(*names)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text", least: int = WINDOW) -> DataFrame:

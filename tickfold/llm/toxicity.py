@@ -263,6 +263,14 @@ def scores(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[str
     return docs.select(*columns).mapInArrow(step, schema_of(docs, keep, "score double, predicted int"))
 
 
+def reject(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """The documents below ``CUT``, with their own columns."""
+    names = docs.columns
+    held = [f"c{i}" for i in range(len(names))]
+    scored = scores(docs.toDF(*held), lexicon, held[names.index(text)])
+    return scored.filter("predicted = 0").select(*held).toDF(*names)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
     """doc_id, text and label of the labelled documents; of several labels of one id the largest holds."""
     own = labels.groupBy(doc_id).agg(F.max(label).alias(label)).filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
