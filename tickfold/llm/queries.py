@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, decontam, llr, minhash, slots, suffix_tree, templates, toxicity
+from tickfold.llm import bpe, cotrain, decontam, langid, llr, minhash, slots, suffix_tree, templates, toxicity
 from tickfold.llm.common import fold_of, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -75,6 +75,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the held-out fold (crc32 of the id modulo 4 is 2) are not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = table(spark, sf_dir, "labels").filter(fold_of("doc_id", 4) != 2)
+    scored = cotrain.scores(docs, cotrain.fit(docs, labels), keep=["doc_id"])
+    return scored.withColumn("held_out", fold_of("doc_id", 4) == 2)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = suffix_tree.scores(docs, docs.filter(fold_of("doc_id", 10) != 0))
@@ -96,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_sharding": op6_sharding,
+    "op7_cotraining": op7_cotraining,
+    "op8_language_id": op8_language_id,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_quality_rules": op10_quality_rules,
 }
