@@ -33,6 +33,8 @@ MAX_LABELLED = 40_000
 MIN_DOCS, MIN_SHARE = 5, 0.01
 #: Least log odds of a term, and of an exception the other way round.
 MIN_WEIGHT = math.log(12)
+#: Least log odds of a term that exceptions are looked for, before they are taken out.
+LOOSE_WEIGHT = math.log(2)
 #: Letters of a word beginning or ending.
 AFFIX = range(3, 9)
 #: Evidence is divided by (words + LENGTH_FLOOR) to this power.
@@ -46,7 +48,8 @@ SIGNS = str.maketrans("013457@$", "oieastas")
 
 INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 FOREIGN = re.compile("[\u03b1-\u03c9\u0430-\u045f\u0501\u04bb\uff01-\uff5e]")
-WITH_SIGN = re.compile(r"(?<=[^\W\d_])[0-9@$]+(?=[^\W\d_])|\b[0-9]+(?=[^\W\d_]{2})")
+INSIDE = re.compile(r"(?<=[^\W\d_])[0-9@$]+(?=[^\W\d_])")
+BEFORE = re.compile(r"\b[0-9]+(?=[^\W\d_]{2})")
 WORD = re.compile(r"[^\W\d_]+")
 WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 
@@ -57,7 +60,9 @@ def fold(text: str) -> str:
         text = INVISIBLE.sub("", text)
         if FOREIGN.search(text):
             text = text.translate(WIDE).lower().translate(LOOK_ALIKES)
-    return WITH_SIGN.sub(lambda m: m[0].translate(SIGNS), text)
+    for place in (INSIDE, BEFORE):
+        text = place.sub(lambda m: m[0].translate(SIGNS), text)
+    return text
 
 
 def terms(words: Iterable[str]) -> set[str]:
@@ -152,7 +157,22 @@ def _counted(docs: DataFrame, of, kind: str) -> DataFrame:
     return docs.select("text").mapInArrow(step, "term string, n long").groupBy("term").agg(F.sum("n").cast("long").alias(kind))
 
 
-def phrases(folded: str, weights: dict[str, float]) -> set[str]:
+def _table(counted: DataFrame) -> dict[str, int]:
+    """Counts by term; there are no more terms than were asked for."""
+    return {r["term"]: r["n"] for r in counted.collect()}
+
+
+def unspared(folded: str, spared: frozenset[str]) -> list[str]:
+    """The words outside exceptions."""
+    words = WORD.findall(folded)
+    out = [w not in spared for w in words]
+    for i in range(len(words) - 1):
+        if f"{words[i]} {words[i + 1]}" in spared:
+            out[i] = out[i + 1] = False
+    return [w for w, good in zip(words, out) if good]
+
+
+def phrases(folded: str, weights: frozenset[str]) -> set[str]:
     """Words that hold a term of ``weights``, alone and with their neighbours."""
     words = WORD.findall(folded)
     out = set()
@@ -182,28 +202,30 @@ def fit(labelled: DataFrame, toxic: str = "toxic", doc_id: str = "doc_id", most:
         return Lexicon({}, frozenset(), 0.0, 0.0)
     toxic_rows, clean_rows = rows.filter("toxic"), rows.filter("NOT toxic")
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * bad))
+    broadcast = rows.sparkSession.sparkContext.broadcast
+
+    def odds(a: int, b: int, n: int, m: int) -> float:
+        """Of a in n against b in m, with both counts one standard deviation less favourable."""
+        return math.log((a - math.sqrt(a) + 0.5) / (n + 1)) - math.log((b + math.sqrt(b) + 0.5) / (m + 1))
+
     # at most (terms of a document) / MIN_SHARE candidates
     found = _counted(toxic_rows, lambda t: terms(WORD.findall(t)), "n").filter(F.col("n") >= least).collect()
     candidates = {r["term"]: r["n"] for r in found}
-    shared = rows.sparkSession.sparkContext.broadcast(frozenset(candidates))
-    clean = {r["term"]: r["n"] for r in _counted(clean_rows, lambda t: shared.value & terms(WORD.findall(t)), "n").collect()}
-
-    def odds(a: int, b: int) -> float:
-        """Of holding a term, with both counts one standard deviation less favourable."""
-        return math.log((a - math.sqrt(a) + 0.5) / (bad + 1)) - math.log((b + math.sqrt(b) + 0.5) / (good + 1))
-
-    weights = {t: w for t, a in candidates.items() if (w := odds(a, clean.get(t, 0))) >= MIN_WEIGHT}
-    weights = shortest(weights, candidates)
-    known = rows.sparkSession.sparkContext.broadcast(weights)
-    around = _counted(clean_rows, lambda t: phrases(t, known.value), "good").filter(F.col("good") >= MIN_DOCS)
-    against = _counted(toxic_rows, lambda t: phrases(t, known.value), "bad")
-
-
-    def spares(a: int, b: int) -> bool:
-        return math.log((a - math.sqrt(a) + 0.5) / (good + 1)) - math.log((b + math.sqrt(b) + 0.5) / (bad + 1)) >= MIN_WEIGHT
-
+    asked = broadcast(frozenset(candidates))
+    clean = _table(_counted(clean_rows, lambda t: asked.value & terms(WORD.findall(t)), "n"))
+    loose = frozenset(t for t, a in candidates.items() if odds(a, clean.get(t, 0), bad, good) >= LOOSE_WEIGHT)
+    held = broadcast(loose)
+    around = _counted(clean_rows, lambda t: phrases(t, held.value), "good").filter(F.col("good") >= MIN_DOCS)
+    against = _counted(toxic_rows, lambda t: phrases(t, held.value), "bad")
     pairs = around.join(against, "term", "left").select("term", "good", F.coalesce("bad", F.lit(0)).alias("bad"))
-    exceptions = frozenset(r["term"] for r in pairs.collect() if spares(r["good"], r["bad"]))
+    spared = frozenset(r["term"] for r in pairs.collect() if odds(r["good"], r["bad"], good, bad) >= MIN_WEIGHT)
+    if spared:  # terms count anew outside exceptions
+        known = broadcast((loose, spared))
+        outside = lambda t: known.value[0] & terms(unspared(t, known.value[1]))
+        candidates, clean = _table(_counted(toxic_rows, outside, "n")), _table(_counted(clean_rows, outside, "n"))
+    kept = {t: odds(a, clean.get(t, 0), bad, good) for t, a in candidates.items() if t in loose and a >= least}
+    weights = shortest({t: w for t, w in kept.items() if w >= MIN_WEIGHT}, candidates)
+    exceptions = frozenset(p for p in spared if any(t in weights for t in terms(p.split())))
     slope, shift = calibrate(_evidence(rows, Lexicon(weights, exceptions, 0.0, 0.0)))
     return Lexicon(weights, exceptions, slope, shift)
 
