@@ -31,15 +31,13 @@ MAX_REPEAT_PERCENT = 50
 
 NEW = {
     "n_words": "CAST(size(h) AS BIGINT)",
-    "word_chars": "CAST(char_length(translate(x, ' \\t\\n\\u000B\\u000C\\r', '')) AS BIGINT)",
-    "n_symbols": f"CAST(char_length(x) - char_length(translate(x, '{SYMBOLS}', '')) AS BIGINT)",
+    "word_chars": "CAST(word_chars AS BIGINT)",
+    "n_symbols": f"CAST(regexp_count(x, '[{SYMBOLS}]') AS BIGINT)",
     "n_dup_lines": "CAST(size(lines) - size(array_distinct(lines)) AS BIGINT)",
 }
 
 
-def _hashes(x: str) -> str:
-    """SQL: 64-bit hashes of the words of a text."""
-    return f"transform(array_remove(split({x}, '{SPACES}'), ''), w -> xxhash64(w))"
+WORDS = f"array_remove(split(x, '{SPACES}'), '')"
 
 
 def _beside(a: str, fold: str, steps: int = 1) -> str:
@@ -50,8 +48,11 @@ def _beside(a: str, fold: str, steps: int = 1) -> str:
 
 def bucket_counts(docs: DataFrame, trusted: str, text: str = "text", buckets: int = BUCKETS) -> list[tuple[int, int, int]]:
     """(bucket, raw count, trusted count): ``buckets`` rows at most. ``trusted`` is a boolean column."""
-    hashed = docs.select(F.col(trusted).alias("t"), F.coalesce(text, F.lit("")).alias("x")).selectExpr("t", f"{_hashes('x')} AS h")
-    grams = hashed.selectExpr("t", f"concat(h, {_beside('h', 'xxhash64(p, q)')}) AS g").select("t", F.explode("g").alias("g"))
+    words = docs.select(F.col(trusted).alias("t"), F.coalesce(text, F.lit("")).alias("x")).selectExpr("t", f"{WORDS} AS words")
+    # neighbours side by side, without a lambda: the last word stands beside null
+    beside = words.selectExpr("t", "inline(arrays_zip(words, slice(words, 2, greatest(size(words), 1)))) AS (a, b)")
+    keys = "array(xxhash64(a), CASE WHEN b IS NOT NULL THEN xxhash64(xxhash64(a), xxhash64(b)) END)"
+    grams = beside.selectExpr("t", f"explode({keys}) AS g").filter("g IS NOT NULL")
     counted = grams.groupBy(F.pmod("g", F.lit(buckets)).cast("int").alias("b")).agg(
         F.count("*").alias("raw"), F.count_if("t").alias("good")
     )
@@ -82,10 +83,12 @@ def measures(docs: DataFrame, ratios: list[float], text: str = "text", keep: lis
     weights = f"CAST(split('{','.join(map(str, ratios))}', ',') AS ARRAY<DOUBLE>)"
     total = f"aggregate(%s, 0D, (s, g) -> s + element_at({weights}, CAST(pmod(g, {len(ratios)}) AS INT) + 1))"
     steps = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, held)], F.coalesce(text, F.lit("")).alias("x"))
+    steps = steps.selectExpr(*held, "x", f"{WORDS} AS words")
     steps = steps.selectExpr(
         *held,
         "x",
-        f"{_hashes('x')} AS h",
+        "transform(words, w -> xxhash64(w)) AS h",
+        "char_length(array_join(words, '')) AS word_chars",
         f"filter(split(x, '\\n'), l -> l RLIKE '{NOT_SPACE}') AS lines",
     )
     held += list(NEW)
@@ -95,9 +98,8 @@ def measures(docs: DataFrame, ratios: list[float], text: str = "text", keep: lis
     mean = f"CASE WHEN size(h) = 0 THEN 0D ELSE ({total % 'h'} + {total % 'pairs'}) / (size(h) + size(pairs)) END"
     steps = steps.selectExpr(*held, f"{mean} AS log_ratio", f"{windows} AS w")
     held.append("log_ratio")
-    steps = steps.selectExpr(*held, "w", "sort_array(w) AS sorted")
     # most texts have no window twice and are done here
-    steps = steps.selectExpr(*held, f"CASE WHEN exists({_beside('sorted', 'p = q')}, e -> e) THEN sort_array(transform(w, (v, i) -> struct(v, i))) END AS placed")
+    steps = steps.selectExpr(*held, "CASE WHEN size(array_distinct(w)) < size(w) THEN sort_array(transform(w, (v, i) -> struct(v, i))) END AS placed")
     twice = f"flatten(filter({_beside('placed', 'CASE WHEN p.v = q.v THEN array(p.i, q.i) END')}, e -> e IS NOT NULL))"
     steps = steps.selectExpr(*held, f"sort_array(array_distinct({twice})) AS at")
     covered = f"aggregate({_beside('at', 'least(3, q - p)')}, 3L, (s, n) -> s + n)"
