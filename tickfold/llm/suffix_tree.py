@@ -42,8 +42,6 @@ MIN_SHARE = 5e-6
 RATIO = 1.1
 #: ... and its divergence in bits, times its count, is at least this.
 MIN_GAIN_BITS = 15.0
-#: Weight of the shorter context's distribution, in counts.
-PRIOR = 4.0
 #: Least share of a word in all training tokens to be broadcast with its count.
 HEAVY_SHARE = 1e-5
 #: Added to every count of a word.
@@ -186,8 +184,9 @@ def grow(found: pa.Table) -> Tree:
         context = int(c[a]).to_bytes(8, "big")[8 - length :] if length else b""
         above = next((kept[context[j:]] for j in range(1, length) if context[j:] in kept), root)
         total = counts.sum()
-        smooth = above * (PRIOR / (total + PRIOR))
-        smooth[symbols] += counts / (total + PRIOR)
+        whole = total + len(symbols)  # the shorter context weighs as much as there are different next bytes
+        smooth = above * (len(symbols) / whole)
+        smooth[symbols] += counts / whole
         if not length:
             root = smooth
             continue
