@@ -65,6 +65,20 @@ def test_join_fails_on_repeated_keys(spark, side):
     assert clean.join_data(**_inputs(spark, **{side: double}), validate=False).count() >= 2
 
 
+def test_join_fails_on_two_companies_under_one_ticker(spark):
+    prices = [(1, "A", DAY, 10.0, 11.0, 100.0), (2, "A", DAY, 20.0, 21.0, 200.0)]
+    with pytest.raises(PySparkException, match="prices: duplicate key"):
+        clean.join_data(**_inputs(spark, prices)).collect()
+    changed = [(1, "A", DAY, 10.0, 11.0, 100.0), (2, "A", dt.date(2020, 1, 3), 20.0, 21.0, 200.0)]
+    assert clean.join_data(**_inputs(spark, changed)).count() == 2
+
+
+def test_rows_without_ticker(spark):
+    with pytest.raises(PySparkException, match="prices: a row without Ticker"):
+        clean.join_data(**_inputs(spark, prices=[(1, None, DAY, 1.0, 1.0, 1.0)])).collect()
+    assert clean.join_data(**_inputs(spark, ratios=[(1, None, DAY, 1.0, 1.0, 1.0, 1.0)] * 2)).count() == 2
+
+
 def test_unique_checks(spark):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (1, "x")], "a int, b string")
     assert [(r.a, r.b, r.n_rows) for r in key_violations(df, ["a", "b"]).collect()] == [(1, "x", 2)]

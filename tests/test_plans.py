@@ -78,9 +78,38 @@ def test_daily_windows_are_merged(spark):
 def test_scan_reads_only_needed_columns(spark, tmp_path):
     configure(spark)
     inputs = stored_inputs(spark, tmp_path)
-    panel = plans.clean_panel(inputs, validate=False).select("ticker", "date", "volume")
-    scans = [line for line in physical(panel).splitlines() if "FileScan" in line and "prices" in line]
-    assert scans and all("Open" not in line and "Adj. Close" not in line for line in scans)
+    length = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(length)
+    spark.conf.set(length, "10000")
+    try:
+        panel = plans.clean_panel(inputs, validate=False).select("ticker", "date", "volume")
+        read = re.findall(r"ReadSchema: struct<([^>]*)>", physical(panel))
+    finally:
+        spark.conf.set(length, before)
+    prices = [schema for schema in read if "Volume" in schema]
+    assert len(prices) == 1 and "Open" not in prices[0] and "Adj. Close" not in prices[0]
+
+
+def test_inputs_scan_the_lines_once(spark):
+    configure(spark)
+    adaptive = "spark.sql.adaptive.enabled"
+    spark.conf.set(adaptive, "false")
+    try:
+        plan = physical(plans.clean_panel(testdata.inputs(spark, SMALL), clustered=True))
+    finally:
+        spark.conf.set(adaptive, "true")
+    assert plan.count("l_extendedprice") and len(re.findall(r"FileScan parquet \[[^]]*l_extendedprice", plan)) == 1
+    assert "ReusedExchange" in plan
+
+
+def test_inputs_use_every_line(spark, db):
+    start, end = testdata.calendar_days(spark, SMALL)
+    seen = testdata._observations(spark, SMALL, start)
+    quantity, last = seen.selectExpr("sum(values[2])", "max(Date)").first()
+    want = db.execute("SELECT sum(l_quantity), max(CAST(l_shipdate AS DATE)) FROM lineitem").fetchone()
+    assert quantity == want[0] and str(last) == end and last >= want[1] and last.weekday() < 5
+    days = testdata.filled(spark, SMALL).selectExpr("min(Date)", "max(Date)").first()
+    assert (str(days[0]), str(days[1])) == (start, end)
 
 
 def test_top_n_is_cut_before_the_shuffle(spark):

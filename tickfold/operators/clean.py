@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickfold.config import CAP_EXCLUDED, CAP_FLOORS
-from tickfold.functions.checks import require_unique
+from tickfold.functions.checks import require_present, require_unique
 from tickfold.functions.columns import nan_to_null
 
 # Source name -> panel name, in panel order.
@@ -51,12 +51,14 @@ def join_price_company(prices: DataFrame, company_industry: DataFrame, validate:
 def join_price_ratio(prices: DataFrame, ratios: DataFrame, validate: bool = True) -> DataFrame:
     """Daily prices with daily ratios (left, one to one).
 
-    The key order matches :func:`join_price_company`, so one sort by (ticker, id, date) serves checks and both joins.
+    A ticker may have one price a day, whichever company it stands for: every window after this goes by ticker and date.
+    One sort by (ticker, date, id) serves both checks and the join.
     """
-    keys = ["Ticker", "SimFinId", "Date"]
+    keys = ["Ticker", "Date", "SimFinId"]
     left, right = prices, ratios
     if validate:
-        left, right = require_unique(left, keys, "prices"), require_unique(right, keys, "ratios")
+        left = require_unique(prices, keys[:2], "prices", then=("SimFinId",))
+        right = require_unique(ratios, keys, "ratios")
     return left.join(right, keys, "left")
 
 
@@ -71,8 +73,13 @@ def join_data(
     """Daily panel of prices, company data and ratios.
 
     Both daily tables are partitioned by ticker before they meet; the uniqueness checks, both joins and every later
-    per-ticker window use that one partitioning. ``clustered`` says they already arrive so.
+    per-ticker window use that one partitioning. ``clustered`` says they already arrive so. A price without a ticker belongs
+    to no company and would meet all others like it in one task: it is an error, raised before rows move. Ratios without one
+    can match nothing and stay behind.
     """
+    if validate:
+        prices = require_present(prices, "Ticker", "prices")
+    ratios = ratios.filter(F.col("Ticker").isNotNull())
     if not clustered:
         prices, ratios = prices.repartition("Ticker"), ratios.repartition("Ticker")
     daily = join_price_ratio(prices, ratios, validate)

@@ -72,13 +72,15 @@ def _lag_3m(series: str) -> str:
 
 
 PANEL = [
+    """shipped AS (
+  SELECT *, CAST(l_shipdate AS DATE) + CASE isodow(l_shipdate) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END AS d FROM lineitem)""",
     """obs AS (
-  SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS d, max(l_extendedprice) AS px, min(l_extendedprice) AS op,
+  SELECT l_suppkey AS k, d, max(l_extendedprice) AS px, min(l_extendedprice) AS op,
          sum(l_quantity) AS q, max(p_retailprice) AS bv
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""",
+  FROM shipped JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)""",
     """weekdays AS (
-  SELECT CAST(g AS DATE) AS d FROM generate_series(DATE '1995-01-02', DATE '2001-10-31', INTERVAL 1 DAY) AS t(g)
-  WHERE isodow(g) < 6)""",
+  SELECT d FROM (SELECT CAST(unnest(generate_series(CAST(min(d) AS TIMESTAMP), CAST(max(d) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+                 FROM shipped) WHERE isodow(d) < 6)""",
     """filled AS (
   SELECT s_suppkey AS k, w.d, last_value(px IGNORE NULLS) OVER so_far AS px, last_value(op IGNORE NULLS) OVER so_far AS op,
          last_value(q IGNORE NULLS) OVER so_far AS q, last_value(bv IGNORE NULLS) OVER so_far AS bv
@@ -313,14 +315,22 @@ def _query(ctes: list[str], select: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
 
 
+def _digits(value: str, name: str) -> str:
+    """Ten digits of a number."""
+    return f"CAST(printf('%.9e', {value}) AS DOUBLE) AS {name}"
+
+
 def _profile(source: str, columns: list[str], digits: int, shape: bool) -> str:
     """One SELECT per column."""
     # prices are exact, features are sums in an order of their own
     ends = "min(x) AS min, max(x) AS max" if shape else f"round(min(x), {digits}) AS min, round(max(x), {digits}) AS max"
-    extra = f", round(skewness(x), {digits}) AS skewness, round(kurtosis(x), {digits}) AS kurtosis" if shape else ""
+    extra = ", " + _digits("skewness(x)", "skewness") + ", " + _digits("kurtosis(x)", "kurtosis") if shape else ""
+    moments = f"round(avg(x), {digits}) AS mean, round(stddev_samp(x), {digits}) AS std"
+    if shape:
+        moments = _digits("avg(x)", "mean") + ", " + _digits("stddev_samp(x)", "std")
     return " UNION ALL ".join(
         f"""SELECT '{n}' AS "column", count(*) AS n_rows, count(x) AS n_values, count(*) - count(x) AS n_missing,
-  count(CASE WHEN x = 0 THEN 1 END) AS n_zeros, count(CASE WHEN x < 0 THEN 1 END) AS n_negative, {ends}, round(avg(x), {digits}) AS mean, round(stddev_samp(x), {digits}) AS std{extra} FROM (SELECT {n} AS x FROM {source})"""
+  count(CASE WHEN x = 0 THEN 1 END) AS n_zeros, count(CASE WHEN x < 0 THEN 1 END) AS n_negative, {ends}, {moments}{extra} FROM (SELECT {n} AS x FROM {source})"""
         for n in columns
     )
 

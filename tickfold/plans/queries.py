@@ -225,7 +225,10 @@ def clean_panel(spark, sf_dir):
 
 @register
 def profile_numeric(spark, sf_dir):
-    return _rounded(profile.profile_numeric(_panel(spark, sf_dir), PROFILED), "min", "max", digits=4)
+    """Moments to ten digits: market values have eleven before the point."""
+    df = profile.profile_numeric(_panel(spark, sf_dir), PROFILED)
+    moments = ("mean", "std", "skewness", "kurtosis")
+    return df.withColumns({m: F.format_string("%.9e", m).cast("double") for m in moments})
 
 
 @register

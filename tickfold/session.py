@@ -15,8 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     # Let a join on (ticker, date, ...) use tables already hash-partitioned by ticker alone. The panel is then
-    # shuffled once, for the join and for every window after it. Safe because (ticker, date) is unique: a ticker
-    # has at most one row per session, so no ticker can outgrow a task.
+    # shuffled once, for the join and for every window after it. Safe because the panel's checks raise when a ticker has
+    # two prices on a day or a row has no ticker: a ticker has at most one row per session, so none can outgrow a task.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -45,19 +45,24 @@ def local_session(app: str = "tickfold", cores: str = "*", partitions: int = 8,
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def stage_root(spark: SparkSession) -> str:
     """The shared folder for stage tables: ``spark.checkpoint.dir``, else the context's checkpoint directory.
 
-    Only a local master may fall back to a temporary folder; on a cluster a missing setting is an error.
+    Only a local master may fall back to a temporary folder, one for each application; on a cluster a missing setting is
+    an error. The caller's settings stay as they are.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tickfold-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    key = spark.sparkContext.applicationId
+    if key not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="tickfold-")
+    return _LOCAL_ROOTS[key]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

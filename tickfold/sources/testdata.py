@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CALENDAR_START = "1995-01-02"
-CALENDAR_END = "2001-10-31"
-
-
 # Declared, so building a plan runs no footer-reading job per table.
 SCHEMAS = {
     "supplier": "s_suppkey long, s_name string, s_nationkey int",
@@ -39,19 +35,26 @@ def industries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per supplier and ship date, plus one empty row per supplier on the first calendar day."""
-    shipped = (
-        table(spark, sf_dir, "lineitem")
-        # bounds on the raw column, so both reach the Parquet scan
-        .filter(f"l_shipdate >= TIMESTAMP_NTZ'{CALENDAR_START}' AND l_shipdate < TIMESTAMP_NTZ'{CALENDAR_END}' + INTERVAL 1 DAY")
-        .filter("weekday(l_shipdate) < 5")
-    )
+def session_day(column: str) -> str:
+    """SQL: the day itself, or the Monday after a weekend."""
+    day = f"CAST({column} AS DATE)"
+    return f"date_add({day}, CASE weekday({day}) WHEN 5 THEN 2 WHEN 6 THEN 1 ELSE 0 END)"
+
+
+def calendar_days(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last session of the data; one row is read."""
+    found = data_span(spark, sf_dir).selectExpr(f"{session_day('start')} AS s", f"{session_day('end')} AS e").first()
+    return str(found["s"]), str(found["e"])
+
+
+def _observations(spark: SparkSession, sf_dir: str, start: str) -> DataFrame:
+    """One row per supplier and session, from all lines, plus one empty row per supplier on the first session."""
     part = table(spark, sf_dir, "part")
+    shipped = table(spark, sf_dir, "lineitem")
     # A hot part is split by the adaptive skew join, a hot supplier is folded per task before its rows move.
     sales = shipped.join(part, shipped.l_partkey == part.p_partkey).selectExpr(
         "l_suppkey AS SimFinId",
-        "CAST(l_shipdate AS DATE) AS Date",
+        f"{session_day('l_shipdate')} AS Date",
         "l_extendedprice AS price",
         "l_quantity AS quantity",
         "p_retailprice AS book",
@@ -59,13 +62,13 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS SimFinId",
-        f"DATE'{CALENDAR_START}' AS Date",
+        f"DATE'{start}' AS Date",
         "CAST(NULL AS DOUBLE) AS price",
         "CAST(NULL AS DOUBLE) AS quantity",
         "CAST(NULL AS DOUBLE) AS book",
         "true AS listed",
     )
-    return (
+    folded = (
         sales.unionByName(listed)
         .groupBy("SimFinId", F.expr("concat('S', SimFinId) AS Ticker"), "Date")
         .agg(
@@ -76,30 +79,39 @@ def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("listed").alias("listed"),
         )
     )
+    # One array, so that prices and ratios, which read different values, still share one scan and one shuffle.
+    values = "CASE WHEN px IS NOT NULL THEN array(px, op, q, bv) END AS values"
+    return folded.selectExpr("SimFinId", "Ticker", "Date", values, "listed")
 
 
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations carried forward over the weekday calendar.
+    """Observations carried forward over the weekday calendar of the data.
 
     Values are filled and spread between observations *after* the shuffle by ticker, so only the sparse observations
     move, and the dense panel leaves already partitioned by ticker. Days are counted in whole numbers: a sequence of
-    dates would go through calendar arithmetic for every element.
+    dates would go through calendar arithmetic for every element. Two rules remove rows, and nothing else does: they
+    stand for gaps in a month and for delisted names.
     """
+    start, end = calendar_days(spark, sf_dir)
     order = "PARTITION BY Ticker ORDER BY Date"
     so_far = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    steps = _observations(spark, sf_dir).selectExpr(
+    steps = _observations(spark, sf_dir, start).selectExpr(
         "SimFinId",
         "Ticker",
         "Date",
-        *[f"last({c}, true) OVER {so_far} AS {c}" for c in ("px", "op", "q", "bv")],
+        f"last(values, true) OVER {so_far} AS values",
         f"first(listed) OVER {so_far} AS listed",
-        f"datediff(coalesce(lead(Date) OVER ({order}), DATE'{CALENDAR_END}' + 1), Date) AS days",
+        f"datediff(coalesce(lead(Date) OVER ({order}), DATE'{end}' + 1), Date) AS days",
     )
     return (
         steps.filter("listed")
-        .selectExpr("SimFinId", "Ticker", "Date", "px", "op", "q", "bv", "explode(sequence(0, days - 1)) AS step")
-        .selectExpr("SimFinId", "Ticker", "date_add(Date, step) AS Date", "px", "op", "q", "bv")
+        .selectExpr("SimFinId", "Ticker", "Date", "values", "explode(sequence(0, days - 1)) AS step")
+        .selectExpr(
+            "SimFinId", "Ticker", "date_add(Date, step) AS Date", "values[0] AS px", "values[1] AS op", "values[2] AS q", "values[3] AS bv"
+        )
         .filter("weekday(Date) < 5")
+        # said here, or only the right side of the join would learn it, and the two sides would no longer share a scan
+        .filter("SimFinId IS NOT NULL AND Ticker IS NOT NULL AND Date IS NOT NULL")
         # incomplete months
         .filter("NOT ((SimFinId * 31 + year(Date) * 12 + month(Date)) % 17 = 0 AND day(Date) = 15)")
         # delisted names
