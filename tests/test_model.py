@@ -4,6 +4,8 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from tickfold import config as c
 from tickfold.config import Fold
@@ -50,12 +52,69 @@ def test_encoding(spark, modeling):
     train = modeling.filter("ticker != 'T0'")
     out = model.encode_index(train, modeling.limit(0).unionByName(modeling)).select("sector", "sector_idx").distinct()
     assert {(r.sector, r.sector_idx) for r in out.collect()} == {("B", 0.0), ("A", 1.0)}
-    values = model.category_values(modeling)
+    encoded, values = model.encode_onehot(modeling)
     assert values == {"sector": ["A", "B"], "market_cap_cat": ["mid"]}
-    with pytest.raises(ValueError, match="more than"):
-        model.category_values(spark.range(model.MAX_CATEGORIES + 1).selectExpr("string(id) AS s"), ["s"])
-    row = model.encode_onehot(modeling, values).filter("ticker = 'T1'").first()
-    assert (row.sector_A, row.sector_B, row.market_cap_cat_mid) == (0.0, 1.0, 1.0)
+    row = encoded.filter("ticker = 'T1'").first()
+    assert (list(row.sector_hot), list(row.market_cap_cat_hot)) == ([0.0, 1.0], [1.0])
+    unseen, _ = model.encode_onehot(modeling.filter("sector = 'A'"), modeling)
+    assert {tuple(r.sector_hot) for r in unseen.collect()} == {(1.0,), (0.0,)}
+
+
+@pytest.mark.parametrize("n", [40, 2000])
+def test_many_categories(spark, modeling, n):
+    wide = modeling.withColumn("sector", F.concat(F.lit("s"), (F.row_number().over(Window.orderBy("date", "ticker")) % n).cast("string")))
+    train = wide.filter("date < '2020-09-01'") if n == 40 else wide
+    encoded, values = model.encode_onehot(wide)
+    assert len(values["sector"]) == min(n, 300) and encoded.first().sector_hot.numNonzeros() == 1
+    if n == 40:
+        for learner in (model.boosted_trees, model.random_forest, model.boosted_trees_alt):
+            fitted = model.fit_model(model.scale_features(train), FEATURES, learner, {"n_estimators": 1, "max_depth": 2})
+            assert fitted.pipeline.stages[-1].getMaxBins() == 41
+
+
+def fits_of(candidates, learner=model.boosted_trees, metric="rmse"):
+    return len(model.distinct_fits(candidates, learner, metric))
+
+
+def test_distinct_fits(spark):
+    fine = model.grid_candidates(c.FINE_GRID)
+    assert fits_of(fine) == 140 and fits_of(fine, metric="mape") == 840
+    assert fits_of([{**c.BEST_PARAMS, "random_state": s} for s in model.seeds()]) == 1
+    assert fits_of([{**c.BEST_PARAMS, "random_state": s, "subsample": 0.8} for s in (1, 2)]) == 2
+    drawn = model.random_candidates(c.FOREST_GRID, 50)
+    assert {model.effective(model.random_forest, d)["max_depth"] for d in drawn} == {30.0}
+
+
+def test_shared_fits_score_like_own_ones(modeling):
+    prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES)
+    candidates = [{**PARAMS, "n_estimators": n, "max_depth": d} for n in (1, 2, 4) for d in (1, 3, 7)]
+    got = {(r.candidate, r.fold): r for r in model.cross_validate(prepared, candidates, model.boosted_trees).collect()}
+    assert len(got) == 18
+    for (i, fold), r in got.items():
+        own = model.fold_scores(prepared, fold, model.boosted_trees, candidates[i], [candidates[i]["n_estimators"]], "rmse")
+        assert r.score == pytest.approx(own[0], rel=1e-9)
+        assert r.effective["max_depth"] == min(candidates[i]["max_depth"], 3) and r.params["max_depth"] == candidates[i]["max_depth"]
+
+
+def test_empty_folds_are_named(modeling):
+    late = (Fold("2020-05-01", "2020-06-01", "2020-07-01"), Fold("2020-06-01", "2021-07-01", "2021-09-01"))
+    prepared = model.prepare_search(modeling, "2020-09-01", late, FEATURES)
+    with pytest.raises(ValueError, match="fold 2 has no test rows"):
+        model.cross_validate(prepared, [PARAMS], model.boosted_trees)
+    with pytest.raises(ValueError, match="share of 1e-06"):
+        model.cross_validate(model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES), [PARAMS], model.boosted_trees, share=1e-6)
+
+
+def test_stored_model_predicts_alone(spark, modeling, tmp_path):
+    prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES)
+    found = model.search(prepared, [PARAMS], model.boosted_trees)
+    model.save_model(found.model, str(tmp_path / "m"), spark)
+    loaded = model.load_model(str(tmp_path / "m"), spark)
+    test = modeling.filter("date = '2020-09-28'")
+    rows = loaded.predict_raw(test).orderBy("ticker").collect()
+    assert [r.predictions for r in rows] == [r.predictions for r in found.model.predict_raw(test).orderBy("ticker").collect()]
+    assert np.corrcoef([r.predictions for r in rows], [r.target_1m_mom_lead for r in rows])[0, 1] > 0.8
+    assert 0.5 < rows[0].predictions < 1.5 and loaded.params == PARAMS and loaded.features == tuple(FEATURES)
 
 
 def test_walk_forward_learns_only_from_the_past(spark, modeling):
@@ -84,16 +143,17 @@ def test_searches(spark, modeling):
     prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES)
     candidates = [{**PARAMS, "n_estimators": 1, "max_depth": 1}, PARAMS]
     found = model.search(prepared, candidates, model.boosted_trees)
-    assert found.best["n_estimators"] == 3 and found.model.getNumTrees == 3
+    assert found.best["n_estimators"] == 3 and found.model.pipeline.stages[-1].getNumTrees == 3
     scores = found.results.collect()
     assert len(scores) == 4 and all(0 < r.score < 10 for r in scores)
     effect = {(r.param, r.value): r.n_candidates for r in model.cv_param_effect(found.results).collect()}
     assert effect[("n_estimators", 3.0)] == 1 and effect[("learning_rate", 0.3)] == 2
     rounds = model.halving_search(prepared, candidates, model.boosted_trees).collect()
     assert [r.share for r in rounds] == [0.5, 0.5, 1.0] and sum(r.kept for r in rounds) == 2
-    seeds = model.seed_stability(prepared, PARAMS, [1, 2])
-    assert len({r.score for r in seeds.filter("fold = 1").collect()}) == 2
-    names = model.feature_importance(found.model, prepared.names, spark, 2).collect()
+    for share, different in ((0.8, 2), (1.0, 1)):
+        seeds = model.seed_stability(prepared, {**PARAMS, "subsample": share}, [1, 2])
+        assert len({r.score for r in seeds.filter("fold = 1").collect()}) == different
+    names = model.feature_importance(found.model.pipeline.stages[-1], prepared.names, spark, 2).collect()
     assert names[0].feature == "x" and len(names) == 2
 
 

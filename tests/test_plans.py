@@ -12,6 +12,7 @@ from conftest import SMALL
 import __spark_entry__ as entry
 from tickfold import session
 from tickfold.config import FIXTURE
+from tickfold.operators import model
 from tickfold.plans import jobs
 from tickfold.plans import panel as plans
 from tickfold.session import configure
@@ -162,6 +163,13 @@ def test_tuning_runs(spark, tmp_path):
     grid = {"n_estimators": [1], "learning_rate": [0.1, 0.2], "max_depth": [2], "min_data_in_leaf": [1]}
     jobs.fine_hyperparameter_tuning(run, grid, seed_count=1)
     assert run.load("lgbm_fine_cv_results").count() == 2 and run.load("random_state_results").count() == 1
+    jobs.halving_tuning(run, 2, grid)
+    assert run.load("lgbm_halving_results").count() == 3
+    rows = run.load("modeling_data")
+    for name in ("lgbm_fine_cv_model", "random_state_model"):
+        assert model.load_model(run.path(name), spark).predict_raw(rows).count() == rows.count()
+    jobs.final_data_eda(run)
+    assert run.load("modeling_data_distinct").count() == len(rows.columns) and run.load("modeling_data_correlations").count() == 88 * 87 / 2
     assert run.load("lgbm_fine_param_effect").filter("param = 'learning_rate'").count() == 2
 
 

@@ -164,3 +164,48 @@ def test_end_price_must_belong_to_the_same_company(spark):
         assert (out["a"].open_start_date, out["a"].open_end_date) == (10.0, None)
         assert (out["b"].open_start_date, out["b"].open_end_date) == (5.0, 6.0)
         assert (out["c"].simfinid, out["c"].open_start_date, out["c"].open_end_date) == (None, None, None)
+
+
+HISTORY = "date_r date, ticker string, date date, adj_close double"
+
+
+def days(n):
+    return [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(n)]
+
+
+def history(spark, prices):
+    """Rows of one basket from {ticker: prices}."""
+    rows = [(dt.date(2020, 3, 1), t, d, p) for t, own in prices.items() for d, p in zip(days(len(own)), own)]
+    return spark.createDataFrame(rows, HISTORY)
+
+
+def test_zero_price_raises(spark):
+    df = history(spark, {"A": [1.0, 0.0, 2.0], "B": [1.0, 2.0, 3.0]})
+    with pytest.raises(Exception, match="basket 2020-03-01: no return on 2020-01-03 for A"):
+        pf.return_vectors(pf.price_vectors(df)).collect()
+
+
+def test_two_prices_of_a_ticker_raise(spark):
+    twice = history(spark, {"A": [1.0, 2.0]}).unionAll(history(spark, {"A": [5.0], "B": [1.0, 2.0]}))
+    with pytest.raises(Exception, match="basket 2020-03-01: a ticker has two prices on 2020-01-01"):
+        pf.price_vectors(twice).collect()
+
+
+def test_every_rebalancing_date_has_a_status(spark):
+    sound = {"A": [1.0, 1.1, 1.0, 1.2], "B": [2.0, 2.1, 2.2, 2.1]}
+    rows, dates = [], [dt.date(2020, m, 1) for m in (2, 3, 4, 5)]
+    for date_r, prices in ((dates[0], sound), (dates[1], {"A": [1.0, 1.1], "B": [2.0, 2.1]}), (dates[2], sound)):
+        rows += [(date_r, t, d, p) for t, own in prices.items() for d, p in zip(days(len(own)), own)]
+    picks = spark.createDataFrame([(d, t, 0.9 if d == dates[2] else 1.01) for d in dates[:3] for t in "AB"], "date date, ticker string, predictions double")
+    returns = pf.return_vectors(pf.price_vectors(spark.createDataFrame(rows, HISTORY)))
+    posterior = pf.bl_posterior(pf.shrunk_covariance(returns), pf.views(picks, 0.9))
+    status = pf.basket_status(spark.createDataFrame([(d,) for d in dates], "date date"), posterior)
+    assert [(r.date, r.n_names, r.status) for r in status.orderBy("date").collect()] == [
+        (dates[0], 2, pf.OK), (dates[1], 2, pf.DEGENERATE), (dates[2], 2, pf.NO_EXCESS), (dates[3], 0, "no picks"),
+    ]
+    assert {r.date for r in pf.max_sharpe_weights(posterior).collect()} == {dates[0]}
+
+
+def test_numbers_that_are_none_are_refused():
+    with pytest.raises(ValueError, match="finite"):
+        pf._max_sharpe(np.array([0.1, np.nan]), np.eye(2))

@@ -7,17 +7,18 @@ Learner parameters keep the names of the usual boosting libraries and are mapped
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickfold.config import CATEGORICAL, TARGET, Fold
@@ -47,35 +48,46 @@ def encode_index(train: DataFrame, other: DataFrame | None = None, columns: Sequ
     return category_indexer(columns).fit(train).transform(train if other is None else other)
 
 
-MAX_CATEGORIES = 1000
+def onehot_stages(columns: Sequence[str] = CATEGORICAL) -> list:
+    """Category index, then one sparse 0/1 vector ``<column>_hot`` per column with a place for every value of training.
 
+    The indexer's place for unseen values is the last and is left out, so those are all zeros. However many values there
+    are, a row holds one number.
+    """
+    hot = OneHotEncoder(
+        inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_hot" for c in columns], dropLast=True
+    )
+    return [category_indexer(columns), hot]
 
-def category_values(df: DataFrame, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
-    """Values per categorical column. A column with more than ``MAX_CATEGORIES`` is refused, not cut: its values become
-    columns, so they have to be few anyway."""
-    values = {}
-    for c in columns:
-        rows = df.select(c).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(rows) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} values")
-        values[c] = sorted(r[0] for r in rows if r[0] is not None)
-    return values
 
+def category_values(indexer, columns: Sequence[str] = CATEGORICAL) -> dict[str, list[str]]:
+    """Values per column in the order of their index, of a fitted indexer."""
+    return {c: list(values) for c, values in zip(columns, indexer.labelsArray)}
 
-def encode_onehot(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Each categorical column replaced by one 0/1 column per value."""
-    kept = [c for c in df.columns if c not in values]
-    dummies = [
-        F.when(F.col(c) == v, 1.0).otherwise(0.0).alias(f"{c}_{v}") for c, levels in values.items() for v in levels
-    ]
-    return df.select(*kept, *dummies)
 
+def encode_onehot(train: DataFrame, other: DataFrame | None = None, columns: Sequence[str] = CATEGORICAL):
+    """(``other`` or the train rows with the vectors ``<column>_hot``, values per column in vector order)."""
+    encoder = Pipeline(stages=onehot_stages(columns)).fit(train)
+    encoded = encoder.transform(train if other is None else other).drop(*[f"{c}_idx" for c in columns])
+    return encoded, category_values(encoder.stages[0], columns)
 
-def _assemble(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+
+def _assemble(numeric: Sequence[str], categorical: Sequence[str], onehot: bool = False) -> list:
     """Pipeline stages from raw columns to ``features``; indexed categories stay nominal for the trees."""
-    stages = [category_indexer(categorical)] if categorical else []
+    if not categorical:
+        return [VectorAssembler(inputCols=list(numeric), outputCol="features")]
+    if onehot:
+        inputs = list(numeric) + [f"{c}_hot" for c in categorical]
+        return [*onehot_stages(categorical), VectorAssembler(inputCols=inputs, outputCol="features")]
     inputs = [f"{c}_idx" for c in categorical] + list(numeric)
-    return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
+    return [category_indexer(categorical), VectorAssembler(inputCols=inputs, outputCol="features")]
+
+
+def bins_for(encoder: PipelineModel, onehot: bool = False) -> int:
+    """``maxBins`` of the trees: a nominal feature needs a bin for each value and one for unseen values."""
+    indexers = [s for s in encoder.stages if hasattr(s, "labelsArray")]
+    most = 0 if onehot else max((len(v) for i in indexers for v in i.labelsArray), default=0)
+    return max(32, most + 1)
 
 
 # -- learners -----------------------------------------------------------------------------------------------------
@@ -129,16 +141,38 @@ def boosted_trees_alt(params: Params) -> GBTRegressor:
 
 Learner = Callable[[Params], GBTRegressor | RandomForestRegressor]
 
+# MLlib's name of what decides a fit -> name in results.
+EFFECTIVE = {
+    "maxIter": "n_estimators", "numTrees": "n_estimators", "stepSize": "learning_rate", "maxDepth": "max_depth",
+    "minInstancesPerNode": "min_rows", "minInfoGain": "min_gain", "subsamplingRate": "subsample", "seed": "random_state",
+}
+
+
+def effective(learner: Learner, params: Params) -> dict[str, float]:
+    """The parameters a fit really has, after limits and missing counterparts.
+
+    Boosting without row sampling draws no random numbers, so its seed is left out.
+    """
+    estimator = learner(params)
+    found = {EFFECTIVE[p.name]: float(v) for p, v in estimator.extractParamMap().items() if p.name in EFFECTIVE}
+    if isinstance(estimator, GBTRegressor) and found["subsample"] == 1.0:
+        del found["random_state"]
+    return found
+
+
 # -- one fit ------------------------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class FittedModel:
-    """Feature pipeline with trees, and the scaling of the target."""
+    """Feature pipeline with trees, the scaling of features and target, and the chosen parameters."""
 
     pipeline: PipelineModel
     target_scale: ZScore
     target: str = TARGET
+    feature_scale: ZScore = field(default_factory=lambda: ZScore({}, {}))
+    features: tuple[str, ...] = ()
+    params: Params = field(default_factory=dict)
 
     def predict(self, scaled: DataFrame) -> DataFrame:
         """Adds ``predictions`` in units of the target. ``scaled`` holds already scaled features."""
@@ -146,6 +180,10 @@ class FittedModel:
         restored = self.target_scale.restore(F.col("prediction"), self.target)
         return raw.select(*scaled.columns, restored.alias("predictions"))
 
+    def predict_raw(self, df: DataFrame) -> DataFrame:
+        """The same for features in their own units, scaled by the train rows' mean and spread."""
+        return self.predict(self.feature_scale.transform(df))
+
 
 def scale_target(train: DataFrame, target: str = TARGET) -> tuple[DataFrame, ZScore]:
     """``label``: the target in standard units."""
@@ -153,18 +191,28 @@ def scale_target(train: DataFrame, target: str = TARGET) -> tuple[DataFrame, ZSc
     return train.withColumn("label", scale.scaled(target)), scale
 
 
-def fit_model(train: DataFrame, features: Sequence[str], learner: Learner, params: Params, target: str = TARGET):
-    """Fit on rows whose features are scaled and whose ``target`` is not."""
+def fit_model(
+    train: DataFrame, features: Sequence[str], learner: Learner, params: Params, target: str = TARGET,
+    feature_scale: ZScore | None = None,
+) -> FittedModel:
+    """Fit on rows whose features are scaled (by ``feature_scale``) and whose ``target`` is not."""
     categorical = [c for c in CATEGORICAL if c in features]
     numeric = [c for c in features if c not in CATEGORICAL]
     labelled, scale = scale_target(train, target)
-    stages = [*_assemble(numeric, categorical), learner(params)]
-    return FittedModel(Pipeline(stages=stages).fit(labelled), scale, target)
+    encoder = Pipeline(stages=_assemble(numeric, categorical)).fit(labelled)
+    trees = learner(params).setMaxBins(bins_for(encoder)).fit(encoder.transform(labelled))
+    pipeline = PipelineModel([*encoder.stages, trees])
+    return FittedModel(pipeline, scale, target, feature_scale or ZScore({}, {}), tuple(features), dict(params))
+
+
+def feature_scale(df: DataFrame, target: str = TARGET) -> ZScore:
+    """Mean and spread of all double columns but the target."""
+    return ZScore.fit(df, double_columns(df, skip=(target,)))
 
 
 def scale_features(df: DataFrame, target: str = TARGET) -> DataFrame:
     """All double columns but the target in standard units of these very rows."""
-    return ZScore.fit(df, double_columns(df, skip=(target,))).transform(df)
+    return feature_scale(df, target).transform(df)
 
 
 def fit_predict(
@@ -176,8 +224,9 @@ def fit_predict(
     The test slice is scaled with its own mean and spread, not the train slice's.
     """
     keys = ["date", "ticker", target, *features]
-    train = scale_features(train_set(modeling, train_date).select(*keys), target)
-    model = fit_model(train, features, learner, params, target)
+    rows = train_set(modeling, train_date).select(*keys)
+    scale = feature_scale(rows, target)
+    model = fit_model(scale.transform(rows), features, learner, params, target, scale)
     test = scale_features(slice_between(modeling, train_date, test_date).select(*keys), target)
     return model.predict(test).select("date", "ticker", target, "predictions")
 
@@ -245,6 +294,18 @@ class Prepared:
     target_scale: ZScore
     names: tuple[str, ...]
     folds: tuple[Fold, ...]
+    feature_scale: ZScore
+    features: tuple[str, ...]
+    bins: int
+    target: str = TARGET
+
+    def estimator(self, learner: Learner, params: Params) -> GBTRegressor | RandomForestRegressor:
+        return learner(params).setMaxBins(self.bins)
+
+    def fitted(self, trees, params: Params) -> FittedModel:
+        """Trees of a search as a whole model, from unencoded features to target units."""
+        pipeline = PipelineModel([*self.encoder.stages, trees])
+        return FittedModel(pipeline, self.target_scale, self.target, self.feature_scale, self.features, dict(params))
 
 
 def prepare_search(
@@ -256,49 +317,103 @@ def prepare_search(
     Features and target are scaled over the whole train slice, so scores are in units of the target's spread.
     """
     train = train_set(modeling, modeling_data_date).select("date", "ticker", target, *features)
-    scaled, scale = scale_target(scale_features(train, target), target)
+    own_scale = feature_scale(train, target)
+    scaled, scale = scale_target(own_scale.transform(train), target)
     numeric, categorical = [c for c in features if c not in CATEGORICAL], [c for c in CATEGORICAL if c in features]
-    if onehot:
-        values = category_values(scaled, categorical)
-        scaled = encode_onehot(scaled, values)
-        numeric, categorical = numeric + [f"{c}_{v}" for c in values for v in values[c]], []
-    encoder = Pipeline(stages=_assemble(numeric, categorical)).fit(scaled)
+    encoder = Pipeline(stages=_assemble(numeric, categorical, onehot)).fit(scaled)
+    if onehot and categorical:
+        values = category_values(encoder.stages[0], categorical)
+        names = numeric + [f"{c}_{v}" for c in categorical for v in values[c]]
+    else:
+        names = [f"{c}_idx" for c in categorical] + numeric
     encoded = encoder.transform(scaled).select("date", "ticker", "label", "features")
     return Prepared(
-        stage(encoded, "train"), encoder, scale, tuple([f"{c}_idx" for c in categorical] + numeric), tuple(folds)
+        stage(encoded, "train"), encoder, scale, tuple(names), tuple(folds), own_scale, tuple(features),
+        bins_for(encoder, onehot), target,
     )
 
 
-def fold_score(prepared: Prepared, fold: int, learner: Learner, params: Params, metric: str, share: float = 1.0) -> float:
-    """Error of one candidate on one fold. ``share`` < 1 keeps that part of the rows, chosen by key hash."""
+def _part(prepared: Prepared, share: float) -> DataFrame:
+    """``share`` < 1 keeps that part of the rows, chosen by key hash."""
+    if share >= 1:
+        return prepared.rows
+    return prepared.rows.filter(F.pmod(F.xxhash64("ticker", "date"), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def fold_rows(prepared: Prepared, share: float = 1.0) -> dict[tuple[int, str], int]:
+    """Rows by (fold, role)."""
+    flags = fold_flags(prepared.folds)
+    counts = _part(prepared, share).agg(*[F.count_if(condition) for _, _, condition in flags]).first()
+    return {(number, role): n for (number, role, _), n in zip(flags, counts)}
+
+
+def require_rows(prepared: Prepared, share: float = 1.0) -> None:
+    """Raises if a fold has nothing to train on or to test on: no score would mean anything."""
+    for (number, role), n in fold_rows(prepared, share).items():
+        if not n:
+            raise ValueError(f"fold {number} has no {role} rows at a share of {share:g} of the rows")
+
+
+def fold_scores(
+    prepared: Prepared, fold: int, learner: Learner, params: Params, trees: Sequence[int], metric: str, share: float = 1.0
+) -> list[float]:
+    """Errors of one fit on one fold, one for each number of ``trees`` (the first so many of the longest run)."""
     train_on, test_on = (c for number, _, c in fold_flags(prepared.folds) if number == fold)
-    rows = prepared.rows
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("ticker", "date"), F.lit(1_000_000)) < int(share * 1_000_000))
-    model = learner(params).fit(rows.filter(train_on))
+    rows = _part(prepared, share)
+    model = prepared.estimator(learner, {**params, "n_estimators": max(trees)}).fit(rows.filter(train_on))
+    if len(trees) > 1:
+        errors = model.evaluateEachIteration(rows.filter(test_on), "squared")
+        return [math.sqrt(errors[n - 1]) for n in trees]
     scored = model.transform(rows.filter(test_on)).withColumnRenamed("prediction", "predictions")
     value = error_metrics(scored, "label").first()[metric]
-    return float("inf") if value is None else float(value)
+    if value is None:
+        raise ValueError(f"fold {fold} has no test rows with a label at a share of {share:g} of the rows")
+    return [float(value)]
+
 
+RESULT = "candidate int, fold int, score double, params map<string,double>, effective map<string,double>"
 
-RESULT = "candidate int, fold int, score double, params map<string,double>"
+
+def distinct_fits(candidates: Sequence[Params], learner: Learner, metric: str) -> list[tuple[dict, dict[int, list[int]]]]:
+    """(parameters, candidates by number of trees) of every fit that is needed.
+
+    Candidates that come to the same effective parameters share a fit. Boosting without row sampling grows its trees one
+    after the other, so by squared error a shorter run is read off the longest one.
+    """
+    fits: dict[tuple, tuple[dict, dict[int, list[int]]]] = {}
+    for i, params in enumerate(candidates):
+        own = effective(learner, params)
+        trees = int(own["n_estimators"])
+        if metric == "rmse" and "random_state" not in own and issubclass(type(learner(params)), GBTRegressor):
+            del own["n_estimators"]
+        _, by_trees = fits.setdefault(tuple(sorted(own.items())), (dict(params), {}))
+        by_trees.setdefault(trees, []).append(i)
+    return list(fits.values())
 
 
 def cross_validate(
     prepared: Prepared, candidates: Sequence[Params], learner: Learner, metric: str = "rmse", parallelism: int = 4,
     share: float = 1.0,
 ) -> DataFrame:
-    """Scores of all candidates on all folds: (candidate, fold, score, params).
+    """Scores of all candidates on all folds: (candidate, fold, score, params, effective).
 
-    The driver only hands out fits; each one is a distributed job, ``parallelism`` of them at a time.
+    The driver only hands out the distinct fits; each one is a distributed job, ``parallelism`` of them at a time.
     """
-    tasks = [(i, f) for i in range(len(candidates)) for f in range(1, len(prepared.folds) + 1)]
+    require_rows(prepared, share)
+    fits = distinct_fits(candidates, learner, metric)
+    tasks = [(fit, f) for fit in fits for f in range(1, len(prepared.folds) + 1)]
+
+    def run(task) -> list[tuple[int, int, float]]:
+        (params, by_trees), fold = task
+        trees = sorted(by_trees)
+        scores = fold_scores(prepared, fold, learner, params, trees, metric, share)
+        return [(i, fold, score) for n, score in zip(trees, scores) for i in by_trees[n]]
+
     with ThreadPool(parallelism) as pool:
-        scores = pool.map(
-            lambda task: fold_score(prepared, task[1], learner, candidates[task[0]], metric, share), tasks, chunksize=1
-        )
+        found = [row for rows in pool.map(run, tasks, chunksize=1) for row in rows]
     rows = [
-        (i, f, score, {k: float(v) for k, v in candidates[i].items()}) for (i, f), score in zip(tasks, scores)
+        (i, f, score, {k: float(v) for k, v in candidates[i].items()}, effective(learner, candidates[i]))
+        for i, f, score in sorted(found)
     ]
     return prepared.rows.sparkSession.createDataFrame(rows, RESULT)
 
@@ -306,7 +421,10 @@ def cross_validate(
 def cv_summary(results: DataFrame) -> DataFrame:
     """Mean and spread of the fold scores per candidate, best first by ``rank``."""
     means = results.groupBy("candidate").agg(
-        F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"), F.first("params").alias("params")
+        F.avg("score").alias("mean_score"),
+        F.stddev_pop("score").alias("std_score"),
+        F.first("params").alias("params"),
+        F.first("effective").alias("effective"),
     )
     return means.withColumn("rank", F.row_number().over(Window.orderBy("mean_score", "candidate")))
 
@@ -320,7 +438,7 @@ def best_params(results: DataFrame) -> dict[str, float]:
 class SearchResult:
     results: DataFrame
     best: dict[str, float]
-    model: GBTRegressor | RandomForestRegressor | None
+    model: FittedModel | None
 
 
 def search(
@@ -330,7 +448,12 @@ def search(
     """Cross-validate the candidates and refit the best on all train rows."""
     results = cross_validate(prepared, candidates, learner, metric, parallelism)
     best = best_params(results)
-    return SearchResult(results, best, learner(best).fit(prepared.rows) if refit else None)
+    return SearchResult(results, best, refitted(prepared, best, learner) if refit else None)
+
+
+def refitted(prepared: Prepared, params: Params, learner: Learner) -> FittedModel:
+    """A whole model of all train rows."""
+    return prepared.fitted(prepared.estimator(learner, params).fit(prepared.rows), params)
 
 
 def halving_search(
@@ -338,12 +461,16 @@ def halving_search(
 ) -> DataFrame:
     """Successive halving: each round scores the survivors on twice the rows and keeps the better half.
 
-    The last round uses all rows. Returns (round, share, candidate, mean_score, rank, kept).
+    It starts with the smallest share that leaves rows in every fold; the last round uses all rows. Returns (round, share,
+    candidate, mean_score, rank, kept).
     """
     rounds = int(math.log2(len(candidates))) + 1
+    start = 0.5 ** (rounds - 1)
+    while start < 1 and not all(fold_rows(prepared, start).values()):
+        start *= 2
     alive, parts = list(range(len(candidates))), []
     for r in range(rounds):
-        share = 0.5 ** (rounds - 1 - r)
+        share = 1.0 if r == rounds - 1 else min(1.0, start * 2**r)
         scores = cv_summary(
             cross_validate(prepared, [candidates[i] for i in alive], learner, metric, parallelism, share)
         )
@@ -366,14 +493,14 @@ def seeds(count: int = 200, first: int = 1000, last: int = 999_999) -> list[int]
 
 def seed_stability(
     prepared: Prepared, params: Params, seed_list: Sequence[int], learner: Learner = boosted_trees, metric: str = "rmse",
-    parallelism: int = 4, subsample: float = 0.8,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Fold scores of one parameter set under many seeds.
 
-    MLlib's boosting draws random numbers only when it samples rows, so the trees see ``subsample`` of them here.
+    MLlib's boosting draws random numbers only when it samples rows (``subsample`` below 1 in ``params``). Otherwise all
+    seeds come to one fit and one score, which is then the answer.
     """
-    candidates = [{**params, "random_state": s, "subsample": subsample} for s in seed_list]
-    return cross_validate(prepared, candidates, learner, metric, parallelism)
+    return cross_validate(prepared, [{**params, "random_state": s} for s in seed_list], learner, metric, parallelism)
 
 
 def cv_param_effect(results: DataFrame) -> DataFrame:
@@ -404,9 +531,26 @@ def feature_importance(model, names: Sequence[str], spark, n: int = 40) -> DataF
 # -- storage ------------------------------------------------------------------------------------------------------
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: FittedModel, path: str, spark: SparkSession) -> None:
+    """One folder: encoder and trees below ``pipeline``, scales, feature names and parameters in ``about``."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    about = {
+        "target": model.target,
+        "target_scale": [model.target_scale.means, model.target_scale.spreads],
+        "feature_scale": [model.feature_scale.means, model.feature_scale.spreads],
+        "features": list(model.features),
+        "params": {k: float(v) for k, v in model.params.items()},
+    }
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_model(path: str, spark: SparkSession) -> FittedModel:
+    about = json.loads(spark.read.text(f"{path}/about").first()[0])
+    return FittedModel(
+        PipelineModel.load(f"{path}/pipeline"),
+        ZScore(*about["target_scale"]),
+        about["target"],
+        ZScore(*about["feature_scale"]),
+        tuple(about["features"]),
+        about["params"],
+    )

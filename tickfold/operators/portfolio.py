@@ -23,7 +23,8 @@ RISK_FREE = 0.02
 L2_GAMMA = 1.0
 WEIGHT_CUTOFF, WEIGHT_DIGITS = 1e-4, 5
 
-# Largest pick table (rows) that is broadcast; beyond it the panel is joined by shuffle.
+# Largest pick table (rows) that is broadcast; beyond it, or when the bound is unknown (the default everywhere), the panel is
+# joined by shuffle, with the same result.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -50,7 +51,8 @@ def basket_history(picks: DataFrame, panel: DataFrame, rows: int | None = None)
 def price_vectors(history: DataFrame) -> DataFrame:
     """One row per basket and date on which every name has a price: (date_r, date, tickers, prices).
 
-    At most n prices meet in a row, in ticker order; a basket's names are those with any row in the history.
+    At most n prices meet in a row, in ticker order; a basket's names are those with any row in the history. A ticker with
+    two prices on a date raises: its companies must not be mixed, and its dates must not fall out.
     """
     cells = F.sort_array(F.collect_list(F.struct("ticker", "adj_close")))
     by_date = history.groupBy("date_r", "date").agg(cells.alias("cells"))
@@ -61,8 +63,11 @@ def price_vectors(history: DataFrame) -> DataFrame:
         .agg(F.count_distinct("ticker").alias("basket_size"))
     )
     priced = F.size(F.filter("cells", lambda c: c["adj_close"].isNotNull()))
+    twice = F.size(F.array_distinct("cells.ticker")) < F.size("cells")
+    message = F.concat(F.lit("basket "), F.col("date_r"), F.lit(": a ticker has two prices on "), F.col("date"))
     return (
         by_date.join(names, "date_r")
+        .filter(F.when(twice, F.raise_error(message).cast("boolean")).otherwise(True))
         .filter(priced == F.col("basket_size"))
         .select(
             "date_r",
@@ -83,8 +88,17 @@ def complete_case(history: DataFrame) -> DataFrame:
 
 
 def return_vectors(vectors: DataFrame) -> DataFrame:
-    """Simple returns between consecutive kept dates of a basket: (date_r, date, tickers, returns)."""
+    """Simple returns between consecutive kept dates of a basket: (date_r, date, tickers, returns).
+
+    A return that is no finite number, as after a price of zero, raises and names the basket and its tickers: one such
+    value would make the whole basket's risk undefined.
+    """
     before = F.lag("prices").over(Window.partitionBy("date_r").orderBy("date"))
+    odd = F.filter(F.arrays_zip("tickers", "returns"), lambda c: ~(F.abs(c["returns"]) < float("inf")) | c["returns"].isNull())
+    message = F.concat(
+        F.lit("basket "), F.col("date_r"), F.lit(": no return on "), F.col("date"), F.lit(" for "), F.array_join(odd["tickers"], ", ")
+    )
+    sound = F.when(F.size(odd) > 0, F.raise_error(message).cast("boolean")).otherwise(True)
     return (
         vectors.withColumn("before", before)
         .filter(F.col("before").isNotNull())
@@ -94,6 +108,7 @@ def return_vectors(vectors: DataFrame) -> DataFrame:
             "tickers",
             F.zip_with("prices", "before", lambda now, then: F.try_divide(now, then) - 1).alias("returns"),
         )
+        .filter(sound)
     )
 
 
@@ -186,7 +201,12 @@ def views(picks: DataFrame, confidence: float) -> DataFrame:
     )
 
 
-_POSTERIOR = "date_r date, tickers array<string>, posterior_return array<double>, posterior_cov array<double>"
+_POSTERIOR = (
+    "date_r date, tickers array<string>, posterior_return array<double>, posterior_cov array<double>, status string"
+)
+
+# What became of a basket.
+OK, NO_EXCESS, DEGENERATE = "ok", "nothing above the risk-free rate", "degenerate"
 
 
 def _posterior(sigma: np.ndarray, view: np.ndarray, confidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +218,11 @@ def _posterior(sigma: np.ndarray, view: np.ndarray, confidence: np.ndarray) -> t
 
 
 def bl_posterior(covariance: DataFrame, view_rows: DataFrame) -> DataFrame:
-    """Posterior mean and covariance per basket (one row each)."""
+    """Posterior mean and covariance per basket, one row each.
+
+    A basket whose risk is not defined, as with a single return per name, keeps its row with ``status`` degenerate and
+    without numbers; it doesn't stop the others.
+    """
     wanted = view_rows.groupBy(F.col("date").alias("date_r")).agg(
         F.map_from_entries(F.collect_list(F.struct("ticker", F.struct("view", "confidence")))).alias("by_ticker")
     )
@@ -206,6 +230,7 @@ def bl_posterior(covariance: DataFrame, view_rows: DataFrame) -> DataFrame:
     baskets = covariance.join(wanted, "date_r").select(
         "date_r",
         "tickers",
+        "n_obs",
         "shrunk",
         F.transform("tickers", lambda t: F.element_at("by_ticker", t)["view"]).alias("view"),
         F.transform("tickers", lambda t: F.element_at("by_ticker", t)["confidence"]).alias("confidence"),
@@ -216,13 +241,16 @@ def bl_posterior(covariance: DataFrame, view_rows: DataFrame) -> DataFrame:
             out = []
             for row in pdf.itertuples(index=False):
                 n = len(row.tickers)
-                mean, cov = _posterior(
-                    np.asarray(row.shrunk, dtype="float64").reshape(n, n),
-                    np.asarray(row.view, dtype="float64"),
-                    np.asarray(row.confidence, dtype="float64"),
-                )
-                out.append((row.date_r, list(row.tickers), mean.tolist(), cov.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["date_r", "tickers", "posterior_return", "posterior_cov"])
+                sigma = np.asarray(row.shrunk, dtype="float64").reshape(n, n)
+                view, confidence = (np.asarray(x, dtype="float64") for x in (row.view, row.confidence))
+                if not (np.isfinite(view).all() and np.isfinite(confidence).all()):
+                    raise ValueError(f"basket {row.date_r}: a view is no finite number")
+                if row.n_obs < 2 or not np.isfinite(sigma).all() or (np.diag(sigma) <= 0).any():
+                    out.append((row.date_r, list(row.tickers), None, None, DEGENERATE))
+                    continue
+                mean, cov = _posterior(sigma, view, confidence)
+                out.append((row.date_r, list(row.tickers), mean.tolist(), cov.ravel().tolist(), OK))
+            yield pd.DataFrame(out, columns=["date_r", "tickers", "posterior_return", "posterior_cov", "status"])
 
     return baskets.mapInPandas(solve, _POSTERIOR)
 
@@ -232,6 +260,8 @@ def _max_sharpe(mean: np.ndarray, cov: np.ndarray) -> np.ndarray | None:
 
     Up to scale they solve min y'Ay/2 - m'y over y >= 0, found by growing and shrinking the set of held names.
     """
+    if not (np.isfinite(mean).all() and np.isfinite(cov).all()):
+        raise ValueError("a posterior mean or covariance is no finite number")
     m = mean - RISK_FREE
     a = cov + L2_GAMMA * np.eye(len(m))
     y, held = np.zeros(len(m)), np.zeros(len(m), dtype=bool)
@@ -257,23 +287,104 @@ def _max_sharpe(mean: np.ndarray, cov: np.ndarray) -> np.ndarray | None:
     return y / y.sum() if y.sum() > 0 else None
 
 
-def max_sharpe_weights(posterior: DataFrame) -> DataFrame:
-    """(date, ticker, weights) per basket. A basket without a name above the risk-free rate yields no rows."""
+_WEIGHTED = "date date, tickers array<string>, weights array<double>, status string"
+
+
+def weight_vectors(posterior: DataFrame) -> DataFrame:
+    """(date, tickers, weights, status): one row per basket, without weights where ``status`` is not ok."""
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for row in pdf.itertuples(index=False):
-                n = len(row.tickers)
-                weights = _max_sharpe(
-                    np.asarray(row.posterior_return, dtype="float64"),
-                    np.asarray(row.posterior_cov, dtype="float64").reshape(n, n),
-                )
-                if weights is not None:
-                    out += [(row.date_r, t, float(w)) for t, w in zip(row.tickers, weights)]
-            yield pd.DataFrame(out, columns=["date", "ticker", "weights"])
+                n, weights, status = len(row.tickers), None, row.status
+                if status == OK:
+                    weights = _max_sharpe(
+                        np.asarray(row.posterior_return, dtype="float64"),
+                        np.asarray(row.posterior_cov, dtype="float64").reshape(n, n),
+                    )
+                    status = OK if weights is not None else NO_EXCESS
+                out.append((row.date_r, list(row.tickers), None if weights is None else weights.tolist(), status))
+            yield pd.DataFrame(out, columns=["date", "tickers", "weights", "status"])
+
+    return posterior.mapInPandas(solve, _WEIGHTED)
+
+
+def max_sharpe_weights(posterior: DataFrame) -> DataFrame:
+    """(date, ticker, weights) of the baskets that have weights; :func:`basket_status` tells of the others."""
+    pairs = weight_vectors(posterior).filter(F.col("status") == OK)
+    pairs = pairs.select("date", F.explode(F.arrays_zip("tickers", "weights")).alias("w"))
+    return pairs.select("date", F.col("w.tickers").alias("ticker"), "w.weights")
+
+
+def basket_status(dates: DataFrame, posterior: DataFrame) -> DataFrame:
+    """(date, n_names, status) for every rebalancing date of ``dates`` (one column, date), so that none disappears.
+
+    A date on which no name was picked has the status ``no picks``; one without a kept return ``degenerate``.
+    """
+    found = weight_vectors(posterior).select("date", F.size("tickers").alias("n_names"), "status")
+    return dates.join(found, "date", "left").select(
+        "date", F.coalesce("n_names", F.lit(0)).alias("n_names"), F.coalesce("status", F.lit("no picks")).alias("status")
+    )
+
+
+def posterior_residual(covariance: DataFrame, view_rows: DataFrame, posterior: DataFrame) -> DataFrame:
+    """(date_r, n_names, exact): whether mean and covariance meet their equations to nine digits, by rows and sums alone.
+
+    With P = TAU * sigma and the diagonal W of view variances, the posterior covariance is sigma + W - W (P + W)^-1 W, and
+    view minus posterior mean is W (P + W)^-1 view. So (sigma + W - cov) (view / W) must give back view - mean, which the
+    solver computes in another way.
+    """
+    long = covariance.join(posterior.drop("tickers"), "date_r").select(
+        "date_r", "tickers", F.size("tickers").alias("n"), F.posexplode(F.arrays_zip("shrunk", "posterior_cov")).alias("at", "m"), "posterior_return"
+    )
+    cells = long.select(
+        "date_r",
+        "n",
+        F.get("tickers", F.floor(F.col("at") / F.col("n")).cast("int")).alias("ticker"),
+        F.get("tickers", (F.col("at") % F.col("n")).cast("int")).alias("other"),
+        F.col("m.shrunk").alias("sigma"),
+        F.col("m.posterior_cov").alias("cov"),
+        F.get("posterior_return", F.floor(F.col("at") / F.col("n")).cast("int")).alias("mean"),
+    )
+    variance = cells.filter("ticker = other").select("date_r", F.col("ticker").alias("other"), F.col("sigma").alias("own"))
+    wanted = view_rows.select(F.col("date").alias("date_r"), F.col("ticker").alias("other"), "view", "confidence")
+    omega = TAU * (1 - F.col("confidence")) / F.col("confidence") * F.col("own")
+    cells = cells.join(variance.join(wanted, ["date_r", "other"]).withColumn("omega", omega), ["date_r", "other"])
+    diagonal = F.when(F.col("ticker") == F.col("other"), F.col("omega")).otherwise(0.0)
+    back = F.sum((F.col("sigma") + diagonal - F.col("cov")) * F.col("view") / F.col("omega"))
+    sums = cells.groupBy("date_r", "n", "ticker").agg(
+        back.alias("back"), F.max("mean").alias("mean"), F.max(F.when(F.col("ticker") == F.col("other"), F.col("view"))).alias("view")
+    )
+    close = F.abs(F.col("view") - F.col("back") - F.col("mean")) <= 1e-9 * (1 + F.abs("view"))
+    return sums.groupBy("date_r").agg(F.max("n").alias("n_names"), F.every(close).alias("exact"))
 
-    return posterior.mapInPandas(solve, "date date, ticker string, weights double")
+
+def weights_optimality(posterior: DataFrame) -> DataFrame:
+    """(date, n_names, sums_to_one, none_negative, slopes_agree) per basket with weights, by rows and sums alone.
+
+    At the best ratio, every held name has the same ratio of excess return to marginal risk, and no other a higher one.
+    """
+    chosen = weight_vectors(posterior).filter(F.col("status") == OK).select(F.col("date").alias("date_r"), "weights")
+    long = posterior.filter(F.col("status") == OK).join(chosen, "date_r").select(
+        "date_r", F.size("tickers").alias("n"), F.posexplode("posterior_cov").alias("at", "cov"), "posterior_return", "weights"
+    )
+    i, j = F.floor(F.col("at") / F.col("n")).cast("int"), (F.col("at") % F.col("n")).cast("int")
+    cell = F.col("cov") + F.when(i == j, L2_GAMMA).otherwise(0.0)
+    rows = long.groupBy("date_r", "n", i.alias("i")).agg(
+        F.sum(cell * F.get("weights", j)).alias("risk"),
+        F.first(F.get("weights", i)).alias("w"),
+        F.first(F.get("posterior_return", i) - RISK_FREE).alias("excess"),
+    )
+    scale = rows.groupBy("date_r").agg((F.sum(F.col("excess") * F.col("w")) / F.sum(F.col("risk") * F.col("w"))).alias("ratio"))
+    gap = F.col("excess") - F.col("ratio") * F.col("risk")
+    held = F.when(F.col("w") > 0, F.abs(gap) <= 1e-8).otherwise(gap <= 1e-8)
+    return rows.join(scale, "date_r").groupBy(F.col("date_r").alias("date")).agg(
+        F.max("n").alias("n_names"),
+        (F.abs(F.sum("w") - 1) < 1e-9).alias("sums_to_one"),
+        F.every(F.col("w") >= 0).alias("none_negative"),
+        F.every(held).alias("slopes_agree"),
+    )
 
 
 def clean_weights(weights: DataFrame) -> DataFrame:
@@ -284,11 +395,15 @@ def clean_weights(weights: DataFrame) -> DataFrame:
     )
 
 
-def optimal_weights(picks: DataFrame, panel: DataFrame, confidence: float, rows: int | None = None) -> DataFrame:
-    """Cleaned weights of every basket: history, shrunk covariance, posterior, best ratio."""
+def basket_posterior(picks: DataFrame, panel: DataFrame, confidence: float, rows: int | None = None) -> DataFrame:
+    """Posterior of every basket: history, shrunk covariance, views."""
     returns = return_vectors(price_vectors(basket_history(picks, panel, rows)))
-    posterior = bl_posterior(shrunk_covariance(returns), views(picks, confidence))
-    return clean_weights(max_sharpe_weights(posterior))
+    return bl_posterior(shrunk_covariance(returns), views(picks, confidence))
+
+
+def optimal_weights(picks: DataFrame, panel: DataFrame, confidence: float, rows: int | None = None) -> DataFrame:
+    """Cleaned weights of every basket: posterior, best ratio."""
+    return clean_weights(max_sharpe_weights(basket_posterior(picks, panel, confidence, rows)))
 
 
 # -- positions and backtest ---------------------------------------------------------------------------------------

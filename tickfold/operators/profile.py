@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickfold.functions.scaling import ZScore
+
 QUANTILES = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 
 
@@ -105,14 +107,37 @@ def profile_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile_corr_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same for wide tables without missing values: one distributed Gram matrix instead of one aggregate per pair.
+    """The same for wide tables: one product matrix of values and of marks of what is there, instead of one aggregate per
+    pair.
 
-    Only the columns x columns matrix reaches the driver.
+    Each task folds its rows to a matrix of (3 x columns)^2 sums, and those are summed by place. Columns are put in standard
+    units first, so that the sums stay exact. A pair without spread in common has a NULL correlation.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(df.select(*columns))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    names, n = list(columns), len(columns)
+    scaled = ZScore.fit(df, names).transform(df.select(*names))
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3 * n, 3 * n))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64")
+            there = np.isfinite(x)
+            x = np.where(there, x, 0.0)
+            z = np.hstack([there, x, x * x])
+            total += z.T @ z
+        i, j = np.nonzero(total)
+        yield pd.DataFrame({"i": i, "j": j, "v": total[i, j]})
+
+    sums = scaled.mapInPandas(products, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    matrix = np.zeros((3 * n, 3 * n))
+    found = sums.toPandas()  # (3 x columns)^2 numbers
+    matrix[found["i"], found["j"]] = found["v"]
+    there, values, squares = slice(0, n), slice(n, 2 * n), slice(2 * n, 3 * n)
+    count, first, second = matrix[there, there], matrix[values, there], matrix[squares, there]
+    with np.errstate(all="ignore"):
+        spread = second - first * first / count
+        corr = (matrix[values, values] - first * first.T / count) / np.sqrt(spread * spread.T)
     rows = [
-        (columns[i], columns[j], float(matrix[i][j])) for i, j in combinations(range(len(columns)), 2)
+        (names[i], names[j], float(corr[i, j]) if np.isfinite(corr[i, j]) else None) for i, j in combinations(range(n), 2)
     ]
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
 

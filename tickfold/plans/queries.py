@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,16 +171,17 @@ def ts_folds(spark, sf_dir):
 
 @register
 def model_roundtrip(spark, sf_dir):
-    """A fitted model saved and loaded predicts the same on the holdout."""
+    """A model stored and loaded predicts the same on the holdout, in target units, from its folder alone."""
     modeling = _staged_modeling(spark, sf_dir)
-    train = model.scale_features(splits.train_set(modeling, S.modeling_data_date))
-    holdout = model.scale_features(splits.holdout_set(modeling, S.modeling_data_date))
-    fitted = model.fit_model(train, S.features, model.boosted_trees, S.best_params)
+    train = splits.train_set(modeling, S.modeling_data_date)
+    holdout = splits.holdout_set(modeling, S.modeling_data_date)
+    scale = model.feature_scale(train)
+    fitted = model.fit_model(scale.transform(train), S.features, model.boosted_trees, S.best_params, feature_scale=scale)
     path = stage_path(spark, "model")
-    model.save_model(fitted.pipeline, path)
-    loaded = model.FittedModel(model.load_model(path), fitted.target_scale)
-    before = fitted.predict(holdout).select("date", "ticker", F.col("predictions").alias("before"))
-    both = loaded.predict(holdout).select("date", "ticker", "predictions").join(before, ["date", "ticker"])
+    model.save_model(fitted, path, spark)
+    before = fitted.predict(scale.transform(holdout)).select("date", "ticker", F.col("predictions").alias("before"))
+    loaded = model.load_model(path, spark)
+    both = loaded.predict_raw(holdout).select("date", "ticker", "predictions").join(before, ["date", "ticker"])
     return both.agg(
         F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("predictions") - F.col("before"))).alias("max_abs_diff")
     )
@@ -405,8 +407,9 @@ def profile_modeling(spark, sf_dir):
 
 @register
 def profile_modeling_corr(spark, sf_dir):
-    """Correlations of the complete momentum columns from one Gram matrix."""
-    return _rounded(profile.profile_corr_wide(_modeling(spark, sf_dir), RATIOS))
+    """Correlations of all numeric columns, pairwise complete."""
+    df = _staged_modeling(spark, sf_dir)
+    return _rounded(profile.profile_corr_wide(df, double_columns(df)))
 
 
 # -- splits and scaling -------------------------------------------------------------------------------------------
@@ -450,13 +453,12 @@ def encode_index(spark, sf_dir):
 
 @register
 def encode_onehot(spark, sf_dir):
-    """Dummies of sector and size class; the levels are read off the region table and the size classes."""
-    sectors = [r[0] for r in testdata.industries(spark, sf_dir).select("Sector").distinct().orderBy("Sector").collect()]
-    caps = [name for name, _ in c.CAP_FLOORS]
-    df = _modeling(spark, sf_dir).select("date", "ticker", *c.CATEGORICAL)
-    wide = model.encode_onehot(df, {"sector": sectors, "market_cap_cat": caps})
-    dummies = [n for n in wide.columns if n not in ("date", "ticker")]
-    return wide.select("date", "ticker", *[F.col(f"`{n}`").alias(n.replace(" ", "_").lower()) for n in dummies])
+    """Dummies of sector and size class, read off the encoder's sparse vectors."""
+    df = _staged_modeling(spark, sf_dir).select("date", "ticker", *c.CATEGORICAL)
+    encoded, values = model.encode_onehot(df)
+    vectors = encoded.withColumns({name: vector_to_array(f"{name}_hot") for name in values})
+    dummies = [F.get(name, F.lit(i)).alias(f"{name}_{v}".replace(" ", "_").lower()) for name in values for i, v in enumerate(values[name])]
+    return vectors.select("date", "ticker", *dummies)
 
 
 @register
@@ -507,7 +509,7 @@ def _prepared(spark, sf_dir, onehot=False):
     return model.prepare_search(modeling, S.modeling_data_date, S.folds, S.features, onehot=onehot)
 
 
-# Few and small trees: the registered searches show the search, not the model.
+# Small trees: the registered searches show the search, not the model.
 SMALL_GRID = {"n_estimators": [2, 3], "learning_rate": [0.05, 0.1], "max_depth": [2, 3], "num_leaves": [4, 8],
               "min_data_in_leaf": [5, 10]}
 
@@ -515,13 +517,13 @@ SMALL_GRID = {"n_estimators": [2, 3], "learning_rate": [0.05, 0.1], "max_depth":
 @register
 def search_random(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    found = model.search(prepared, model.random_candidates(SMALL_GRID, 2, seed=7), model.boosted_trees)
+    found = model.search(prepared, model.random_candidates(SMALL_GRID, 10, seed=7), model.boosted_trees)
     return model.cv_summary(found.results)
 
 
 @register
 def search_grid(spark, sf_dir):
-    grid = {"n_estimators": [2], "learning_rate": [0.05, 0.1], "max_depth": [2]}
+    grid = {"n_estimators": [2, 3], "learning_rate": [0.05, 0.1], "max_depth": [2, 3]}
     found = model.search(_prepared(spark, sf_dir), model.grid_candidates(grid), model.boosted_trees)
     return model.cv_summary(found.results)
 
@@ -530,14 +532,14 @@ def search_grid(spark, sf_dir):
 def search_forest(spark, sf_dir):
     grid = {"n_estimators": [3, 5], "max_depth": [3, 4], "min_samples_leaf": [2, 4]}
     prepared = _prepared(spark, sf_dir, onehot=True)
-    found = model.search(prepared, model.random_candidates(grid, 2, seed=7), model.random_forest, "mape")
+    found = model.search(prepared, model.random_candidates(grid, 8, seed=7), model.random_forest, "mape")
     return model.cv_summary(found.results)
 
 
 @register
 def cv_results(spark, sf_dir):
     """Score per candidate and fold."""
-    candidates = model.random_candidates(SMALL_GRID, 2, seed=11)
+    candidates = model.random_candidates(SMALL_GRID, 8, seed=11)
     return model.cross_validate(_prepared(spark, sf_dir), candidates, model.boosted_trees).select(
         "candidate", "fold", "score"
     )
@@ -545,27 +547,47 @@ def cv_results(spark, sf_dir):
 
 @register
 def cv_param_effect(spark, sf_dir):
-    candidates = model.random_candidates(SMALL_GRID, 2, seed=11)
+    candidates = model.random_candidates(SMALL_GRID, 8, seed=11)
     return model.cv_param_effect(model.cross_validate(_prepared(spark, sf_dir), candidates, model.boosted_trees))
 
 
+@register
+def search_scores_consistent(spark, sf_dir):
+    """One row per candidate and fold of a search with the fold's row counts: every fit has a score, and equal fits agree."""
+    prepared = _prepared(spark, sf_dir)
+    candidates = model.grid_candidates({"n_estimators": [2, 3], "max_depth": [2, 9], "num_leaves": [4], "learning_rate": [0.1]})
+    found = model.cross_validate(prepared, candidates, model.boosted_trees)
+    counts = [(f, role, n) for (f, role), n in model.fold_rows(prepared).items()]
+    rows = spark.createDataFrame(counts, "fold int, role string, n long").groupBy("fold").pivot("role", ["train", "test"]).sum("n")
+    # depth 9 comes to depth 2 with four leaves
+    same = found.groupBy("fold", F.col("effective")["n_estimators"].alias("trees")).agg((F.max("score") == F.min("score")).alias("agree"))
+    return (
+        found.withColumn("trees", F.col("params")["n_estimators"])
+        .join(same, ["fold", "trees"])
+        .join(rows, "fold")
+        .select("candidate", "fold", F.col("trees").cast("int").alias("trees"), (F.col("score") > 0).alias("scored"), "agree",
+                F.col("train").alias("n_train"), F.col("test").alias("n_test"))
+    )
+
+
 @register
 def seed_stability(spark, sf_dir):
     params = {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 2, "min_data_in_leaf": 5}
-    results = model.seed_stability(_prepared(spark, sf_dir), params, model.seeds(2))
+    results = model.seed_stability(_prepared(spark, sf_dir), params, model.seeds(200))
     return model.cv_summary(results)
 
 
 @register
 def search_halving(spark, sf_dir):
-    candidates = model.random_candidates(SMALL_GRID, 2, seed=3)
+    """Eight candidates: four rounds, from an eighth of the rows (or what leaves rows in every fold) to all."""
+    candidates = model.random_candidates(SMALL_GRID, 8, seed=3)
     return model.halving_search(_prepared(spark, sf_dir), candidates, model.boosted_trees)
 
 
 @register
 def feature_importance(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
-    fitted = model.boosted_trees(S.best_params).fit(prepared.rows)
+    fitted = prepared.estimator(model.boosted_trees, S.best_params).fit(prepared.rows)
     return model.feature_importance(fitted, prepared.names, spark)
 
 
@@ -574,6 +596,14 @@ def walk_forward(spark, sf_dir):
     return model.walk_forward(_staged_modeling(spark, sf_dir), S.walk_pairs, S.features, S.best_params)
 
 
+@register
+def walk_forward_rows(spark, sf_dir):
+    """Dates, names and targets of the walk-forward predictions, each with a prediction."""
+    return _rounded(
+        walk_forward(spark, sf_dir).select("date", "ticker", TARGET, F.col("predictions").isNotNull().alias("predicted"))
+    )
+
+
 @register
 def production_predictions(spark, sf_dir):
     return model.production_predictions(
@@ -658,6 +688,32 @@ def portfolio_weights(spark, sf_dir):
     return portfolio.optimal_weights(picks, panel, S.confidence, PICK_ROWS)
 
 
+@register
+def basket_status(spark, sf_dir):
+    """What became of every rebalancing date."""
+    picks, panel = _picks_and_panel(spark, sf_dir)
+    dates = _schedule(spark, sf_dir).select(F.col("month_end_date").alias("date"))
+    return portfolio.basket_status(dates, portfolio.basket_posterior(picks, panel, S.confidence, PICK_ROWS))
+
+
+@register
+def posterior_residual(spark, sf_dir):
+    """Whether the posterior of every basket meets its equations."""
+    picks, panel = _picks_and_panel(spark, sf_dir)
+    returns = portfolio.return_vectors(portfolio.price_vectors(portfolio.basket_history(picks, panel, PICK_ROWS)))
+    covariance = stage(portfolio.shrunk_covariance(returns), "covariance")
+    views = portfolio.views(picks, S.confidence)
+    return portfolio.posterior_residual(covariance, views, portfolio.bl_posterior(covariance, views))
+
+
+@register
+def weights_optimality(spark, sf_dir):
+    """Whether the weights of every basket meet the conditions of the best ratio: sum, sign and slopes."""
+    picks, panel = _picks_and_panel(spark, sf_dir)
+    posterior = portfolio.basket_posterior(picks, panel, S.confidence, PICK_ROWS)
+    return portfolio.weights_optimality(stage(posterior, "posterior"))
+
+
 @register
 def clean_weights(spark, sf_dir):
     return portfolio.clean_weights(_rank_weights(_picks_and_panel(spark, sf_dir)[0]))
