@@ -145,10 +145,13 @@ def test_stage_folder(spark):
 
 def test_default_run(spark, tmp_path):
     configure(spark)
-    settings = FIXTURE.with_(walk_pairs=FIXTURE.walk_pairs[:1], last_prediction="2001-03-31", schedule_start="2001-03-01")
+    settings = FIXTURE.with_(
+        top_n=5, walk_pairs=(("2001-03-01", "2001-04-01"),), last_prediction="2001-03-31", schedule_start="2001-03-01"
+    )
     run = jobs.Run(spark, str(tmp_path), settings)
     jobs.default_run(run, testdata.inputs(spark, SMALL), clustered=True)
-    assert run.load("top_predictions_view_data").count() == FIXTURE.top_n
+    assert run.load("top_predictions_view_data").count() == 5
+    assert [(r.n_names, r.status) for r in run.load("basket_status_data").collect()] == [(5, "ok")]
     test = run.load("backtesting_results_data").collect()
     assert len(test) == 1 and test[0].begin_dollar_amount == pytest.approx(100000, rel=1e-3)
     weights = run.load("production_results_data").collect()

@@ -200,11 +200,10 @@ FIXTURE = Settings(
         Fold("1999-01-01", "1999-10-01", "2000-01-01"),
         Fold("1999-04-01", "2000-01-01", "2000-07-01"),
     ),
-    walk_pairs=(("2001-03-01", "2001-04-01"), ("2001-04-01", "2001-05-01"), ("2001-05-01", "2001-06-01")),
-    top_n=5,
-    schedule_start="2000-12-01",
+    walk_pairs=tuple(zip(month_starts("2000-07-01", 15), month_starts("2000-08-01", 15))),
+    schedule_start="2000-07-01",
     schedule_end="2001-10-31",
-    last_prediction="2001-07-31",
+    last_prediction="2001-08-31",
     production_train="2001-07-01",
     production_test="2001-08-01",
     production_start="2001-07-01",

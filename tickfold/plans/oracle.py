@@ -320,6 +320,16 @@ def _digits(value: str, name: str) -> str:
     return f"CAST(printf('%.9e', {value}) AS DOUBLE) AS {name}"
 
 
+def _all_digits(columns) -> str:
+    return ", ".join(_digits(n, n) for n in columns)
+
+
+def _per_name(source: str, value: str, digits: int) -> str:
+    return f"""SELECT date_r, ticker, count(*) AS n_rows, count({value}) AS n_values, min(date) AS first_date, max(date) AS last_date,
+  round(min({value}), {digits}) AS low, round(max({value}), {digits}) AS high, round(sum({value}), {digits}) AS total
+  FROM {source} GROUP BY 1, 2"""
+
+
 def _profile(source: str, columns: list[str], digits: int, shape: bool) -> str:
     """One SELECT per column."""
     # prices are exact, features are sums in an order of their own
@@ -532,15 +542,15 @@ def statements() -> dict[str, str]:
         ),
         "top_n": _query(TO_PREDICTED, f"SELECT date, ticker, {_rounded([TARGET, 'predictions'])} FROM ranked"),
         "market_dates": _query(DATES, "SELECT * FROM rebalance"),
-        "basket_history": _query(HISTORY, "SELECT date_r, ticker, date, adj_close FROM history"),
-        "complete_case": _query(COMPLETE_CASE, "SELECT date_r, ticker, date, adj_close FROM kept"),
+        "basket_history": _query(HISTORY, _per_name("history", "adj_close", 2)),
+        "complete_case": _query(COMPLETE_CASE, _per_name("kept", "adj_close", 2)),
         "pivot_prices": _query(
             COMPLETE_CASE,
             "SELECT date_r, kept.date, "
             + ", ".join(f"max(CASE WHEN rank = {i} THEN adj_close END) AS p{i}" for i in range(1, S.top_n + 1))
             + " FROM kept JOIN picks ON picks.date = date_r AND picks.ticker = kept.ticker GROUP BY 1, 2",
         ),
-        "basket_returns": _query(RETURNS, "SELECT date_r, date, ticker, round(ret, 6) AS ret FROM returns"),
+        "basket_returns": _query(RETURNS, _per_name("returns", "ret", 5)),
         "cov_pairs": _query(COVARIANCE, "SELECT date_r, ticker_i, ticker_j, round(value, 6) AS value FROM pairs"),
         "cov_shrunk": _query(
             SHRUNK,
@@ -576,20 +586,22 @@ def statements() -> dict[str, str]:
         "position_values": _query(
             VALUES,
             "SELECT date, ticker, "
-            + _rounded(["weights", "portfolio_amount", "begin_dollar_amount", "shares_held", "end_dollar_amount"])
+            + _all_digits(["weights", "portfolio_amount", "begin_dollar_amount", "shares_held", "end_dollar_amount"])
             + " FROM valued",
         ),
         "period_returns": _query(
             PERIODS,
             "SELECT date, period_start_date, period_end_date, "
-            + _rounded(["begin_dollar_amount", "end_dollar_amount", "period_return"])
+            + _all_digits(["begin_dollar_amount", "end_dollar_amount", "period_return"])
             + " FROM compounded",
         ),
         "backtest": _query(
             PERIODS,
             "SELECT date, period_start_date, period_end_date, "
-            + _rounded(["begin_dollar_amount", "end_dollar_amount", "period_return"])
-            + ", round(product(period_return) OVER (ORDER BY date), 6) AS rolling_returns FROM compounded",
+            + _all_digits(["begin_dollar_amount", "end_dollar_amount", "period_return"])
+            + ", "
+            + _digits("product(period_return) OVER (ORDER BY date)", "rolling_returns")
+            + " FROM compounded",
         ),
     }
     for step, ctes in (("1m", 7), ("3m", 11), ("6m", 11), ("12m", 11)):

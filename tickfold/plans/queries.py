@@ -46,6 +46,11 @@ def _rounded(df: DataFrame, *exact: str, digits: int = 6) -> DataFrame:
     return df.selectExpr(*[f"round(`{n}`, {digits}) AS `{n}`" if n in rounded else f"`{n}`" for n in df.columns])
 
 
+def _ten_digits(df: DataFrame) -> DataFrame:
+    """Doubles to ten digits: compounded dollars grow beyond what fixed places can hold."""
+    return df.withColumns({n: F.format_string("%.9e", n).try_cast("double") for n in double_columns(df)})
+
+
 def _plain_names(df: DataFrame) -> DataFrame:
     """Vendor names like ``Adj. Close`` to ``adj_close``."""
     return df.toDF(*[re.sub(r"\W+", "_", n).strip("_").lower() for n in df.columns])
@@ -230,7 +235,7 @@ def profile_numeric(spark, sf_dir):
     """Moments to ten digits: market values have eleven before the point."""
     df = profile.profile_numeric(_panel(spark, sf_dir), PROFILED)
     moments = ("mean", "std", "skewness", "kurtosis")
-    return df.withColumns({m: F.format_string("%.9e", m).cast("double") for m in moments})
+    return df.withColumns({m: F.format_string("%.9e", m).try_cast("double") for m in moments})
 
 
 @register
@@ -637,14 +642,27 @@ def market_dates(spark, sf_dir):
     return _schedule(spark, sf_dir)
 
 
+def _per_name(df: DataFrame, value: str, digits: int) -> DataFrame:
+    """Daily rows of a basket, told by name: a thousand days and a hundred names per date are too many to compare one by one."""
+    return df.groupBy("date_r", "ticker").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(value).alias("n_values"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.round(F.min(value), digits).alias("low"),
+        F.round(F.max(value), digits).alias("high"),
+        F.round(F.sum(value), digits).alias("total"),
+    )
+
+
 @register
 def basket_history(spark, sf_dir):
-    return _history(spark, sf_dir)
+    return _per_name(_history(spark, sf_dir), "adj_close", 2)
 
 
 @register
 def complete_case(spark, sf_dir):
-    return portfolio.complete_case(_history(spark, sf_dir))
+    return _per_name(portfolio.complete_case(_history(spark, sf_dir)), "adj_close", 2)
 
 
 @register
@@ -655,7 +673,7 @@ def pivot_prices(spark, sf_dir):
 
 @register
 def basket_returns(spark, sf_dir):
-    return _rounded(portfolio.basket_returns(_history(spark, sf_dir)))
+    return _per_name(portfolio.basket_returns(_history(spark, sf_dir)), "ret", 5)
 
 
 @register
@@ -732,7 +750,7 @@ def position_prices(spark, sf_dir):
 @register
 def position_values(spark, sf_dir):
     values = portfolio.position_values(stage(_priced(spark, sf_dir), "priced"), S.initial_amount)
-    return _rounded(
+    return _ten_digits(
         values.select("date", "ticker", "weights", "portfolio_amount", "begin_dollar_amount", "shares_held", "end_dollar_amount")
     )
 
@@ -740,12 +758,12 @@ def position_values(spark, sf_dir):
 @register
 def period_returns(spark, sf_dir):
     priced = stage(_priced(spark, sf_dir), "priced")
-    return _rounded(portfolio.period_returns(portfolio.position_values(priced, S.initial_amount)))
+    return _ten_digits(portfolio.period_returns(portfolio.position_values(priced, S.initial_amount)))
 
 
 @register
 def backtest(spark, sf_dir):
-    return _rounded(portfolio.backtest(_priced(spark, sf_dir), S.initial_amount))
+    return _ten_digits(portfolio.backtest(_priced(spark, sf_dir), S.initial_amount))
 
 
 @register
