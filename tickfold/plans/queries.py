@@ -13,6 +13,7 @@ from tickfold import config as c
 from tickfold.config import FIXTURE as S
 from tickfold.config import TARGET
 from tickfold.functions.checks import key_violations
+from tickfold.functions.columns import nan_to_null
 from tickfold.functions.scaling import double_columns, zscore_by
 from tickfold.operators import calendar, clean, evaluate, features, model, portfolio, profile, splits
 from tickfold.plans import panel as plans
@@ -99,13 +100,18 @@ def _schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 PICK_ROWS = S.top_n * calendar.month_count(S.schedule_start, S.schedule_end)
 
 
+def _quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What baskets need of the panel, from prices and companies alone: the ratios are never read."""
+    raw = clean.join_price_company(testdata.prices(spark, sf_dir), testdata.companies(spark, sf_dir))
+    columns = ("Ticker", "SimFinId", "Company Name", "Date", "Open", "Adj. Close")
+    return nan_to_null(raw.select(*[F.col(f"`{n}`").alias(clean.PANEL_COLUMNS[n]) for n in columns]))
+
+
 def _picks_and_panel(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Ranked picks on the rebalancing dates, and the panel they are priced from, both staged."""
-    panel = stage(_panel(spark, sf_dir), "intro_cleaned_data")
-    predictions = _with_predictions(plans.modeling_data(panel, S))
+    """Ranked picks on the rebalancing dates, staged, and the quotes they are priced from."""
     dates = F.broadcast(_schedule(spark, sf_dir).select(F.col("month_end_date").alias("date")))
-    picks = evaluate.rank_predictions(predictions.join(dates, "date", "left_semi"), S.top_n)
-    return stage(picks, "picks"), panel
+    picks = evaluate.rank_predictions(_predictions(spark, sf_dir).join(dates, "date", "left_semi"), S.top_n)
+    return stage(picks, "picks"), _quotes(spark, sf_dir)
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
