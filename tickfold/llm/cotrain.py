@@ -123,7 +123,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: DataFrame | None = None) -> DataFrame:
+def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """words, meta, label (null in the pool) and ``back`` (kept for calibration) of the documents to fit on, written."""
     own = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     n_labelled, n_docs = own.filter("label IS NOT NULL").count(), docs.count()
