@@ -58,3 +58,19 @@ def test_odd_rows(spark):
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text is None, r.text or "")
     assert [r.text for r in sorted(out.collect(), key=key)] == [r.text for r in sorted(docs.collect(), key=key)]
     assert templates.deduplicate_lines(empty(spark)).count() == 0
+
+
+def test_boilerplate_goes_whatever_its_share(spark):
+    """Without sparing by share: lines stay in their first holder and in whole copies of it alone."""
+    a, b, c = (prose(500 + i, 40) for i in range(3))
+    texts = {1: f"{a}\nfirst own words", 2: f"{b}\nother own words", 3: f"{a}\n{b}\nthird document", 4: f"{a}\n{b}", 5: c, 6: c, 7: f"{a}\n{c}"}
+    edited = " ".join(c.split()[:-6] + ["edited"] * 6)  # the line of document 5 by its template
+    texts |= {10: f"{c}\nshort line of ten", 11: f"{edited}\nshort line of eleven"}
+    texts |= {8: f"{a}\neight alone has this", 9: f"{a}\neight alone has this"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in templates.deduplicate_lines(docs).collect()}
+    assert got[1] == texts[1] and got[2] == texts[2] and got[5] == got[6] == c
+    assert got[3] == "third document"  # most of it, in two templates
+    assert got[4] == got[7] == ""  # all of it, from different documents
+    assert got[10] == "short line of ten" and got[11] == "short line of eleven"
+    assert got[8] == got[9] == "eight alone has this"  # a copy loses what its original loses
