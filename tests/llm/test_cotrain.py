@@ -58,3 +58,11 @@ def test_odd_rows(spark):
     unlabelled = cotrain.fit(docs, labels.limit(0))
     assert {r.score for r in cotrain.scores(docs, unlabelled).collect()} == {0.5}
     assert cotrain.fit(empty(spark), labels).combined[:2] == (0.0, 0.0)
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark, monkeypatch):
+    monkeypatch.setattr(cotrain, "MAX_POOL", 20, raising=False)
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame([*rows, (None, "without an id", "en", "s")], DOCS)
+    sample = cotrain.sample(docs, spark.createDataFrame(labels[:100], "doc_id long, quality int"), "quality")
+    assert sample.filter("label IS NULL").count() == 201 and sample.filter("label IS NOT NULL").count() == 100

@@ -2,12 +2,12 @@
 
 One view reads the words of a text, the other its page metadata: language, source, length and layout. Both are naive Bayes
 classifiers over hashed features, fitted by grouped counts. They start from labelled documents; then, for some rounds, each
-labels a pool of unlabelled documents, and what it is confident of is added to the training set of the other. Each view's
+labels all unlabelled documents, and what it is confident of is added to the training set of the other. Each view's
 mean log odds are calibrated on labelled documents kept back from the counts, where a last logistic curve also learns how to
 combine the views. All documents are then scored in one pass.
 
-Fitting uses at most about ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled documents, chosen by a hash of their id;
-scoring covers every document whole. Null texts are empty and null metadata is a value of its own. Repeated rows count each
+Fitting uses at most about ``MAX_LABELLED`` labelled documents, chosen by a hash of their id, and every document without a
+label; scoring covers every document whole. Null texts are empty and null metadata is a value of its own. Repeated rows count each
 time. Without labels of both kinds every score is the share of the better label (0.5 without any). New columns replace kept
 ones of the same name.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tickfold.llm.common import chunks, extended, fold_of, narrow_join, schema_of, stage
 
-MAX_LABELLED, MAX_POOL = 20_000, 20_000
+MAX_LABELLED = 20_000
 ROUNDS = 3
 #: A calibrated probability of at least this, or at most its complement, is a label for the other view.
 CONFIDENT = 0.97
@@ -126,12 +126,12 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """words, meta, label (null in the pool) and ``back`` (kept for calibration) of the documents to fit on, written."""
     own = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    n_labelled, n_docs = own.filter("label IS NOT NULL").count(), docs.count()
-    share = min(1.0, MAX_LABELLED / max(n_labelled, 1)), min(1.0, MAX_POOL / max(n_docs - n_labelled, 1))
+    own = own.filter("label IS NOT NULL")
+    n_labelled = own.count()
+    share = min(1.0, MAX_LABELLED / max(n_labelled, 1))
     place = F.pmod(F.xxhash64(F.lit("co-training"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    rows = docs.filter((place < max(share)) & F.col("doc_id").isNotNull())
-    rows = narrow_join(rows, own, "doc_id", "left", n_labelled)
-    rows = rows.filter(place < F.when(F.col("label").isNull(), share[1]).otherwise(share[0]))
+    rows = narrow_join(docs, own, "doc_id", "left", n_labelled)
+    rows = rows.filter(F.col("label").isNull() | (place < share))
     rows = rows.withColumn("back", F.col("label").isNotNull() & (fold_of("doc_id", 4) == CALIBRATION_QUARTER))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +163,6 @@ def counts(rows: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray
                     continue
                 by_text = by_meta = label
                 if label is None:
-                    if model is None:
-                        continue
                     by_text, by_meta = (
                         1 if p >= CONFIDENT else 0 if p <= 1 - CONFIDENT else None
                         for p in (sigmoid(model.text.logit(words)), sigmoid(model.meta.logit(meta)))
@@ -180,6 +178,7 @@ def counts(rows: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray
                 names=["view", "label", "bucket", "n"],
             )
 
+    rows = rows.filter("label IS NOT NULL") if model is None else rows
     found = rows.select("label", "back", "words", "meta").mapInArrow(step, "view int, label int, bucket int, n long")
     # at most 2 * (WORD_BUCKETS + META_BUCKETS) rows
     summed = found.groupBy("view", "label", "bucket").agg(F.sum("n").alias("n")).toArrow()
