@@ -77,6 +77,6 @@ def test_stages_equal_brute_force(spark, folder):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [n for n in names if n.startswith("op")] and len([n for n in names if n[:2] == "op" and n[2].isdigit()]) == 10
-    assert [n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()] == [f"op{i}" for i in range(1, 11)]
+    assert "pipeline" in names and [n for n in names if n.startswith("op")] and len([n for n in names if n[:2] == "op" and n[2].isdigit()]) == 13
+    assert [n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()] == [f"op{i}" for i in range(1, 14)]
     assert corpus_pipeline.ORACLE_SQL is None and toxicity.CUT == 0.3

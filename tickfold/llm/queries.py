@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickfold.llm import bpe, cotrain, decontam, langid, llr, minhash, slots, suffix_tree, templates, toxicity
+from tickfold.llm import bpe, cotrain, decontam, fim, iblt, langid, llr, merkle, minhash, slots, suffix_tree, templates, toxicity
 from tickfold.llm.common import fold_of, table
+from tickfold.session import stage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -101,6 +103,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return llr.quality_rules(docs, trusted, keep=["doc_id"])
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document (by the crc32 of its id) is proved with its text's A-Z in lower case, which its proof refutes."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    other = merkle.leaf([lowered if c == "text" else F.col(c) for c in merkle.FIELDS])
+    made = merkle.manifest(docs, changed=F.when(fold_of("doc_id", 3) == 0, other))
+    return merkle.proofs(made).withColumnRenamed("id", "doc_id")
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    plans = fim.planned(stage(fim.store(docs), "fim-frames"))
+    made = fim.digests(plans, keep=["doc_id", "n_units", "form"])
+    return made.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op13_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return iblt.fingerprints(docs).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -112,4 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle": op11_merkle,
+    "op12_fim": op12_fim,
+    "op13_iblt": op13_iblt,
 }
