@@ -13,12 +13,13 @@ from tickfold.llm import bpe
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS = bpe.read_ranks(PATH)
 ENCODING = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
-CACHE = bpe.Pieces(RANKS)
+CACHE = bpe.Pieces(bpe.Merges(RANKS))
 PARTS = ["a", "b", "Z", "'", "'s", "'ll", "'ve", "'re", "'t", "'x", " ", "  ", "\n", "\t", "é", "中", "٣", "1", "23", "!", "..", "́", "😀", "\x85", "\x1c", "　", "\x00", "l", "'d", "'m", "'r"]
 
 
 def ours(texts):
-    return bpe.encode_texts(texts, CACHE, bpe.class_table())
+    ids, rows = bpe.encode_texts(texts, CACHE, bpe.class_table())
+    return [ids[a:b].tolist() for a, b in zip(rows[:-1].tolist(), rows[1:].tolist())]
 
 
 @settings(max_examples=150, deadline=None)
@@ -32,6 +33,17 @@ def test_long_pieces(text):
     assert ours([text]) == [ENCODING.encode_ordinary(text)]
 
 
+def test_a_full_cache_is_emptied(monkeypatch):
+    """Bounded by bytes; ids stay the same."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    cache = bpe.Pieces(CACHE.merges)
+    texts = [f"word{i} other{i * 7} néant{i}" for i in range(200)]
+    for at in range(0, 200, 20):
+        ids, rows = bpe.encode_texts(texts[at : at + 20], cache, bpe.class_table())
+        assert [ids[a:b].tolist() for a, b in zip(rows, rows[1:])] == [ENCODING.encode_ordinary(t) for t in texts[at : at + 20]]
+    assert cache.held < 2000 + 80 * (bpe.PIECE_COST + 40)
+
+
 def test_scan_is_a_prefix_composition():
     compose, functions, of_class, _ = bpe.monoid()
     draw = random.Random(5)

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,10 @@ LETTER, NUMBER, OTHER, SPACE, CONTRACT_1, CONTRACT_2, JOINED, SINGLE, BREAK = ra
 # States: nothing open, letters, numbers, others, white space, a blank that the next piece takes, contraction letters due.
 FREE, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, BLANK, DUE_1, DUE_2 = range(8)
 
-#: Pieces kept in a worker's cache.
-CACHE_PIECES = 400_000
+#: Bytes of the pieces kept in a worker's cache, reckoned with ``PIECE_COST`` for each.
+CACHE_BYTES, PIECE_COST = 30 << 20, 200
+#: Text bytes that are encoded at once: what a task holds beside its batch is some 60 times that.
+STEP_BYTES = 1 << 20
 #: Pieces longer than this are merged with a heap.
 LONG_PIECE = 48
 #: Rank of a pair that doesn't join.
@@ -144,16 +146,10 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        pairs = [
-            (a << 32 | b, rank)
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None
-        ]
-        self.bits = max(4, (4 * len(pairs)).bit_length())
+        keys, values = self._pairs()
+        self.bits = max(4, (2 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.zeros(1 << self.bits, np.int64)
-        keys, values = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+        self.values = np.zeros(1 << self.bits, np.int32)
         at = self._slot(keys)
         while len(keys):  # each free slot takes one key, the others move on
             _, first = np.unique(at, return_index=True)
@@ -163,6 +159,16 @@ class Merges:
             keys, values, at = keys[left], values[left], (at[left] + 1) & (len(self.keys) - 1)
         self.of_byte = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
 
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(both ids of a pair in one number, rank of the token they join to)."""
+        keys, values = array("q"), array("q")
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None:
+                    keys.append(a << 32 | b)
+                    values.append(rank)
+        return np.array(keys, np.int64), np.array(values, np.int64)
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -180,15 +186,15 @@ class Merges:
             due, at = due[on], (at[on] + 1) & (len(self.keys) - 1)
         return out
 
-    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each piece: in every round, each piece joins its lowest-ranked pair, the leftmost of equals."""
-        out: list[tuple[int, ...]] = [()] * len(pieces)
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece (four bytes an id): in every round, each piece joins its lowest-ranked pair, the leftmost of equals."""
+        out = [b""] * len(pieces)
         short = []
         for i, piece in enumerate(pieces):
             if piece in self.ranks:
-                out[i] = (self.ranks[piece],)
+                out[i] = self.ranks[piece].to_bytes(4, "little")
             elif len(piece) > LONG_PIECE:
-                out[i] = _merge_long(piece, self.ranks)
+                out[i] = array("i", _merge_long(piece, self.ranks)).tobytes()
             else:
                 short.append(i)
         ids = self.of_byte[np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)]
@@ -211,10 +217,10 @@ class Merges:
             ids, owner = ids[keep], owner[keep]
         owner, ids = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(owner, kind="stable")
-        owner, ids = owner[order], ids[order].tolist()
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else []
-        for a, b in zip(first, [*first[1:], len(ids)]):
-            out[owner[a]] = tuple(ids[a:b])
+        owner, flat = owner[order], ids[order].astype("<i4").tobytes()
+        first = (np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner).tolist()
+        for a, b in zip(first, [*first[1:], len(owner)]):
+            out[owner[a]] = flat[4 * a : 4 * b]
         return out
 
 
@@ -241,34 +247,37 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class Pieces(dict):
-    """Ids by piece; pieces not met before are merged together. Emptied when it holds ``CACHE_PIECES``."""
+    """Ids (four bytes each) by piece; pieces not met before are merged together. Emptied when it holds ``CACHE_BYTES``."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.merges = Merges(ranks)
+    def __init__(self, merges: Merges):
+        super().__init__({"": b""})
+        self.merges, self.held = merges, 0
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > CACHE_PIECES:
+        if self.held > CACHE_BYTES:
             self.clear()
-            new = list(pieces)
-        self.update(zip(new, self.merges.merge([p.encode() for p in new])))
+            self[""], self.held = b"", 0
+            new = list(pieces - {""})
+        ids = self.merges.merge([p.encode() for p in new])
+        self.update(zip(new, ids))
+        self.held += sum(map(len, new)) + sum(map(len, ids)) + PIECE_COST * len(new)
 
 
-def encode_texts(texts: list[str], cache: Pieces, table: np.ndarray) -> list[list[int]]:
-    """Ids of each text."""
+def encode_texts(texts: list[str], cache: Pieces, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after the other, position at which each text's ids begin and the last one's end)."""
     joined = "\n".join(texts) + "\n"
     ends = np.cumsum([len(t) + 1 for t in texts]) - 1
     starts = piece_starts(np.frombuffer(joined.encode("utf-32-le"), np.uint32), table, ends)
     at = starts.tolist()
     pieces = [joined[a:b] for a, b in zip(at, at[1:])]
+    last = np.searchsorted(starts, ends)
+    for k in last[:-1].tolist():  # a position between texts is no piece of theirs
+        pieces[k] = ""
     cache.learn(set(pieces))
-    last = np.searchsorted(starts, ends).tolist()
-    ids, first = [], 0
-    for stop in last:
-        ids.append(list(chain.from_iterable(map(cache.__getitem__, pieces[first:stop]))))
-        first = stop + 1
-    return ids
+    found = list(map(cache.__getitem__, pieces))
+    sizes = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+    return np.frombuffer(b"".join(found), "<i4"), np.append(0, sizes[last])
 
 
 def decode_ids(ids: list[int], vocabulary: list[bytes]) -> bytes:
@@ -282,14 +291,15 @@ def vocabulary_of(ranks: dict[bytes, int]) -> list[bytes]:
     return out
 
 
-#: One cache in each Python worker, for the ranks it used last.
-_CACHES: dict[str, Pieces] = {}
+#: The table of pairs in each Python worker, for the ranks it used last.
+_MERGES: dict[str, Merges] = {}
 
 
 def encode(docs: DataFrame, ranks_path: str, text: str = "text", keep: list[str] | None = None, offsets: bool = True, decoded: bool = False) -> DataFrame:
     """``keep`` columns with ``ids``, optionally ``offsets`` (first byte of each token) and ``decoded`` (bytes of the ids).
 
-    Ranks and class table are of fixed size and broadcast. New columns replace kept ones of the same name.
+    Ranks and class table are of fixed size and broadcast. The ids of a step are one array cut by row; a task's cache of
+    pieces is bounded by its bytes and goes with the task. New columns replace kept ones of the same name.
     """
     keep = docs.columns if keep is None else keep
     more = {"ids": "array<int>"} | ({"offsets": "array<int>"} if offsets else {}) | ({"decoded": "binary"} if decoded else {})
@@ -298,20 +308,26 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", keep: list[str]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, table = shared.value
-        if ranks_path not in _CACHES:
-            _CACHES.clear()
-            _CACHES[ranks_path] = Pieces(ranks)
-        cache, vocabulary = _CACHES[ranks_path], vocabulary_of(ranks)
-        lengths = np.array([len(t) for t in vocabulary])
-        for batch, texts in chunks(batches, text):
-            rows = encode_texts(texts, cache, table)
-            new = {"ids": pa.array(rows, pa.list_(pa.int32()))}
+        if ranks_path not in _MERGES:
+            _MERGES.clear()
+            _MERGES[ranks_path] = Merges(ranks)
+        cache, vocabulary = Pieces(_MERGES[ranks_path]), vocabulary_of(ranks)
+        lengths = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))
+        for batch, texts in chunks(batches, text, STEP_BYTES):
+            ids, rows = encode_texts(texts, cache, table)
+            bounds = pa.array(rows.astype(np.int32))
+            new = {"ids": pa.ListArray.from_arrays(bounds, pa.array(ids))}
+            if offsets or decoded:
+                at = np.append(0, np.cumsum(lengths[ids]))
             if offsets:
-                starts = [(np.cumsum(lengths[r]) - lengths[r]).astype(np.int32) if r else [] for r in rows]
-                new["offsets"] = pa.array(starts, pa.list_(pa.int32()))
+                first = at[:-1] - np.repeat(at[rows[:-1]], np.diff(rows))
+                new["offsets"] = pa.ListArray.from_arrays(bounds, pa.array(first.astype(np.int32)))
             if decoded:
-                new["decoded"] = pa.array([decode_ids(r, vocabulary) for r in rows], pa.binary())
+                whole = decode_ids(ids.tolist(), vocabulary)
+                ends = pa.array(at[rows].astype(np.int32)).buffers()[1]
+                new["decoded"] = pa.Array.from_buffers(pa.binary(), len(texts), [None, ends, pa.py_buffer(whole)])
             yield extended(batch, keep, new)
+        pa.default_memory_pool().release_unused()
 
     columns = list(dict.fromkeys([*keep, text]))
     return docs.select(*columns).mapInArrow(step, schema_of(docs, keep, ", ".join(f"{k} {v}" for k, v in more.items())))

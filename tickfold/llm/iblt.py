@@ -17,7 +17,6 @@ own successor. An empty table gives an empty result. Other columns play no role.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -141,15 +140,15 @@ class Tables:
         owner, keys, sign = (np.concatenate(list(p)) for p in parts)
         return owner, keys, sign, ~stuck
 
-    def texts(self) -> list[str]:
-        """Each set's cells as text: counts, sums, checks."""
+    def cells(self) -> list[bytes]:
+        """Each set's cells: counts, sums, checks."""
         total = int(self.offsets[-1])
         count, key = self.count.astype("<i4"), self.key.astype("<u8")
         check = (self.check >> np.uint64(32)).astype("<u4")
         out = []
         for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
             parts = [x[t * total + a : t * total + b].tobytes() for x in (count, key, check) for t in range(3)]
-            out.append(base64.b64encode(b"".join(parts)).decode())
+            out.append(b"".join(parts))
         return out
 
 
@@ -200,8 +199,8 @@ def edited(text: str, following: str) -> str:
 
 
 COLUMNS = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+KINDS = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+RESULT = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(texts: list[str], following: list[str]) -> list[list]:
@@ -212,8 +211,8 @@ def compared(texts: list[str], following: list[str]) -> list[list]:
     return [
         [len(t) for t in texts],
         [hashlib.sha256(v).hexdigest() for v in versions],
-        sketch(n, *own).texts(),
-        sketch(n, *new).texts(),
+        sketch(n, *own).cells(),
+        sketch(n, *new).cells(),
         likeness(n, own, new).tolist(),
         likeness(n, own, after).tolist(),
     ]
@@ -263,7 +262,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     order = [F.desc_nulls_last("id"), F.col("tie"), F.col("copy")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
     schema = f"kind int, part int, id {kind}, {RESULT}, text string"
-    met = stage(dealt.mapInArrow(successive, schema), "iblt-versions")
+    met = stage(dealt.mapInArrow(successive, schema), "iblt-versions", "zstd")
     done = met.filter(F.col("kind") == DONE).select(COLUMNS)
     # one row per partition: the window orders partition numbers alone, texts follow by join
     parts = met.filter(F.col("kind") == FIRST).select("part")
@@ -272,4 +271,5 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     heads = met.filter(F.col("kind") == FIRST).select(F.col("part").alias("after"), F.col("text").alias("following"))
     last = met.filter(F.col("kind") == LAST).select("part", "id", "text")
     pairs = last.join(parts.withColumn("after", after), "part").join(heads, "after").select("id", "text", "following")
-    return done.unionByName(pairs.mapInArrow(_meet, f"id {kind}, {RESULT}"))
+    both = done.unionByName(pairs.mapInArrow(_meet, f"id {kind}, {RESULT}"))
+    return both.withColumns({name: F.base64(name) for name in ("fingerprint", "edited_fingerprint")})
