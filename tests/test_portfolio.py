@@ -85,11 +85,12 @@ def test_returns_skip_dates_with_a_gap(spark):
     d = days(5)
     prices = panel(spark, {"a": [1.0, 2.0, 4.0, 8.0, 99.0], "b": [1.0, None, 3.0, 6.0, 99.0], "c": [1.0] * 5})
     chosen = picks(spark, [(d[3], "a", 1.1), (d[3], "b", 1.1)])
-    history = pf.basket_history(chosen, prices, rows=2)
-    assert history.count() == 8  # nothing after the rebalancing date, nothing of other names
-    kept = {(r.date, r.ticker): r.adj_close for r in pf.complete_case(history).collect()}
+    # nothing after the rebalancing date, nothing of other names
+    assert pf.basket_history(chosen, prices, rows=2).count() == 8
+    baskets = pf.basket_prices(chosen, prices, rows=2)
+    kept = {(r.date, r.ticker): r.adj_close for r in pf.complete_case(baskets).collect()}
     assert sorted({k[0] for k in kept}) == [d[0], d[2], d[3]]
-    returns = {(r.date, r.ticker): r.ret for r in pf.basket_returns(history).collect()}
+    returns = {(r.date, r.ticker): r.ret for r in pf.basket_returns(baskets).collect()}
     assert returns == {(d[2], "a"): 3.0, (d[2], "b"): 2.0, (d[3], "a"): 1.0, (d[3], "b"): 1.0}
 
 
@@ -97,7 +98,7 @@ def test_covariance_rows_match_numpy(spark):
     values = {t: np.exp(np.cumsum(RNG.normal(0, 0.1, 30))).tolist() for t in "abc"}
     d = days(30)
     chosen = picks(spark, [(d[-1], t, 1.05) for t in "abc"])
-    returns = pf.return_vectors(pf.price_vectors(pf.basket_history(chosen, panel(spark, values), 3)))
+    returns = pf.return_vectors(pf.basket_prices(chosen, panel(spark, values), 3))
     covariance = pf.shrunk_covariance(returns)
     x = np.array([np.array(values[t][1:]) / np.array(values[t][:-1]) - 1 for t in "abc"])
     want = np.cov(x, bias=True)
@@ -166,39 +167,61 @@ def test_end_price_must_belong_to_the_same_company(spark):
         assert (out["c"].simfinid, out["c"].open_start_date, out["c"].open_end_date) == (None, None, None)
 
 
-HISTORY = "date_r date, ticker string, date date, adj_close double"
-
-
-def days(n):
-    return [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(n)]
-
-
-def history(spark, prices):
-    """Rows of one basket from {ticker: prices}."""
-    rows = [(dt.date(2020, 3, 1), t, d, p) for t, own in prices.items() for d, p in zip(days(len(own)), own)]
-    return spark.createDataFrame(rows, HISTORY)
+def one_basket(spark, prices):
+    """Picks of one date and the panel with {ticker: prices}."""
+    return picks(spark, [(dt.date(2020, 3, 1), t, 1.1) for t in prices]), panel(spark, prices)
 
 
 def test_zero_price_raises(spark):
-    df = history(spark, {"A": [1.0, 0.0, 2.0], "B": [1.0, 2.0, 3.0]})
+    baskets = pf.basket_prices(*one_basket(spark, {"A": [1.0, 0.0, 2.0], "B": [1.0, 2.0, 3.0]}))
     with pytest.raises(Exception, match="basket 2020-03-01: no return on 2020-01-03 for A"):
-        pf.return_vectors(pf.price_vectors(df)).collect()
+        pf.return_vectors(baskets).collect()
 
 
 def test_two_prices_of_a_ticker_raise(spark):
-    twice = history(spark, {"A": [1.0, 2.0]}).unionAll(history(spark, {"A": [5.0], "B": [1.0, 2.0]}))
+    chosen, once = one_basket(spark, {"A": [5.0], "B": [1.0, 2.0]})
+    twice = once.unionAll(panel(spark, {"A": [1.0, 2.0]}))
     with pytest.raises(Exception, match="basket 2020-03-01: a ticker has two prices on 2020-01-01"):
-        pf.price_vectors(twice).collect()
+        pf.basket_prices(chosen, twice).collect()
+
+
+@pytest.mark.parametrize("rows", [None, 100])
+def test_baskets_equal_brute_force(spark, rows):
+    """Overlapping baskets, gaps, missing prices, names without any row, names whose rows come later."""
+    rng = np.random.default_rng(11)
+    prices = {f"T{i}": [None if rng.random() < 0.1 else float(rng.integers(1, 99)) for _ in range(40 + i)] for i in range(8)}
+    table = panel(spark, prices).filter("NOT (ticker = 'T1' AND date < '2020-01-20') AND date <> '2020-01-06'")
+    dates = [dt.date(2020, 1, 10), dt.date(2020, 1, 25), dt.date(2020, 2, 20)]
+    chosen = [(d, f"T{i}", 1.1) for k, d in enumerate(dates) for i in range(k, k + 6)] + [(dates[0], "gone", 1.1)]
+    got = {r.date_r: r for r in pf.basket_prices(picks(spark, chosen), table, rows).collect()}
+    held = {(r.ticker, r.date): r.adj_close for r in table.collect()}
+    for d in dates:
+        names = sorted({t for on, t, _ in chosen if on == d and any(k[0] == t and k[1] <= d for k in held)})
+        kept = [x for x in days(90) if x <= d and all(held.get((t, x)) is not None for t in names)]
+        assert got[d].tickers == names and got[d].dates == kept
+        assert [list(p) for p in got[d].prices] == [[held[t, x] for t in names] for x in kept]
+    assert "T1" not in got[dates[0]].tickers
+
+
+def test_baskets_meet_vectors_not_days(spark):
+    """No join or shuffle moves a row per basket, name and day: what meets a basket is one row per name."""
+    chosen, table = one_basket(spark, {t: [1.0, 2.0, 3.0] for t in "ABC"})
+    plan = pf.shrunk_covariance(pf.return_vectors(pf.basket_prices(chosen, table, 3)))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+    # one shuffle of the closes by ticker, one of vectors by basket
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len([line for line in moved if "date_r" in line]) == 1 and plan.index("collect_list") < plan.rindex("hashpartitioning(ticker")
 
 
 def test_every_rebalancing_date_has_a_status(spark):
     sound = {"A": [1.0, 1.1, 1.0, 1.2], "B": [2.0, 2.1, 2.2, 2.1]}
-    rows, dates = [], [dt.date(2020, m, 1) for m in (2, 3, 4, 5)]
-    for date_r, prices in ((dates[0], sound), (dates[1], {"A": [1.0, 1.1], "B": [2.0, 2.1]}), (dates[2], sound)):
-        rows += [(date_r, t, d, p) for t, own in prices.items() for d, p in zip(days(len(own)), own)]
-    picks = spark.createDataFrame([(d, t, 0.9 if d == dates[2] else 1.01) for d in dates[:3] for t in "AB"], "date date, ticker string, predictions double")
-    returns = pf.return_vectors(pf.price_vectors(spark.createDataFrame(rows, HISTORY)))
-    posterior = pf.bl_posterior(pf.shrunk_covariance(returns), pf.views(picks, 0.9))
+    dates = [dt.date(2020, m, 1) for m in (2, 3, 4, 5)]
+    # two prices each, so one return, for the names of the second date
+    names = {dates[0]: "AB", dates[1]: "CD", dates[2]: "AB"}
+    table = panel(spark, {**sound, "C": [1.0, 1.1], "D": [2.0, 2.1]})
+    chosen = picks(spark, [(d, t, 0.9 if d == dates[2] else 1.01) for d in names for t in names[d]])
+    returns = pf.return_vectors(pf.basket_prices(chosen, table))
+    posterior = pf.bl_posterior(pf.shrunk_covariance(returns), pf.views(chosen, 0.9))
     status = pf.basket_status(spark.createDataFrame([(d,) for d in dates], "date date"), posterior)
     assert [(r.date, r.n_names, r.status) for r in status.orderBy("date").collect()] == [
         (dates[0], 2, pf.OK), (dates[1], 2, pf.DEGENERATE), (dates[2], 2, pf.NO_EXCESS), (dates[3], 0, "no picks"),

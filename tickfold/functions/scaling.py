@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +45,107 @@ class ZScore:
         return value * spread + mean
 
 
+# -- moments that merge -------------------------------------------------------------------------------------------
+
+#: Of one column in one slice: values, their mean, the sum of squared distances from it, least and greatest value.
+Slice = tuple[int, float | None, float | None, float | None, float | None]
+MOMENTS = ["n", "mean", "m2", "low", "high"]
+
+
+def moments_by(df: DataFrame, columns: Sequence[str], key: str = "date") -> DataFrame:
+    """Moments of every column per value of ``key``, in one pass: (key, column, n, mean, m2, low, high).
+
+    ``m2`` is the sum of squared distances from the mean. Rows merge (:func:`expanding`, :func:`merged`), so the table can be
+    stored, grows by the new keys alone and answers for any span of them. It has one row per key and column.
+    """
+
+    def of(c: str) -> Column:
+        x = F.col(f"`{c}`").cast("double")
+        return F.struct(
+            F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("low"), F.max(x).alias("high")
+        ).alias(c)
+
+    stats = df.groupBy(key).agg(*map(of, columns))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}`.{m}") for m in MOMENTS]) for c in columns])
+    return stats.select(key, F.inline(cells))
+
+
+def expanding(moments: DataFrame, key: str = "date") -> DataFrame:
+    """Moments of all rows up to and with each key: (key, column, n, mean, m2, low, high).
+
+    Per column the slices, one per key, are merged in order of the key; two slices give their exact common moments (Chan,
+    Golub and LeVeque, 1983), without the cancellation that sums of squares suffer. A column that is constant so far has
+    exactly that mean and no spread.
+    """
+    kind = dict(moments.dtypes)[key]
+    of = "struct<n: bigint, mean: double, m2: double, low: double, high: double>"
+
+    def add(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        low, high = F.least(a["low"], b["low"]), F.greatest(a["high"], b["high"])
+        flat = low == high
+        mean = F.when(flat, low).otherwise(a["mean"] + apart * (b["n"] / n))
+        m2 = F.when(flat, 0.0).otherwise(a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n)))
+        both = F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"))
+        return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
+
+    slices = F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*MOMENTS).alias("of"))))
+    runs = moments.groupBy("column").agg(slices.alias("slices"))
+    nothing = F.lit(None).cast("double")
+    start = F.struct(F.lit(0).cast("long").alias("n"), *[nothing.alias(m) for m in MOMENTS[1:]])
+
+    def step(out: Column, part: Column) -> Column:
+        so_far = F.when(F.size(out) > 0, F.element_at(out, -1)["of"]).otherwise(start)
+        return F.concat(out, F.array(F.struct(part["key"].alias("key"), add(so_far, part["of"]).cast(of).alias("of"))))
+
+    empty = F.array().cast(f"array<struct<key: {kind}, of: {of}>>")
+    return runs.select("column", F.inline(F.aggregate("slices", empty, step))).select(F.col("key").alias(key), "column", "of.*")
+
+
+def merged(parts: Iterable[Slice]) -> Slice:
+    """The common moments of several slices; without values there is no mean."""
+    n, mean, m2, low, high = 0, None, None, None, None
+    for k, own, spread, least, most in parts:
+        if not k:
+            continue
+        if not n:
+            n, mean, m2, low, high = k, own, spread, least, most
+        else:
+            apart, whole = own - mean, n + k
+            mean, m2, n = mean + apart * (k / whole), m2 + spread + apart * apart * (n * (k / whole)), whole
+            low, high = min(low, least), max(high, most)
+        if low == high:
+            mean, m2 = low, 0.0
+    return n, mean, m2, low, high
+
+
+@dataclass(frozen=True)
+class MomentTable:
+    """Moments by date and column on the driver: one row per date and column, bounded by the calendar."""
+
+    columns: tuple[str, ...]
+    #: date -> column -> moments, dates ascending
+    slices: dict[dt.date, dict[str, Slice]]
+
+    @staticmethod
+    def fit(df: DataFrame, columns: Sequence[str], key: str = "date") -> "MomentTable":
+        """One job, whatever the number of scalers asked for after."""
+        found: dict[dt.date, dict[str, Slice]] = {}
+        for row in moments_by(df, columns, key).collect():
+            found.setdefault(row[key], {})[row["column"]] = tuple(row[m] for m in MOMENTS)
+        return MomentTable(tuple(columns), dict(sorted(found.items())))
+
+    def scale(self, start: str | None = None, before: str | None = None) -> ZScore:
+        """Mean and spread of the rows with start <= date < before."""
+        first, last = (dt.date.fromisoformat(d) if d else None for d in (start, before))
+        dates = [d for d in self.slices if (first is None or d >= first) and (last is None or d < last)]
+        means, spreads = {}, {}
+        for column in self.columns:
+            n, mean, m2, _, _ = merged(self.slices[d][column] for d in dates)
+            means[column], spreads[column] = mean, (math.sqrt(m2 / n) or 1.0) if n else None
+        return ZScore(means, spreads)
+
+
 # Largest statistics table (values) that is broadcast.
 BROADCAST_VALUES = 4_000_000
 

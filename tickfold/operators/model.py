@@ -16,13 +16,13 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickfold.config import CATEGORICAL, TARGET, Fold
-from tickfold.functions.scaling import ZScore, double_columns
+from tickfold.functions.scaling import MomentTable, ZScore, double_columns
 from tickfold.operators.evaluate import error_metrics, top_predictions
 from tickfold.operators.splits import fold_flags, slice_between, train_set
 from tickfold.session import stage
@@ -231,16 +231,78 @@ def fit_predict(
     return model.predict(test).select("date", "ticker", target, "predictions")
 
 
+@dataclass(frozen=True)
+class Expanding:
+    """What every train and test slice of a walk forward needs, found in two jobs for all dates together.
+
+    Moments and category counts per date add up, so a train slice's scaler and encoder are merges of the dates before it, and
+    a test slice's scaler is a merge of its own dates. Both tables have a row per date and column, or per date, column and
+    value: bounded by the calendar and by the categories that a tree may have.
+    """
+
+    moments: MomentTable
+    #: column -> [(date, value, rows)]
+    counts: dict[str, list[tuple]]
+
+    @staticmethod
+    def fit(modeling: DataFrame, features: Sequence[str], target: str = TARGET) -> "Expanding":
+        columns = double_columns(modeling.select(*features, target))
+        categorical = [c for c in CATEGORICAL if c in features]
+        counts: dict[str, list[tuple]] = {c: [] for c in categorical}
+        if categorical:
+            cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in categorical])
+            found = modeling.select("date", F.inline(cells)).filter("value IS NOT NULL")
+            for row in found.groupBy("date", "column", "value").count().collect():
+                counts[row["column"]].append((row["date"], row["value"], row["count"]))
+        return Expanding(MomentTable.fit(modeling, columns), counts)
+
+    def indexer(self, before: str) -> StringIndexerModel | None:
+        """The category indexer of the rows before a date: most frequent value first, ties by name."""
+        if not self.counts:
+            return None
+        labels = []
+        for rows in self.counts.values():
+            totals: dict[str, int] = {}
+            for date, value, n in rows:
+                if str(date) < before:
+                    totals[value] = totals.get(value, 0) + n
+            labels.append(sorted(totals, key=lambda v: (-totals[v], v)))
+        columns = list(self.counts)
+        return StringIndexerModel.from_arrays_of_labels(labels, columns, [f"{c}_idx" for c in columns], "keep")
+
+
+def fit_predict_at(
+    modeling: DataFrame, known: Expanding, train_date: str, test_date: str, features: Sequence[str], params: Params,
+    learner: Learner = boosted_trees, target: str = TARGET,
+) -> DataFrame:
+    """:func:`fit_predict` with scalers and encoder read off ``known``: only the trees are fitted."""
+    keys = ["date", "ticker", target, *features]
+    train, test = known.moments.scale(before=train_date), known.moments.scale(train_date, test_date)
+    numeric = [c for c in features if c not in CATEGORICAL]
+    own, theirs = (ZScore({c: z.means[c] for c in z.means if c != target}, {c: z.spreads[c] for c in z.spreads if c != target}) for z in (train, test))
+    target_scale = ZScore({target: train.means[target]}, {target: train.spreads[target]})
+    rows = own.transform(train_set(modeling, train_date).select(*keys)).withColumn("label", target_scale.scaled(target))
+    indexer = known.indexer(train_date)
+    inputs = [*(indexer.getOutputCols() if indexer else []), *numeric]
+    stages = [*([indexer] if indexer else []), VectorAssembler(inputCols=inputs, outputCol="features")]
+    encoder = PipelineModel(stages)
+    trees = learner(params).setMaxBins(bins_for(encoder)).fit(encoder.transform(rows))
+    model = FittedModel(PipelineModel([*stages, trees]), target_scale, target, own, tuple(features), dict(params))
+    return model.predict(theirs.transform(slice_between(modeling, train_date, test_date).select(*keys))).select("date", "ticker", target, "predictions")
+
+
 def walk_forward(
     modeling: DataFrame, pairs: Sequence[tuple[str, str]], features: Sequence[str], params: Params,
-    learner: Learner = boosted_trees, target: str = TARGET, parallelism: int = 2,
+    learner: Learner = boosted_trees, target: str = TARGET, parallelism: int = 4,
 ) -> DataFrame:
     """One fit per (train date, test date) pair; all test predictions together.
 
-    Every fit is a distributed job over the staged modeling table; a few run side by side to fill the cluster.
+    Scalers and encoders of all dates come from one table of moments and one of counts (:class:`Expanding`). Every fit is a
+    distributed job over the staged modeling table; a few run side by side to fill the cluster.
     """
+    known = Expanding.fit(modeling, features, target)
     with ThreadPool(parallelism) as pool:
-        parts = pool.map(lambda p: fit_predict(modeling, p[0], p[1], features, params, learner, target), pairs)
+        parts = pool.map(lambda p: fit_predict_at(modeling, known, p[0], p[1], features, params, learner, target), pairs, chunksize=1)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,83 +49,127 @@ def basket_history(picks: DataFrame, panel: DataFrame, rows: int | None = None)
     )
 
 
-def price_vectors(history: DataFrame) -> DataFrame:
-    """One row per basket and date on which every name has a price: (date_r, date, tickers, prices).
+def ticker_vectors(picks: DataFrame, panel: DataFrame, rows: int | None = None) -> DataFrame:
+    """One row per picked ticker, whatever the number of baskets that hold it: (ticker, cells), cells being (day, adj_close)
+    by day up to the last date on which it was picked; days are numbered from 1970.
 
-    At most n prices meet in a row, in ticker order; a basket's names are those with any row in the history. A ticker with
-    two prices on a date raises: its companies must not be mixed, and its dates must not fall out.
+    The panel is read once for all baskets, and nothing but the picked names' closes is moved. A ticker has one cell per
+    session, so a row is bounded by the calendar. ``rows`` is a proven bound on the size of ``picks``.
     """
-    cells = F.sort_array(F.collect_list(F.struct("ticker", "adj_close")))
-    by_date = history.groupBy("date_r", "date").agg(cells.alias("cells"))
-    # counted on the grouped rows, so both uses share one shuffle of the history
-    names = (
-        by_date.select("date_r", F.explode("cells.ticker").alias("ticker"))
-        .groupBy("date_r")
-        .agg(F.count_distinct("ticker").alias("basket_size"))
+    last = picks.groupBy("ticker").agg(F.unix_date(F.max("date")).cast("int").alias("last"))
+    prices = panel.select("ticker", F.unix_date("date").cast("int").alias("day"), "adj_close")
+    wanted = prices.join(_small(last, rows), "ticker").filter(F.col("day") <= F.col("last"))
+    return wanted.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("day", "adj_close"))).alias("cells"))
+
+
+_BASKET = "date_r date, tickers array<string>, dates array<date>, prices array<array<double>>"
+
+
+def _aligned(key: tuple, rows: pa.Table) -> pa.Table:
+    """The names of a basket on their common days: each name is a bitmap over the days that the basket spans and a vector of
+    prices, and the days that all bitmaps share are kept."""
+    order = np.argsort(np.array(rows["ticker"].to_pylist()))
+    rows = rows.take(pa.array(order)).combine_chunks()
+    cells = rows["cells"].chunk(0)
+    offsets, flat = cells.offsets.to_numpy(), cells.flatten()
+    offsets = offsets - offsets[0]
+    days = flat.field("day").to_numpy(zero_copy_only=False)
+    closes = flat.field("adj_close")
+    first, span = int(days.min()), int(days.max() - days.min()) + 1
+    n = len(rows)
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    seen = np.bincount(owner * span + days - first, minlength=n * span).reshape(n, span)
+    if (seen > 1).any():
+        day = np.datetime64(int(np.flatnonzero((seen > 1).any(axis=0))[0]) + first, "D")
+        raise ValueError(f"basket {key[0].as_py()}: a ticker has two prices on {day}")
+    valid = np.zeros((n, span), dtype=bool)
+    prices = np.zeros((n, span))
+    has = ~np.asarray(closes.is_null())
+    valid[owner[has], days[has] - first] = True
+    prices[owner[has], days[has] - first] = closes.drop_null().to_numpy(zero_copy_only=False)
+    kept = np.flatnonzero(valid.all(axis=0))
+    by_date = prices[:, kept].T
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * n), pa.array(by_date.ravel()))
+    ends = pa.array([0, len(kept)], pa.int32())
+    dates = pa.array((kept + first).astype("datetime64[D]"))
+    return pa.table(
+        {
+            "date_r": pa.array([key[0].as_py()], pa.date32()),
+            "tickers": pa.array([rows["ticker"].to_pylist()], pa.list_(pa.string())),
+            "dates": pa.ListArray.from_arrays(ends, dates),
+            "prices": pa.ListArray.from_arrays(ends, lists),
+        }
     )
-    priced = F.size(F.filter("cells", lambda c: c["adj_close"].isNotNull()))
-    twice = F.size(F.array_distinct("cells.ticker")) < F.size("cells")
-    message = F.concat(F.lit("basket "), F.col("date_r"), F.lit(": a ticker has two prices on "), F.col("date"))
-    return (
-        by_date.join(names, "date_r")
-        .filter(F.when(twice, F.raise_error(message).cast("boolean")).otherwise(True))
-        .filter(priced == F.col("basket_size"))
-        .select(
-            "date_r",
-            "date",
-            F.col("cells.ticker").alias("tickers"),
-            F.col("cells.adj_close").alias("prices"),
-        )
+
+
+def basket_prices(picks: DataFrame, panel: DataFrame, rows: int | None = None) -> DataFrame:
+    """One row per basket: (date_r, tickers, dates, prices), prices[i][j] that of name j on the i-th date without a gap.
+
+    A basket meets its names' vectors, n rows, and not n names times all days; its matrix is n times the sessions so far. Its
+    names are those with any row up to date_r, in ticker order. A ticker with two prices on a date raises: its companies must
+    not be mixed, and its dates must not fall out.
+    """
+    keys = picks.select("ticker", F.col("date").alias("date_r"))
+    until = F.unix_date("date_r")
+    held = ticker_vectors(picks, panel, rows).join(_small(keys, rows), "ticker")
+    held = held.select("date_r", "ticker", F.filter("cells", lambda c: c["day"] <= until).alias("cells"))
+    return held.filter(F.size("cells") > 0).groupBy("date_r").applyInArrow(_aligned, _BASKET)
+
+
+def price_vectors(baskets: DataFrame) -> DataFrame:
+    """One row per basket and kept date: (date_r, date, tickers, prices)."""
+    return baskets.select("date_r", "tickers", F.explode(F.arrays_zip("dates", "prices")).alias("d")).select(
+        "date_r", F.col("d.dates").alias("date"), "tickers", F.col("d.prices").alias("prices")
     )
 
 
-def complete_case(history: DataFrame) -> DataFrame:
-    """History rows on dates without a gap in the basket, long form."""
+def complete_case(baskets: DataFrame) -> DataFrame:
+    """Prices on dates without a gap in the basket, long form: (date_r, date, ticker, adj_close)."""
     return (
-        price_vectors(history)
+        price_vectors(baskets)
         .select("date_r", "date", F.explode(F.arrays_zip("tickers", "prices")).alias("c"))
         .select("date_r", "date", F.col("c.tickers").alias("ticker"), F.col("c.prices").alias("adj_close"))
     )
 
 
-def return_vectors(vectors: DataFrame) -> DataFrame:
-    """Simple returns between consecutive kept dates of a basket: (date_r, date, tickers, returns).
+def return_vectors(baskets: DataFrame) -> DataFrame:
+    """Simple returns between consecutive kept dates: one row per basket, (date_r, tickers, dates, returns).
 
-    A return that is no finite number, as after a price of zero, raises and names the basket and its tickers: one such
-    value would make the whole basket's risk undefined.
+    A return that is no finite number, as after a price of zero, raises and names the basket, the date and the tickers: one
+    such value would make the whole basket's risk undefined.
     """
-    before = F.lag("prices").over(Window.partitionBy("date_r").orderBy("date"))
-    odd = F.filter(F.arrays_zip("tickers", "returns"), lambda c: ~(F.abs(c["returns"]) < float("inf")) | c["returns"].isNull())
-    message = F.concat(
-        F.lit("basket "), F.col("date_r"), F.lit(": no return on "), F.col("date"), F.lit(" for "), F.array_join(odd["tickers"], ", ")
-    )
-    sound = F.when(F.size(odd) > 0, F.raise_error(message).cast("boolean")).otherwise(True)
-    return (
-        vectors.withColumn("before", before)
-        .filter(F.col("before").isNotNull())
-        .select(
-            "date_r",
-            "date",
-            "tickers",
-            F.zip_with("prices", "before", lambda now, then: F.try_divide(now, then) - 1).alias("returns"),
-        )
-        .filter(sound)
+    later = F.sequence(F.lit(1), F.size("dates") - 1)
+
+    def change(i):
+        return F.zip_with(F.get("prices", i), F.get("prices", i - 1), lambda now, then: F.try_divide(now, then) - 1)
+
+    made = baskets.filter(F.size("dates") > 1).select(
+        "date_r", "tickers", F.slice("dates", F.lit(2), F.size("dates") - 1).alias("dates"), F.transform(later, change).alias("returns")
     )
+    infinite = float("inf")
+    odd = F.exists("returns", lambda row: F.exists(row, lambda x: x.isNull() | ~(F.abs(x) < infinite)))
+    at = F.filter(
+        F.arrays_zip("dates", "returns"), lambda r: F.exists(r["returns"], lambda x: x.isNull() | ~(F.abs(x) < infinite))
+    )[0]
+    names = F.filter(F.arrays_zip(F.col("tickers"), at["returns"].alias("x")), lambda c: c["x"].isNull() | ~(F.abs(c["x"]) < infinite))
+    message = F.concat(F.lit("basket "), F.col("date_r"), F.lit(": no return on "), at["dates"], F.lit(" for "), F.array_join(names["tickers"], ", "))
+    return made.filter(F.when(odd, F.raise_error(message).cast("boolean")).otherwise(True))
 
 
-def basket_returns(history: DataFrame) -> DataFrame:
+def basket_returns(baskets: DataFrame) -> DataFrame:
     """Simple returns, long form: (date_r, date, ticker, ret)."""
     return (
-        return_vectors(price_vectors(history))
-        .select("date_r", "date", F.explode(F.arrays_zip("tickers", "returns")).alias("c"))
+        return_vectors(baskets)
+        .select("date_r", "tickers", F.explode(F.arrays_zip("dates", "returns")).alias("d"))
+        .select("date_r", F.col("d.dates").alias("date"), F.explode(F.arrays_zip(F.col("tickers"), F.col("d.returns"))).alias("c"))
         .select("date_r", "date", F.col("c.tickers").alias("ticker"), F.col("c.returns").alias("ret"))
     )
 
 
-def pivot_prices(history: DataFrame, picks: DataFrame, n: int) -> DataFrame:
+def pivot_prices(baskets: DataFrame, picks: DataFrame, n: int) -> DataFrame:
     """Complete dates as a wide matrix: columns ``p1 .. pn`` are the names by rank."""
     ranks = picks.select(F.col("date").alias("date_r"), "ticker", "rank")
-    long = complete_case(history).join(ranks, ["date_r", "ticker"])
+    long = complete_case(baskets).join(ranks, ["date_r", "ticker"])
     wide = long.groupBy("date_r", "date").pivot("rank", list(range(1, n + 1))).agg(F.first("adj_close"))
     return wide.select("date_r", "date", *[F.col(str(i)).alias(f"p{i}") for i in range(1, n + 1)])
 
@@ -151,26 +196,21 @@ def _shrink(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
 def shrunk_covariance(returns: DataFrame) -> DataFrame:
     """One row per basket with its sample and shrunk, annualised covariance (flat, in ticker order).
 
-    A group is one basket's return matrix: kept dates times at most n names, bounded by the calendar. Baskets run in
-    parallel and stay where the return window left them.
+    A row holds one basket's return matrix, kept dates times at most n names, bounded by the calendar: nothing is shuffled.
     """
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        # by date, so the sums do not depend on how rows arrived
-        x = np.array(pdf.sort_values("date")["returns"].tolist(), dtype="float64")
-        sample, shrunk, share = _shrink(x)
-        return pd.DataFrame(
-            {
-                "date_r": [key[0]],
-                "tickers": [list(pdf["tickers"].iloc[0])],
-                "n_obs": [len(x)],
-                "shrinkage": [share],
-                "sample": [sample.ravel().tolist()],
-                "shrunk": [(shrunk * PERIODS_PER_YEAR).ravel().tolist()],
-            }
-        )
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                x = np.array(row["returns"], dtype="float64")
+                sample, shrunk, share = _shrink(x)
+                out.append((row["date_r"], row["tickers"], len(x), share, sample.ravel(), (shrunk * PERIODS_PER_YEAR).ravel()))
+            kinds = [pa.date32(), pa.list_(pa.string()), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            names = ["date_r", "tickers", "n_obs", "shrinkage", "sample", "shrunk"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 6, kinds)], names=names)
 
-    return returns.groupBy("date_r").applyInPandas(one, _COVARIANCE)
+    return returns.mapInArrow(solve, _COVARIANCE)
 
 
 def covariance_rows(covariance: DataFrame, matrix: str) -> DataFrame:
@@ -397,7 +437,7 @@ def clean_weights(weights: DataFrame) -> DataFrame:
 
 def basket_posterior(picks: DataFrame, panel: DataFrame, confidence: float, rows: int | None = None) -> DataFrame:
     """Posterior of every basket: history, shrunk covariance, views."""
-    returns = return_vectors(price_vectors(basket_history(picks, panel, rows)))
+    returns = return_vectors(basket_prices(picks, panel, rows))
     return bl_posterior(shrunk_covariance(returns), views(picks, confidence))
 
 

@@ -326,7 +326,8 @@ def _all_digits(columns) -> str:
 
 def _per_name(source: str, value: str, digits: int) -> str:
     return f"""SELECT date_r, ticker, count(*) AS n_rows, count({value}) AS n_values, min(date) AS first_date, max(date) AS last_date,
-  round(min({value}), {digits}) AS low, round(max({value}), {digits}) AS high, round(sum({value}), {digits}) AS total
+  round(min({value}), {digits}) AS low, round(max({value}), {digits}) AS high, round(sum({value}), {digits}) AS total,
+  round(sum({value} * date_diff('day', DATE '1995-01-01', CAST(date AS DATE))), {min(digits, 3)}) AS by_day
   FROM {source} GROUP BY 1, 2"""
 
 
@@ -345,6 +346,26 @@ def _profile(source: str, columns: list[str], digits: int, shape: bool) -> str:
     )
 
 
+def _quantiles(source: str, columns: list[str], digits: int) -> str:
+    """One SELECT per column."""
+    names = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    text = f"round(quantile_cont({{n}}, {{q}}), {digits})"
+    return " UNION ALL ".join(
+        f"""SELECT '{n}' AS "column", {", ".join(f"{text.format(n=n, q=q)} AS {name}" for name, q in names.items())} FROM {source}"""
+        for n in columns
+    )
+
+
+def _expanding(source: str, columns: list[str], digits: int) -> str:
+    """Every month end with all rows up to it."""
+    values = ", ".join(f"round({x}, {digits}) AS {name}" for name, x in
+                       {"mean": "avg(x)", "spread": "stddev_pop(x)", "low": "min(x)", "high": "max(x)"}.items())
+    cells = ", ".join(f"{{'column': '{n}', 'x': {n}}}" for n in columns)
+    return f"""SELECT d.date, "column", count(x) AS n, {values}
+  FROM (SELECT DISTINCT date FROM {source}) d JOIN (SELECT date, unnest([{cells}], recursive := true) FROM {source}) c ON c.date <= d.date
+  GROUP BY d.date, "column\""""
+
+
 def _correlations(source: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS correlation FROM {source}"
@@ -407,6 +428,8 @@ def _fine_grid() -> str:
 
 
 _PROFILED = ["open", "adj_close", "volume", "market_cap", "p_b", "p_fcf_quart", "p_fcf_ttm"]
+_RATIO_VALUES = ["price_to_book_value", "price_to_free_cash_flow_quarterly", "price_to_free_cash_flow_ttm"]
+_PANEL_OUT = "ticker, simfinid, comp_name, sector, industry, date, open, adj_close, volume, market_cap, " + _rounded(["p_b", "p_fcf_quart", "p_fcf_ttm"], 9)
 _LINES = """sessions AS (
   SELECT d FROM (SELECT CAST(unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS DATE) AS d FROM lineitem)
   WHERE isodow(d) < 6 AND d NOT IN ({}))""".format(", ".join(f"DATE '{d}'" for d in HOLIDAYS))
@@ -449,12 +472,21 @@ def statements() -> dict[str, str]:
         ),
         "join_company_industry": _query(TO_PANEL, "SELECT * FROM company_industry"),
         "join_price_company": _query(TO_PANEL, "SELECT * FROM prices LEFT JOIN company_industry USING (simfinid, ticker)"),
-        "join_price_ratio": _query(TO_PANEL, "SELECT * FROM prices LEFT JOIN ratios USING (simfinid, ticker, date)"),
-        "join_data": _query(TO_PANEL, "SELECT * FROM raw"),
+        "join_price_ratio": _query(
+            TO_PANEL,
+            f"SELECT ticker, date, simfinid, open, adj_close, volume, market_cap, {_rounded(_RATIO_VALUES, 9)} FROM prices LEFT JOIN ratios USING (simfinid, ticker, date)",
+        ),
+        "join_data": _query(
+            TO_PANEL,
+            f"""SELECT ticker, simfinid, date, open, adj_close, volume, market_cap, {_rounded(_RATIO_VALUES, 9)}, industryid, company_name, sector, industry
+  FROM raw""",
+        ),
         "check_unique": """SELECT l_suppkey AS simfinid, CAST(l_shipdate AS DATE) AS date, count(*) AS n_rows FROM lineitem
   GROUP BY 1, 2 HAVING count(*) > 1""",
-        "clean_panel": _query(TO_PANEL, "SELECT * FROM panel"),
+        "clean_panel": _query(TO_PANEL, f"SELECT {_PANEL_OUT} FROM panel"),
         "profile_numeric": _query(TO_PANEL, _profile("panel", _PROFILED, 4, True)),
+        "profile_quantiles": _query(TO_PANEL, _quantiles("panel", _PROFILED, 6)),
+        "profile_modeling_quantiles": _query(TO_MODELING, _quantiles("modeling", [*FEATURES, TARGET], 6)),
         "profile_distinct": _query(
             TO_PANEL,
             " UNION ALL ".join(
@@ -468,9 +500,9 @@ def statements() -> dict[str, str]:
             TO_PANEL,
             "SELECT ticker, open, adj_close, volume, count(*) AS n_rows FROM panel GROUP BY ALL HAVING count(*) > 1",
         ),
-        "market_cap_cat": _query(TO_DATED, "SELECT ticker, date, market_cap, market_cap_cat FROM capped"),
-        "filter_data": _query(TO_DATED, "SELECT * FROM sized"),
-        "filter_dates": _query(TO_DATED, "SELECT ticker, date, adj_close, market_cap_cat FROM dated"),
+        "market_cap_cat": _query(TO_DATED, f"SELECT ticker, date, {_rounded(['market_cap'])}, market_cap_cat FROM capped"),
+        "filter_data": _query(TO_DATED, f"SELECT {_PANEL_OUT}, market_cap_cat FROM sized"),
+        "filter_dates": _query(TO_DATED, f"SELECT ticker, date, {_rounded(['adj_close'])}, market_cap_cat FROM dated"),
         "change_index": _query(
             TO_INDEXED, "SELECT ticker, date, " + _rounded(["return_index", "p_b_index", "p_fcf_ttm_index"]) + " FROM indexed"
         ),
@@ -494,6 +526,11 @@ def statements() -> dict[str, str]:
         "modeling_data": _query(
             TO_MODELING, f"SELECT date, ticker, sector, market_cap_cat, {_rounded([*FEATURES, TARGET])} FROM modeling"
         ),
+        "expanding_moments": _query(TO_MODELING, _expanding("modeling", [*FEATURES, TARGET], 5)),
+        "refreshed_modeling": _query(
+            TO_MODELING, f"SELECT date, ticker, sector, market_cap_cat, {_rounded([*FEATURES, TARGET])} FROM modeling"
+        ),
+        "clustered_month_end": _query(TO_MONTHLY, f"SELECT {_MONTHLY_OUT} FROM liquid"),
         "profile_modeling": _query(TO_MODELING, _profile("modeling", [*FEATURES, TARGET], 5, False)),
         "profile_modeling_corr": _query(TO_MODELING, _all_correlations("modeling", [*FEATURES, TARGET])),
         "holdout": _query(
@@ -582,7 +619,11 @@ def statements() -> dict[str, str]:
             WEIGHTS,
             f"SELECT date, ticker, round(weights, 6) AS weights, {_rounded([TARGET, 'predictions'])}, month_end_date, period_start_date, period_end_date FROM held",
         ),
-        "position_prices": _query(PRICED, "SELECT * FROM priced"),
+        "position_prices": _query(
+            PRICED,
+            f"""SELECT date, simfinid, comp_name, ticker, {_rounded(['weights'])}, month_end_date, period_start_date, period_end_date,
+  {_rounded(['open_start_date', 'open_end_date'])} FROM priced""",
+        ),
         "position_values": _query(
             VALUES,
             "SELECT date, ticker, "

@@ -14,8 +14,8 @@ from tickfold.config import FIXTURE as S
 from tickfold.config import TARGET
 from tickfold.functions.checks import key_violations
 from tickfold.functions.columns import nan_to_null
-from tickfold.functions.scaling import double_columns, zscore_by
-from tickfold.operators import calendar, clean, evaluate, features, model, portfolio, profile, splits
+from tickfold.functions.scaling import double_columns, expanding, moments_by, zscore_by
+from tickfold.operators import calendar, clean, evaluate, features, model, portfolio, profile, refresh, splits
 from tickfold.plans import panel as plans
 from tickfold.session import configure, stage, stage_path
 from tickfold.sources import files, testdata
@@ -47,6 +47,12 @@ def _rounded(df: DataFrame, *exact: str, digits: int = 6) -> DataFrame:
     return df.selectExpr(*[f"round(`{n}`, {digits}) AS `{n}`" if n in rounded else f"`{n}`" for n in df.columns])
 
 
+def _nine_places(df: DataFrame) -> DataFrame:
+    """Ratios to nine places; prices, volumes and market values are exact in both engines."""
+    exact = {n for n in df.columns if n in ("open", "adj_close", "volume", "market_cap")}
+    return _rounded(df, *exact, digits=9)
+
+
 def _ten_digits(df: DataFrame) -> DataFrame:
     """Doubles to ten digits: compounded dollars grow beyond what fixed places can hold."""
     return df.withColumns({n: F.format_string("%.9e", n).try_cast("double") for n in double_columns(df)})
@@ -119,8 +125,13 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.basket_history(picks, panel, PICK_ROWS)
 
 
+def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picks, panel = _picks_and_panel(spark, sf_dir)
+    return portfolio.basket_prices(picks, panel, PICK_ROWS)
+
+
 def _covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portfolio.shrunk_covariance(portfolio.return_vectors(portfolio.price_vectors(_history(spark, sf_dir))))
+    return portfolio.shrunk_covariance(portfolio.return_vectors(_baskets(spark, sf_dir)))
 
 
 def _rank_weights(picks: DataFrame) -> DataFrame:
@@ -158,6 +169,23 @@ def io_parquet(spark, sf_dir):
     )
 
 
+def _clustered_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices and ratios written in buckets by ticker, and the panel joined from them without moving a row."""
+    inputs = testdata.inputs(spark, sf_dir)
+    for name in ("prices", "ratios"):
+        path = stage_path(spark, f"clustered-{name}")
+        held = f"tickfold_{name}_{path.rsplit('-', 1)[1]}"
+        files.write_clustered(inputs[name], held, path, "Ticker", ("Date", "SimFinId"))
+        inputs[name] = files.read_clustered(spark, held)
+    return plans.clean_panel(inputs, clustered=True)
+
+
+@register
+def clustered_month_end(spark, sf_dir):
+    """Liquid month ends with their lags, all windows straight from bucketed tables."""
+    return _monthly_columns(plans.monthly_panel(_clustered_panel(spark, sf_dir), S))
+
+
 @register
 def io_csv(spark, sf_dir):
     """Prices written as CSV, read back with the declared schema, totals per ticker."""
@@ -214,12 +242,13 @@ def join_price_company(spark, sf_dir):
 
 @register
 def join_price_ratio(spark, sf_dir):
-    return _plain_names(clean.join_price_ratio(testdata.prices(spark, sf_dir), testdata.ratios(spark, sf_dir)))
+    joined = _plain_names(clean.join_price_ratio(testdata.prices(spark, sf_dir), testdata.ratios(spark, sf_dir)))
+    return _nine_places(joined)
 
 
 @register
 def join_data(spark, sf_dir):
-    return _plain_names(clean.join_data(**testdata.inputs(spark, sf_dir), clustered=True))
+    return _nine_places(_plain_names(clean.join_data(**testdata.inputs(spark, sf_dir), clustered=True)))
 
 
 @register
@@ -233,7 +262,7 @@ def check_unique(spark, sf_dir):
 
 @register
 def clean_panel(spark, sf_dir):
-    return _panel(spark, sf_dir)
+    return _nine_places(_panel(spark, sf_dir))
 
 
 @register
@@ -246,9 +275,24 @@ def profile_numeric(spark, sf_dir):
 
 @register
 def profile_quantiles(spark, sf_dir):
+    """Exact quantiles, by selection of ranks."""
+    stored = stage(_panel(spark, sf_dir).select(*PROFILED), "profiled")
+    return _rounded(profile.profile_quantiles_exact(stored, PROFILED))
+
+
+@register
+def profile_quantiles_sketch(spark, sf_dir):
+    """The mergeable sketch, for tables that may be read only once."""
     return profile.profile_quantiles(_panel(spark, sf_dir), PROFILED)
 
 
+@register
+def profile_modeling_quantiles(spark, sf_dir):
+    """Exact quantiles of all numeric columns of the modeling table."""
+    df = _staged_modeling(spark, sf_dir)
+    return _rounded(profile.profile_quantiles_exact(df, double_columns(df)))
+
+
 @register
 def profile_distinct(spark, sf_dir):
     return profile.profile_distinct(_panel(spark, sf_dir), ["ticker", "sector", "industry", "date", "adj_close"])
@@ -275,17 +319,17 @@ def profile_duplicates(spark, sf_dir):
 
 @register
 def market_cap_cat(spark, sf_dir):
-    return clean.market_cap(_panel(spark, sf_dir)).select("ticker", "date", "market_cap", "market_cap_cat")
+    return _rounded(clean.market_cap(_panel(spark, sf_dir)).select("ticker", "date", "market_cap", "market_cap_cat"))
 
 
 @register
 def filter_data(spark, sf_dir):
-    return clean.filter_data(clean.market_cap(_panel(spark, sf_dir)))
+    return _nine_places(clean.filter_data(clean.market_cap(_panel(spark, sf_dir))))
 
 
 @register
 def filter_dates(spark, sf_dir):
-    return plans.filtered_panel(_panel(spark, sf_dir), S).select("ticker", "date", "adj_close", "market_cap_cat")
+    return _rounded(plans.filtered_panel(_panel(spark, sf_dir), S).select("ticker", "date", "adj_close", "market_cap_cat"))
 
 
 @register
@@ -410,6 +454,19 @@ def modeling_data(spark, sf_dir):
     return _rounded(_modeling(spark, sf_dir))
 
 
+@register
+def refreshed_modeling(spark, sf_dir):
+    """The modeling table built up to July 2001, then refreshed month by month from the state and the month's rows alone."""
+    panel = stage(_panel(spark, sf_dir), "panel")
+    dated, schedule = plans.filtered_panel(panel, S), plans.schedule(panel, S)
+    state, table = None, None
+    for start, end in [(S.start_date, "2001-08-01"), ("2001-08-01", "2001-09-01"), ("2001-09-01", "2001-10-01"), ("2001-10-01", "2001-11-01")]:
+        state, closed = refresh.refreshed(state, splits.slice_between(dated, start, end), schedule, S, stage)
+        closed = stage(closed, "closed")
+        table = closed if table is None else table.unionByName(closed)
+    return _rounded(table.unionByName(refresh.open_rows(state, S)))
+
+
 @register
 def profile_modeling(spark, sf_dir):
     df = _modeling(spark, sf_dir)
@@ -446,6 +503,15 @@ def train_y(spark, sf_dir):
     return _rounded(splits.train_val_y(_modeling(spark, sf_dir), S.modeling_data_date))
 
 
+@register
+def expanding_moments(spark, sf_dir):
+    """Count, mean and spread of every numeric column up to each month end, merged from the moments of single months."""
+    df = _staged_modeling(spark, sf_dir)
+    found = expanding(moments_by(df, double_columns(df)))
+    spread = F.when(F.col("n") > 0, F.sqrt(F.col("m2") / F.col("n")))
+    return _rounded(found.select("date", "column", "n", "mean", spread.alias("spread"), "low", "high"), digits=5)
+
+
 @register
 def xsec_zscore(spark, sf_dir):
     df = _staged_modeling(spark, sf_dir).drop(TARGET)
@@ -658,6 +724,8 @@ def _per_name(df: DataFrame, value: str, digits: int) -> DataFrame:
         F.round(F.min(value), digits).alias("low"),
         F.round(F.max(value), digits).alias("high"),
         F.round(F.sum(value), digits).alias("total"),
+        # bound to the order of days: a swap of two days shows
+        F.round(F.sum(F.col(value) * F.datediff("date", F.lit("1995-01-01").cast("date"))), min(digits, 3)).alias("by_day"),
     )
 
 
@@ -668,18 +736,18 @@ def basket_history(spark, sf_dir):
 
 @register
 def complete_case(spark, sf_dir):
-    return _per_name(portfolio.complete_case(_history(spark, sf_dir)), "adj_close", 2)
+    return _per_name(portfolio.complete_case(_baskets(spark, sf_dir)), "adj_close", 2)
 
 
 @register
 def pivot_prices(spark, sf_dir):
     picks, panel = _picks_and_panel(spark, sf_dir)
-    return portfolio.pivot_prices(portfolio.basket_history(picks, panel, PICK_ROWS), picks, S.top_n)
+    return portfolio.pivot_prices(portfolio.basket_prices(picks, panel, PICK_ROWS), picks, S.top_n)
 
 
 @register
 def basket_returns(spark, sf_dir):
-    return _per_name(portfolio.basket_returns(_history(spark, sf_dir)), "ret", 5)
+    return _per_name(portfolio.basket_returns(_baskets(spark, sf_dir)), "ret", 5)
 
 
 @register
@@ -702,7 +770,7 @@ def views(spark, sf_dir):
 @register
 def bl_posterior(spark, sf_dir):
     picks, panel = _picks_and_panel(spark, sf_dir)
-    returns = portfolio.return_vectors(portfolio.price_vectors(portfolio.basket_history(picks, panel, PICK_ROWS)))
+    returns = portfolio.return_vectors(portfolio.basket_prices(picks, panel, PICK_ROWS))
     return portfolio.bl_posterior(portfolio.shrunk_covariance(returns), portfolio.views(picks, S.confidence))
 
 
@@ -724,7 +792,7 @@ def basket_status(spark, sf_dir):
 def posterior_residual(spark, sf_dir):
     """Whether the posterior of every basket meets its equations."""
     picks, panel = _picks_and_panel(spark, sf_dir)
-    returns = portfolio.return_vectors(portfolio.price_vectors(portfolio.basket_history(picks, panel, PICK_ROWS)))
+    returns = portfolio.return_vectors(portfolio.basket_prices(picks, panel, PICK_ROWS))
     covariance = stage(portfolio.shrunk_covariance(returns), "covariance")
     views = portfolio.views(picks, S.confidence)
     return portfolio.posterior_residual(covariance, views, portfolio.bl_posterior(covariance, views))
@@ -750,7 +818,7 @@ def positions(spark, sf_dir):
 
 @register
 def position_prices(spark, sf_dir):
-    return _priced(spark, sf_dir)
+    return _rounded(_priced(spark, sf_dir))
 
 
 @register

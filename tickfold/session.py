@@ -37,6 +37,7 @@ def local_session(app: str = "tickfold", cores: str = "*", partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # no call-site lookup for every column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -69,12 +70,13 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet stage table and read it back.
 
     Used where a result feeds many jobs (model fits): a written table survives lost executors, cuts the lineage and
-    keeps column pruning and push-down, which an in-memory block or an RDD checkpoint would not.
+    keeps column pruning and push-down, which an in-memory block or an RDD checkpoint would not. ``codec`` is a Parquet
+    compression other than the session's.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
