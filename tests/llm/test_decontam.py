@@ -33,6 +33,21 @@ def test_marks_equal_brute_force():
         assert got == [brute(d, items, 10) for d in docs]
 
 
+def test_a_repeated_word_is_expanded_once():
+    """An item of equal words against a document of the same word: places grow with the document, not with the product."""
+    import tracemalloc
+
+    found = [["w"] * 200_000, ["w"] * 50 + ["x"], ["y"]]
+    found = [[w.encode() for w in own] for own in found]
+    block = decontam.block_of([("1", [b"w"] * 2000), ("2", [b"w"] * 11), ("3", [b"w", b"x"])], 10)
+    tracemalloc.start()
+    marks = decontam.mark(found, [block])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert marks.hit.tolist() == [200_000, 51, 0] and [sorted(x) for x in marks.items] == [["1", "2"], ["1", "2", "3"], []]
+    assert peak < 150e6
+
+
 def test_suffix_array_orders_suffixes():
     draw = random.Random(4)
     flat = np.array([draw.randrange(3) for _ in range(200)])

@@ -75,13 +75,50 @@ def test_classes_equal_brute_force(spark):
 
 
 def test_large_buckets_of_different_texts(spark, monkeypatch):
-    """Buckets above the limit are split by further bands and lose no link."""
+    """Buckets above the limit meet by rare shingles and lose no link."""
     monkeypatch.setattr(minhash, "FULL", 3)
     texts = corpus()
     rows, _, cls, _ = minhash.classes(documents(spark, texts))
     assert [r[cls] for r in rows.orderBy("doc_id").collect()] == brute(texts)
 
 
+def test_prefixes_meet_at_the_threshold(spark):
+    """Every pair at the threshold shares a shingle of its prefixes; repeated shingles count."""
+    texts = corpus()[:100] + [f"{prose(900, 30)} " * 4, f"{prose(900, 30)} " * 5, prose(901, 8)]
+    held = [(i, t) for i, t in enumerate(texts) if t and minhash.words(t)]
+    rows = minhash.rare_shingles(spark.createDataFrame(held, "node long, text string"), 0.8).collect()
+    prefix = {}
+    for r in rows:
+        prefix.setdefault(r.node, set()).add(r.bucket)
+    bags = {i: bag(t) for i, t in held}
+    met = 0
+    for i in bags:
+        for j in bags:
+            if i < j and minhash.words(texts[i]) != minhash.words(texts[j]) and minhash.jaccard(bags[i], bags[j]) >= 0.8:
+                met += 1
+                assert prefix[i] & prefix[j]
+    assert met > 50
+    assert sum(map(len, prefix.values())) < 0.3 * sum(len(b[0]) for b in bags.values())
+
+
+def test_weights_rule_out_only_what_they_must(spark):
+    pairs = [(a, b) for a in range(1, 60) for b in range(1, 60)]
+    df = spark.createDataFrame(pairs, "weight int, other int")
+    near = df.select("weight", "other", minhash.weight_class(0.8).alias("x"), minhash.near_weights(0.8, "weight", "other").alias("near"))
+    of = {r.weight: r.x for r in near.collect()}
+    for r in near.collect():
+        assert r.near == (5 * min(r.weight, r.other) >= 4 * max(r.weight, r.other))
+        assert not r.near or abs(of[r.weight] - of[r.other]) <= 1
+
+
+def test_marks_of_unlike_texts_rarely_agree():
+    texts = [minhash.words(prose(i, 150, [f"w{i}x{k}" for k in range(80)])) for i in range(30)]
+    doc, value, count = minhash.shingles(texts, minhash.WordHashes())
+    high = minhash.signatures(doc, value, count, len(texts)) >> np.uint64(56)
+    agree = np.mean([(high[i] == high[j]).mean() for i in range(30) for j in range(i)])
+    assert agree < 0.01
+
+
 def test_odd_rows(spark):
     docs = odd(spark)
     kept = minhash.deduplicate(docs)

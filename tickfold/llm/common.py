@@ -50,26 +50,46 @@ def narrow_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(F.broadcast(right) if rows <= BROADCAST_IDS else right, on, how)
 
 
+def hot_keys(left: DataFrame, key: str, per_task: int) -> DataFrame:
+    """(key, salts) of the keys with more than ``per_task`` rows, written; rows are folded per task before they are counted.
+
+    There are fewer than rows / ``per_task`` of them, and ``per_task`` is raised until they can be broadcast.
+    """
+    counts = left.groupBy(key).agg(F.count("*").alias("held")).filter(F.col("held") > per_task)
+    hot = stage(counts, "hot-keys")
+    while hot.count() > BROADCAST_IDS:
+        per_task *= 2
+        hot = hot.filter(F.col("held") > per_task)
+    return hot.select(key, F.ceil(F.col("held") / per_task).cast("int").alias("salts"))
+
+
 def salted(left: DataFrame, key: str, per_task: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """(``left`` with a column ``salt``, salts per key): a key with more than ``per_task`` rows is dealt over salts.
+    """(``left`` with a column ``salt``, the hot keys): a key with more than ``per_task`` rows is dealt over salts.
 
-    The salt is a hash of the row, so a task that runs again deals it alike. At most rows / ``per_task`` keys are hot.
+    The hot keys are broadcast, so the salt is there before any row is dealt by its key. It is a hash of the row: a task
+    that runs again deals it alike.
     """
-    counts = left.groupBy(key).agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
-    hot = counts.filter("salts > 1")
-    dealt = left.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(*left.columns), F.coalesce("salts", F.lit(1))).cast("int"))
-    return dealt.drop("salts"), counts
+    hot = hot_keys(left, key, per_task)
+    dealt = left.join(F.broadcast(hot), key, "left")
+    salt = F.pmod(F.xxhash64(*left.columns), F.coalesce("salts", F.lit(1))).cast("int")
+    return dealt.withColumn("salt", salt).drop("salts"), hot
 
 
-def spread(right: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    """``right``, one row per key, repeated for every salt of its key."""
-    return right.join(counts, key).withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).drop("salts")
+def spread(right: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """``right``, a few rows per key, repeated for every salt of its key."""
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    return right.join(F.broadcast(hot), key, "left").withColumn("salt", salts).drop("salts")
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, per_task: int = 2000) -> DataFrame:
     """Inner equi-join of many ``left`` rows with one ``right`` row per key, without a hot key in one task."""
-    dealt, counts = salted(left, key, per_task)
-    return dealt.join(spread(right, counts, key), [key, "salt"]).drop("salt")
+    dealt, hot = salted(left, key, per_task)
+    return dealt.join(spread(right, hot, key), [key, "salt"]).drop("salt")
+
+
+def keyed_join(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
+    """Inner join with one ``right`` row per key: broadcast up to ``BROADCAST_IDS`` rows, else without a hot key in one task."""
+    return left.join(F.broadcast(right), key) if rows <= BROADCAST_IDS else salted_join(left, right, key)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -1,10 +1,12 @@
 """Quality by co-training two classifiers.
 
-One view reads the words of a text, the other its page metadata: language, source, length and layout. Both are naive Bayes
-classifiers over hashed features, fitted by grouped counts. They start from labelled documents; then, for some rounds, each
-labels all unlabelled documents, and what it is confident of is added to the training set of the other. Each view's
-mean log odds are calibrated on labelled documents kept back from the counts, where a last logistic curve also learns how to
-combine the views. All documents are then scored in one pass.
+One view reads the words of a text, the other its page metadata: language, source, length and lines, none of it told by a
+word. Both are naive Bayes classifiers over hashed features, fitted by grouped counts. They start from labelled documents;
+then, for some rounds, each labels all unlabelled documents, and what it is confident of is added to the training set of the
+other. However many such pseudo-labels there are, those of a class weigh at most ``PSEUDO_SHARE`` of its true labels, so they
+can't swamp or unbalance these. Each view's mean log odds are calibrated on labelled documents kept back from the counts,
+where a last logistic curve also learns how to combine the views, neither of them against its own evidence. A round whose
+curve fits these documents worse than the best so far is not used. All documents are then scored in one pass.
 
 Fitting uses at most about ``MAX_LABELLED`` labelled documents, chosen by a hash of their id, and every document without a
 label; scoring covers every document whole. Null texts are empty and null metadata is a value of its own. Repeated rows count each
@@ -31,6 +33,8 @@ MAX_LABELLED = 20_000
 ROUNDS = 3
 #: A calibrated probability of at least this, or at most its complement, is a label for the other view.
 CONFIDENT = 0.97
+#: Weight of all pseudo-labels of a class in that of its true labels, at most.
+PSEUDO_SHARE = 0.5
 WORD_BUCKETS, META_BUCKETS = 1 << 16, 1 << 10
 #: Added to every count; a feature's weight shrinks by it.
 SMOOTHING = 0.5
@@ -51,30 +55,16 @@ def word_features(text: str, cache: dict[str, int]) -> list[int]:
     return out
 
 
-_KINDS = np.zeros(256, np.int64)
-_KINDS[ord("A") : ord("Z") + 1] = 1
-_KINDS[ord("0") : ord("9") + 1] = 2
-_KINDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = 3
-_KINDS[10] = 4
-
-
-def meta_features(lang: str | None, source: str | None, text: str, different: int) -> list[int]:
-    """Buckets of language, source, length and layout (with the number of different words), none of which tells a word."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    n = max(len(data), 1)
-    _, upper, digit, sign, breaks = np.bincount(_KINDS[data], minlength=5).tolist()
-    blanks = int((data == 32).sum())
+def meta_features(lang: str | None, source: str | None, text: str) -> list[int]:
+    """Buckets of language, source, length and lines."""
+    n, breaks = max(len(text), 1), text.count("\n")
     facts = (
         f"lang {lang}",
         f"source {source}",
         f"length {int(2 * math.log2(n))}",
         f"lines {int(2 * math.log2(breaks + 1))}",
         f"line length {int(2 * math.log2(n / (breaks + 1)))}",
-        f"upper {int(20 * upper / n)}",
-        f"digits {int(20 * digit / n)}",
-        f"signs {int(30 * sign / n)}",
-        f"variety {int(4 * math.log2((different + 1) / (blanks + breaks + 1)))}",
-        f"word length {min(int(n / (blanks + breaks + 1)), 30)}",
+        f"source {source} length {int(math.log2(n))}",
     )
     return [crc32(f.encode()) % META_BUCKETS for f in facts]
 
@@ -139,7 +129,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
         for batch, texts in chunks(batches, "text"):
             lang, source = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source"))
             words = [word_features(t, cache) for t in texts]
-            meta = [meta_features(x, y, t, len(w)) for x, y, t, w in zip(lang, source, texts, words)]
+            meta = [meta_features(*x) for x in zip(lang, source, texts)]
             kind = pa.list_(pa.int32())
             yield extended(batch, ["label", "back"], {"words": pa.array(words, kind), "meta": pa.array(meta, kind)})
 
@@ -148,19 +138,22 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 
 
 def counts(rows: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray]:
-    """Counts by label and bucket for the words and for the metadata, folded per task.
+    """Weights by label and bucket for the words and for the metadata, folded per task.
 
-    A labelled row counts for both views; a row of the pool counts for a view if the other one is confident.
+    A labelled row counts 1 for both views. A row of the pool counts for a view if the other one is confident, and all such
+    rows of a class are scaled to ``PSEUDO_SHARE`` of its labelled rows where they are more.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    sizes = (WORD_BUCKETS + 1, META_BUCKETS + 1)  # the last bucket counts rows
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        held = np.zeros((2, WORD_BUCKETS), np.int64), np.zeros((2, META_BUCKETS), np.int64)
+        held = [[np.zeros((2, n), np.int64) for n in sizes] for _ in range(2)]  # labelled, pseudo-labelled
         for batch in batches:
             for label, back, words, meta in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if back:
                     continue
+                into = held[label is None]
                 by_text = by_meta = label
                 if label is None:
                     by_text, by_meta = (
@@ -168,25 +161,32 @@ def counts(rows: DataFrame, model: Model | None) -> tuple[np.ndarray, np.ndarray
                         for p in (sigmoid(model.text.logit(words)), sigmoid(model.meta.logit(meta)))
                     )
                 if by_meta is not None:
-                    held[0][by_meta, words] += 1
+                    into[0][by_meta, words] += 1
+                    into[0][by_meta, -1] += 1
                 if by_text is not None:
-                    np.add.at(held[1][by_text], meta, 1)
-        for view, table in enumerate(held):
-            label, bucket = np.nonzero(table)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(label), view, np.int32)), pa.array(label.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(table[label, bucket])],
-                names=["view", "label", "bucket", "n"],
-            )
+                    np.add.at(into[1][by_text], meta, 1)
+                    into[1][by_text, -1] += 1
+        for pseudo, tables in enumerate(held):
+            for view, table in enumerate(tables):
+                label, bucket = np.nonzero(table)
+                kinds = [np.full(len(label), x, np.int32) for x in (pseudo, view)]
+                arrays = [*kinds, label.astype(np.int32), bucket.astype(np.int32), table[label, bucket]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["pseudo", "view", "label", "bucket", "n"])
 
     rows = rows.filter("label IS NOT NULL") if model is None else rows
-    found = rows.select("label", "back", "words", "meta").mapInArrow(step, "view int, label int, bucket int, n long")
-    # at most 2 * (WORD_BUCKETS + META_BUCKETS) rows
-    summed = found.groupBy("view", "label", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros((2, WORD_BUCKETS)), np.zeros((2, META_BUCKETS))
-    view, label, bucket, n = (summed.column(c).to_numpy() for c in ("view", "label", "bucket", "n"))
-    for i in range(2):
-        out[i][label[view == i], bucket[view == i]] = n[view == i]
-    return out
+    found = rows.select("label", "back", "words", "meta").mapInArrow(step, "pseudo int, view int, label int, bucket int, n long")
+    # at most 4 * (WORD_BUCKETS + META_BUCKETS + 2) rows
+    summed = found.groupBy("pseudo", "view", "label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    pseudo, view, label, bucket, n = (summed.column(c).to_numpy() for c in ("pseudo", "view", "label", "bucket", "n"))
+    out = []
+    for i, size in enumerate(sizes):
+        true, more = (np.zeros((2, size)) for _ in range(2))
+        for kind, table in enumerate((true, more)):
+            on = (view == i) & (pseudo == kind)
+            table[label[on], bucket[on]] = n[on]
+        scale = np.minimum(1.0, PSEUDO_SHARE * true[:, -1] / np.maximum(more[:, -1], 1))
+        out.append((true + more * scale[:, None])[:, :-1])
+    return out[0], out[1]
 
 
 def weights(table: np.ndarray) -> np.ndarray:
@@ -196,8 +196,12 @@ def weights(table: np.ndarray) -> np.ndarray:
     return np.where(table.sum(0) > 0, out, 0.0)
 
 
-def calibrated(rows: DataFrame, views: tuple[np.ndarray, np.ndarray]) -> Model:
-    """The two views with their curves, from the labelled rows kept back (a quarter of ``MAX_LABELLED`` at most)."""
+def calibrated(rows: DataFrame, views: tuple[np.ndarray, np.ndarray]) -> tuple[Model, float]:
+    """The two views with their curves, and the mean log loss of the combined curve.
+
+    Fitted on the labelled rows kept back, a quarter of ``MAX_LABELLED`` at most. A view that the curve would turn against its
+    own evidence is left out of it.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(views)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +212,17 @@ def calibrated(rows: DataFrame, views: tuple[np.ndarray, np.ndarray]) -> Model:
 
     found = rows.filter("back").select("label", "words", "meta").mapInArrow(step, "label int, text double, meta double").toArrow()
     y, t, m = (found.column(c).to_numpy().astype(float) for c in ("label", "text", "meta"))
-    (a, b), (c, d) = logistic(t, y), logistic(m, y)
-    both = logistic(np.column_stack([a * t + b, c * m + d]), y)
-    return Model(View(views[0], a, b), View(views[1], c, d), tuple(map(float, both)))
+    curves = [logistic(x, y) for x in (t, m)]
+    views_of = [View(w, max(float(c[0]), 0.0), float(c[1])) for w, c in zip(views, curves)]
+    logits = np.column_stack([v.slope * x + v.shift for v, x in zip(views_of, (t, m))])
+    both = logistic(logits, y)
+    if min(both[:2]) < 0:
+        kept = int(np.argmax(both[:2]))
+        alone = logistic(logits[:, kept], y)
+        both = np.zeros(3)
+        both[kept], both[2] = max(alone[0], 0.0), alone[1]
+    p = 1 / (1 + np.exp(-np.clip(logits @ both[:2] + both[2], -30, 30)))
+    return Model(*views_of, tuple(map(float, both))), float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: int = ROUNDS) -> Model:
@@ -221,11 +233,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rounds: int
         flat = View(np.zeros(WORD_BUCKETS), 0.0, 0.0), View(np.zeros(META_BUCKETS), 0.0, 0.0)
         share = (kinds.get(1, 0) + 0.5) / (sum(kinds.values()) + 1)
         return Model(*flat, (0.0, 0.0, math.log(share / (1 - share))))
+    best, least = None, math.inf
     model = None
     for _ in range(rounds):
         text, meta = counts(rows, model)
-        model = calibrated(rows, (weights(text), weights(meta)))
-    return model
+        model, loss = calibrated(rows, (weights(text), weights(meta)))
+        if loss < least:
+            best, least = model, loss
+    return best
 
 
 def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
@@ -239,7 +254,7 @@ def scores(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
         for batch, texts in chunks(batches, "text"):
             lang, source = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source"))
             words = [word_features(t, cache) for t in texts]
-            meta = [meta_features(x, y, t, len(w)) for x, y, t, w in zip(lang, source, texts, words)]
+            meta = [meta_features(*x) for x in zip(lang, source, texts)]
             found = [model.score(*x) for x in zip(words, meta)]
             both, text, meta = ([f[i] for f in found] for i in range(3))
             columns = {"score": both, "predicted": [int(s >= 0.5) for s in both], "text_score": text, "meta_score": meta}

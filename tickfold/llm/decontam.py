@@ -187,13 +187,20 @@ def mark(found: list[list[bytes]], parts: list[Block]) -> Marks:
         there = np.flatnonzero((_common(shard.flat, at, block.flat, start, width) == width) & (low < len(shard.order)))
         low, start, width, begins = low[there], start[there], width[there], begins[there]
         high = search(shard.flat, shard.order, block.flat, start, width, True)
+        # equal windows lie at the same places: each is expanded once, so places are as many as the shard's words at most
+        # for every width
+        _, first, alike = np.unique(np.stack([low, high, width]), axis=1, return_index=True, return_inverse=True)
+        alike = alike.ravel()
+        low, high, width = low[first], high[first], width[first]
         place = shard.place[shard.order[ranges(low, high)]]
         np.add.at(hit, place, 1)
         np.add.at(hit, place + np.repeat(width, high - low), -1)
         doc = np.searchsorted(offsets, place, side="right") - 1
-        pairs = np.unique(doc * len(block.items) + np.repeat(block.item[begins], high - low))
-        for d, k in zip((pairs // len(block.items)).tolist(), (pairs % len(block.items)).tolist()):
-            items[d].add(block.items[k])
+        held = np.unique(np.stack([alike, block.item[begins]]), axis=1)  # (window, item), windows in order
+        begin = np.searchsorted(held[0], np.arange(len(first) + 1))
+        met = np.unique(np.repeat(np.arange(len(first)), high - low) + doc * len(first))
+        for d, w in zip((met // len(first)).tolist(), (met % len(first)).tolist()):
+            items[d].update(block.items[k] for k in held[1][begin[w] : begin[w + 1]].tolist())
     covered = np.append(0, np.cumsum(np.cumsum(hit[:-1]) > 0))
     return Marks(counts, covered[offsets[:-1] + counts] - covered[offsets[:-1]], items)
 

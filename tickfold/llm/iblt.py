@@ -144,7 +144,7 @@ class Tables:
         """Each set's cells: counts, sums, checks."""
         total = int(self.offsets[-1])
         count, key = self.count.astype("<i4"), self.key.astype("<u8")
-        check = (self.check >> np.uint64(32)).astype("<u4")
+        check = (self.check >> np.uint64(48)).astype("<u2")
         out = []
         for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
             parts = [x[t * total + a : t * total + b].tobytes() for x in (count, key, check) for t in range(3)]
@@ -199,8 +199,8 @@ def edited(text: str, following: str) -> str:
 
 
 COLUMNS = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-KINDS = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-RESULT = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+KINDS = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+RESULT = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(texts: list[str], following: list[str]) -> list[list]:
@@ -210,7 +210,7 @@ def compared(texts: list[str], following: list[str]) -> list[list]:
     own, new, after = (paragraphs(x) for x in ([t.encode() for t in texts], versions, [t.encode() for t in following]))
     return [
         [len(t) for t in texts],
-        [hashlib.sha256(v).hexdigest() for v in versions],
+        [hashlib.sha256(v).digest() for v in versions],
         sketch(n, *own).cells(),
         sketch(n, *new).cells(),
         likeness(n, own, new).tolist(),
@@ -272,4 +272,5 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     last = met.filter(F.col("kind") == LAST).select("part", "id", "text")
     pairs = last.join(parts.withColumn("after", after), "part").join(heads, "after").select("id", "text", "following")
     both = done.unionByName(pairs.mapInArrow(_meet, f"id {kind}, {RESULT}"))
-    return both.withColumns({name: F.base64(name) for name in ("fingerprint", "edited_fingerprint")})
+    shown = {name: F.base64(name) for name in ("fingerprint", "edited_fingerprint")}
+    return both.withColumns({**shown, "edited_sha256": F.lower(F.hex("edited_sha256"))})

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickfold.llm.common import chunks, extended, narrow_join, salted_join, stage
+from tickfold.llm.common import chunks, extended, keyed_join, salted_join, stage
 
 #: Trigrams are hashed into so many buckets.
 BUCKETS = 1 << 15
@@ -35,7 +35,8 @@ PARENT, SIGN = 8.0, 4.0
 DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|noscript|template)\b.*?</\1\s*>|<div class=.ad.>.*?</div>")
 ARTICLE = re.compile(r"(?is)<article\b[^>]*>(.*?)</article\s*>")
 TAG = re.compile(r"(?s)<[^>]*>")
-DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
+HTML = re.compile(r"(?i)<html\b")
+DECLARED = re.compile(r"(?i)\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b")
 ADDRESS = re.compile(r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?([^?#]*)")
 FOLDER = re.compile(r"(?i)^/([a-z]{2})(?:[-_][a-z]{2})?(?:/|$)")
 
@@ -48,6 +49,18 @@ def page_text(page: str) -> str:
     return entities.unescape(TAG.sub(" ", page))
 
 
+def declared(page: str) -> str:
+    """The language of the first ``html`` tag that declares one, wherever it stands; each tag is read once."""
+    at = 0
+    while tag := HTML.search(page, at):
+        at = page.find(">", tag.end())
+        if at < 0:
+            break
+        if found := DECLARED.search(page, tag.end(), at):
+            return found[1].lower()
+    return ""
+
+
 def address(url: str) -> tuple[str, str, str, str]:
     """(host, domain, suffix, language folder or '')."""
     m = ADDRESS.match(url.strip())
@@ -112,13 +125,13 @@ def evidence(pages: DataFrame, names: list[str], table: np.ndarray, page_id: str
         table = shared.value
         for batch, texts in chunks(batches, "page"):
             places = [address(u or "") for u in batch.column(1).to_pylist()]
-            declared = [m[1].lower() if (m := DECLARED.search(t[:4000])) else "" for t in texts]
+            said = [declared(t) for t in texts]
             logs = []
             for t in texts:
                 at = trigrams(page_text(t))
                 log = table[:, at].sum(1, dtype=np.float64) if len(at) else np.zeros(len(table))
                 logs.append(log * min(1.0, INDEPENDENT / max(len(at), 1)))
-            strings = [pa.array(x, pa.string()) for x in (*(zip(*places) if places else [()] * 4), declared)]
+            strings = [pa.array(x, pa.string()) for x in (*(zip(*places) if places else [()] * 4), said)]
             numbers = [pa.array([x.tolist() for x in xs], pa.list_(pa.float64())) for xs in (logs, [posterior(x) for x in logs])]
             columns = dict(zip(("host", "domain", "suffix", "folder", "declared", "log", "share"), [*strings, *numbers]))
             yield extended(batch, ["page_id"], columns)
@@ -160,7 +173,7 @@ def identify(pages: DataFrame, docs: DataFrame, page_id: str = "page_id", url: s
     # declared languages, suffixes and folders are few, but nothing bounds them
     for key in ("declared", "suffix", "folder"):
         found = stage(_sums(rows, key, n), f"language-{key}")
-        out = narrow_join(out, found, key, "inner", found.count())
+        out = keyed_join(out, found, key, found.count())
     out = out.withColumn("domain_prior", _normal("domain_sums", "overall", PARENT))
     out = out.withColumn("prior", _normal("host_sums", "domain_prior", PARENT))
     terms = ["log[i]", "ln(prior[i])"]

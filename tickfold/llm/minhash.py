@@ -8,7 +8,9 @@ documents then share a slot with the probability of their weighted Jaccard simil
 
 Slots are banded. Inside a bucket every text is first compared with one centre, so a large group of near copies costs one
 comparison per text; links join texts into classes. What a bucket holds beside its largest class is then compared with the
-whole bucket, if that is little, and else the bucket is split by further bands. A comparison is exact, on the shingle
+whole bucket, if that is little. The texts of wider buckets, which mostly share a common passage, meet by their rarest
+shingles instead: two texts at the threshold share one of the rarest fifth of theirs, whatever the order that says which are
+rare, so this loses nothing. Only texts whose total weights allow the threshold meet. A comparison is exact, on the shingle
 multisets, for all pairs whose signatures don't rule it out.
 
 Null texts and texts without words link to nothing but equal non-empty texts. Repeated rows are copies. Ids may repeat or
@@ -19,11 +21,12 @@ an empty result. New columns replace kept ones of the same name.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickfold.llm.common import (
@@ -42,15 +45,19 @@ from tickfold.llm.decontam import words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: 24 bands of 4 slots: a pair at the threshold is missed with a probability of 3e-6.
-BANDS, ROWS = 24, 4
+#: 36 bands of 6 slots: a pair at the threshold is missed with a probability of 2e-5, one at half of it meets with 1.3e-1.
+BANDS, ROWS = 36, 6
 SLOTS = BANDS * ROWS
-#: Up to this many texts beside a bucket's largest class are compared with the whole bucket; with more of them the bucket is
-#: split by one more band, twice at most.
+#: Slots of which a byte is kept to rule pairs out.
+MARKS = 128
+#: Up to this many texts beside a bucket's largest class are compared with the whole bucket; those of wider ones meet by rare
+#: shingles.
 FULL = 48
-#: Pairs whose equal slots are this many standard deviations below the threshold's are not compared: one pair at the threshold
-#: in 10^8.
-RULED_OUT = 5.6
+#: Pairs whose equal marks are this many standard deviations below the threshold's are not compared: one pair at the threshold
+#: in 10^6.
+RULED_OUT = 4.75
+#: Shingles are counted in so many cells to tell rare ones: one table of 4 MB, whatever the corpus.
+CELLS = 1 << 20
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -137,12 +144,9 @@ def signatures(doc: np.ndarray, value: np.ndarray, count: np.ndarray, n: int) ->
                 level = low + 1 + (mix(place) % np.uint64(high - low)).astype(np.int64)
                 good = level <= cc
                 key, at, mark = dd[good] * SLOTS + slot[good], time[good], place[good]
-                order = np.lexsort((at, key))
-                key, at, mark = key[order], at[order], mark[order]
-                lead = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-                key, at, mark = key[lead], at[lead], mark[lead]
-                better = at < first[key]
-                first[key[better]], winner[key[better]] = at[better], mark[better]
+                np.minimum.at(first, key, at)
+                ahead = at == first[key]
+                winner[key[ahead]] = mark[ahead]
             more = c > high
             d, v, c = d[more], v[more], c[more]
             low, high = high, high * 2
@@ -163,7 +167,8 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def _prepared(docs: DataFrame, text: str) -> DataFrame:
-    """All columns with ``digest`` (16 bytes, equal for equal words), ``bands`` and ``marks`` (a byte per slot).
+    """All columns with ``digest`` (16 bytes, equal for equal words), ``bands``, ``marks`` (the high byte of the first slots, as
+    the low bits of a value say little more than its slot) and ``weight`` (shingles).
 
     They are null where nothing may link.
     """
@@ -171,7 +176,7 @@ def _prepared(docs: DataFrame, text: str) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch, texts in chunks(batches, text, 2 << 20):
+        for batch, texts in chunks(batches, text, 1 << 20):
             found = [words(t) for t in texts]
             digests = [
                 hashlib.blake2b(b" ".join(w), digest_size=16).digest()
@@ -182,32 +187,51 @@ def _prepared(docs: DataFrame, text: str) -> DataFrame:
             has = [i for i, w in enumerate(found) if w]
             doc, value, count = shingles([found[i] for i in has], cache)
             signature = signatures(doc, value, count, len(has))
-            keys, low = bands(signature).view(np.int64), (signature & np.uint64(255)).astype(np.uint8)
+            keys, high = bands(signature).view(np.int64), (signature[:, :MARKS] >> np.uint64(56)).astype(np.uint8)
+            weights = np.bincount(doc, count, minlength=len(has)).astype(np.int64).tolist()
             rows: list[list[int] | None] = [None] * len(found)
             marks: list[bytes | None] = [None] * len(found)
-            for i, key, mark in zip(has, keys.tolist(), low):
-                rows[i], marks[i] = key, mark.tobytes()
-            new = {"digest": pa.array(digests, pa.binary()), "bands": pa.array(rows, pa.list_(pa.int64())), "marks": pa.array(marks, pa.binary())}
+            weight: list[int | None] = [None] * len(found)
+            for i, key, mark, w in zip(has, keys.tolist(), high, weights):
+                rows[i], marks[i], weight[i] = key, mark.tobytes(), w
+            new = {
+                "digest": pa.array(digests, pa.binary()),
+                "bands": pa.array(rows, pa.list_(pa.int64())),
+                "marks": pa.array(marks, pa.binary()),
+                "weight": pa.array(weight, pa.int64()),
+            }
             yield extended(batch, keep, new)
+        pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(step, schema_of(docs, keep, "digest binary, bands array<long>, marks binary"))
+    return docs.mapInArrow(step, schema_of(docs, keep, "digest binary, bands array<long>, marks binary, weight long"))
 
 
 def least_equal(threshold: float) -> int:
-    """Equal slots that a pair at the threshold almost surely has."""
-    return max(1, int(SLOTS * threshold - RULED_OUT * (SLOTS * threshold * (1 - threshold)) ** 0.5))
+    """Equal marks that a pair at the threshold almost surely has."""
+    return max(1, int(MARKS * threshold - RULED_OUT * (MARKS * threshold * (1 - threshold)) ** 0.5))
+
+
+def near_weights(threshold: float, a: str = "wa", b: str = "wb") -> Column:
+    """Whether two total weights allow the threshold: the shared weight is at most the lesser, the whole at least the greater."""
+    return F.least(a, b) + 1e-6 >= threshold * F.greatest(a, b)
+
+
+def weight_class(threshold: float) -> Column:
+    """Two weights that allow the threshold are of the same or of neighbouring classes."""
+    return F.floor(F.log("weight") / (1e-4 - math.log(threshold))).cast("int")
 
 
 def plausible(pairs: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` that share enough slots to be compared; ``keys`` has (node, marks)."""
+    """The (a, b) of ``pairs`` whose weights and marks allow the threshold; ``keys`` has (node, marks, weight)."""
     least = least_equal(threshold)
-    dealt, counts = salted(pairs, "a")
-    marks = keys.select("node", "marks")
-    both = dealt.join(marks.toDF("b", "right"), "b").join(spread(marks.toDF("a", "left"), counts, "a"), ["a", "salt"])
+    dealt, hot = salted(pairs, "a")
+    marks = keys.select("node", "marks", "weight")
+    left = spread(marks.toDF("a", "left", "wa"), hot, "a")
+    both = dealt.join(marks.toDF("b", "right", "wb"), "b").join(left, ["a", "salt"]).filter(near_weights(threshold))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, MARKS) for i in (2, 3))
             good = pa.array((one == two).sum(1) >= least)
             yield batch.select(["a", "b"]).filter(good)
 
@@ -219,8 +243,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     A text that many pairs name is dealt over several tasks.
     """
-    dealt, counts = salted(pairs, "a", 200)
-    both = dealt.join(texts.toDF("b", "right"), "b").join(spread(texts.toDF("a", "left"), counts, "a"), ["a", "salt"])
+    dealt, hot = salted(pairs, "a", 200)
+    both = dealt.join(texts.toDF("b", "right"), "b").join(spread(texts.toDF("a", "left"), hot, "a"), ["a", "salt"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -288,35 +312,82 @@ def _centre_pairs(buckets: DataFrame) -> DataFrame:
     return stage(pairs.select("a", F.col("node").alias("b")).distinct(), "minhash-centre-pairs")
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, keys: DataFrame) -> DataFrame:
-    """(a, b): the pairs of different classes that share a bucket.
+def _beside(level: DataFrame, most: int | None, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+    """((a, b) of different classes that share a bucket, the rows of buckets too wide for that).
 
-    Where few texts stand beside a bucket's largest class, each of them meets the whole bucket: the pairs grow with the
-    bucket's size, not with its square. Other buckets are split by each later band (``last`` is the latest so far): two texts
-    that share a band at the threshold share others almost surely, and of two bands one is the later. What is still so
-    after two more bands holds many classes of texts that are all alike; it is compared in full.
+    Each text beside a bucket's largest class meets the texts of the whole bucket whose weight is near its own, so pairs grow
+    with the bucket's size and not with its square, as long as few stand beside; ``most`` of them, or any number for None.
     """
-    out = None
-    level = stage(buckets.join(labels, "node"), "minhash-open")
-    for more in range(3):
-        sizes = level.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        largest = F.max(F.struct("n", "label")).alias("largest")
-        several = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), largest, F.count("*").alias("classes")).filter("classes > 1")
-        several = stage(several.selectExpr("bucket", "n - largest.n AS others", "largest.label AS main"), "minhash-several")
-        held = stage(salted_join(level, several, "bucket"), "minhash-held")
-        small = held if more == 2 else held.filter(F.col("others") <= FULL)
-        dealt, counts = salted(small.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb")), "bucket")
-        beside = small.filter("label <> main").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-        met = dealt.join(spread(beside, counts, "bucket"), ["bucket", "salt"]).filter("la <> lb")
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        out = pairs if out is None else out.union(pairs)
-        if more == 2 or not several.filter(F.col("others") > FULL).limit(1).count():
-            break
-        wide = held.filter(F.col("others") > FULL).select("bucket", "node", "label", F.col("last").alias("before"))
-        split = wide.join(keys, "node").select("bucket", "before", F.posexplode("bands").alias("last", "band"), "node", "label")
-        split = split.filter("last > before").select(F.xxhash64("bucket", "band").alias("bucket"), "node", "label", "last")
-        level = stage(split, "minhash-split")
-    return stage(out.distinct(), "minhash-open-pairs")
+    sizes = level.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "label")).alias("largest")
+    several = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), largest, F.count("*").alias("classes")).filter("classes > 1")
+    several = stage(several.selectExpr("bucket", "n - largest.n AS others", "largest.label AS main"), "minhash-several")
+    held = stage(salted_join(level, several, "bucket"), "minhash-held")
+    small = held if most is None else held.filter(F.col("others") <= most)
+    dealt, hot = salted(small.select("bucket", "size", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb")), "bucket")
+    beside = small.filter("label <> main").select(
+        "bucket", F.explode(F.array(F.col("size") - 1, "size", F.col("size") + 1)).alias("size"),
+        F.col("node").alias("a"), F.col("label").alias("la"), F.col("weight").alias("wa"),
+    )
+    met = dealt.join(spread(beside, hot, "bucket"), ["bucket", "salt", "size"]).filter((F.col("la") != F.col("lb")) & near_weights(threshold))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs, None if most is None else held.filter(F.col("others") > most)
+
+
+def rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, bucket): for every text the shingles of which it must share one with any text at the threshold.
+
+    In a fixed order of all shingles, the weight behind a text's prefix falls short of ``threshold`` times its own; what it
+    shares with such a text is more than that, so it reaches into the prefix, on both sides. The order is by how often
+    shingles of the same cell occur among ``texts``, rare first, then by hash. Shingles alone in their cell meet nothing.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, held = WordHashes(), np.zeros(CELLS, np.int64)
+        for _, found in chunks(batches, "text", 1 << 20):
+            _, value, _ = shingles([words(t) for t in found], cache)
+            held += np.bincount((value % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], names=["cell", "n"])
+
+    # CELLS rows at most
+    found = texts.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(CELLS, np.uint32)
+    table[found.column("cell").to_numpy()] = np.minimum(found.column("n").to_numpy(), (1 << 32) - 1)
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, often = WordHashes(), shared.value
+        for batch, found in chunks(batches, "text", 1 << 20):
+            node = batch.column(batch.schema.get_field_index("node")).to_numpy()
+            doc, value, many = shingles([words(t) for t in found], cache)
+            times = often[(value % np.uint64(CELLS)).astype(np.int64)]
+            order = np.lexsort((value, times, doc))
+            doc, value, many, times = doc[order], value[order], many[order], times[order]
+            whole = np.bincount(doc, many, minlength=len(found))
+            before = np.cumsum(many) - many
+            first = np.searchsorted(doc, np.arange(len(found)))
+            before = before - before[np.minimum(first, max(len(doc) - 1, 0))][doc] if len(doc) else before
+            # the weight from a shingle on is enough: it is in the prefix
+            inside = (whole[doc] - before + 1e-6 >= threshold * whole[doc]) & (times > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(node[doc[inside]]), pa.array(value[inside].view(np.int64))], names=["node", "bucket"])
+
+    return texts.select("node", "text").mapInArrow(prefix, "node long, bucket long")
+
+
+def _open_pairs(buckets: DataFrame, labels: DataFrame, every_text: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the pairs of different classes that share a bucket, or a rare shingle where buckets are wide."""
+    size = weight_class(threshold).alias("size")
+    level = stage(buckets.join(labels, "node").select("bucket", "node", "label", "weight", size), "minhash-open")
+    pairs, wide = _beside(level, FULL, threshold)
+    of_wide = stage(wide.select("node", "label", "weight", "size").distinct(), "minhash-wide")
+    n = of_wide.count()
+    if n:
+        texts = narrow_join(every_text, of_wide.select("node"), "node", "left_semi", n)
+        rare = stage(rare_shingles(texts, threshold), "minhash-rare")
+        again = stage(narrow_join(rare, of_wide, "node", "inner", n), "minhash-rare-open")
+        pairs = pairs.union(_beside(again, None, threshold)[0])
+    return stage(pairs.distinct(), "minhash-open-pairs")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = SIMILARITY) -> tuple[DataFrame, str, str, str]:
@@ -336,9 +407,9 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     heads = stage(heads.union(rows.filter("digest IS NULL").select("row", F.col("row").alias("node"))), "minhash-nodes")
     first = owner.select("node")
     keys = stage(
-        rows.filter("bands IS NOT NULL").select(F.col("row").alias("node"), "bands", "marks").join(first, "node"), "minhash-bands"
+        rows.filter("bands IS NOT NULL").select(F.col("row").alias("node"), "bands", "marks", "weight").join(first, "node"), "minhash-bands"
     )
-    every = keys.select("node", F.posexplode("bands").alias("last", "bucket"))
+    every = keys.select("node", "weight", F.explode("bands").alias("bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     buckets = stage(salted_join(every, shared, "bucket"), "minhash-buckets")
     asked = stage(buckets.select("node").distinct(), "minhash-asked")
@@ -352,7 +423,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
 
     links = linked(_centre_pairs(buckets))
     labels = stage(components(asked, links), "minhash-classes")
-    more = _open_pairs(buckets, labels, keys)
+    more = _open_pairs(buckets, labels, every_text, threshold)
     if more.limit(1).count():
         links = stage(links.union(linked(more)), "minhash-all-links")
         labels = stage(components(asked, links), "minhash-classes")
@@ -367,7 +438,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     named = named.select("label", "class", F.col("best.row").alias("kept"))
     tagged = salted_join(whole, named, "label").select("row", "class", (F.col("row") == F.col("kept")).alias("is_kept"))
     tagged = stage(tagged, "minhash-tagged")
-    out = narrow_join(rows.drop("digest", "bands", "marks"), tagged, "row", "inner", rows.count())
+    out = narrow_join(rows.drop("digest", "bands", "marks", "weight"), tagged, "row", "inner", rows.count())
     flag, cls = free_name(docs, "is_kept"), free_name(docs, "class_id")
     columns = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
     return out.select(*columns, F.col("row").alias(row), F.col("class").alias(cls), F.col("is_kept").alias(flag)), row, cls, flag

@@ -31,18 +31,14 @@ recurring AS (
     SELECT leaf, template, min(doc_id) AS first FROM grouped GROUP BY leaf, template
     HAVING count(DISTINCT doc_id) >= CASE WHEN max(n) >= {templates.LONG_TOKENS}
         THEN {templates.LONG_DOCS} ELSE {templates.SHORT_DOCS} END
+), whole AS (
+    -- a document with the text of an earlier one stands for that one
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS holder FROM documents WHERE text IS NOT NULL
 ), marked AS (
-    SELECT g.*, r.first IS NOT NULL AS recurs, coalesce(r.first <> g.doc_id, false) AS gone
-    FROM grouped g LEFT JOIN recurring r USING (leaf, template)
-), per_doc AS (
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_drop, sum(n) AS tokens,
-        coalesce(sum(n) FILTER (recurs), 0) AS shared,
-        count(DISTINCT leaf || chr(10) || template) FILTER (recurs) AS templates
-    FROM marked GROUP BY doc_id
+    SELECT g.*, coalesce(r.first <> w.holder, false) AS gone
+    FROM grouped g JOIN whole w USING (doc_id) LEFT JOIN recurring r USING (leaf, template)
 ), verdict AS (
-    SELECT doc_id, n_lines,
-        CASE WHEN shared = tokens OR templates > 1 AND shared >= {templates.COPY_SHARE} * tokens THEN 0 ELSE n_drop END AS n_drop
-    FROM per_doc
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_drop FROM marked GROUP BY doc_id
 ), kept AS (
     SELECT doc_id, list(pos) FILTER (gone) AS gone FROM marked SEMI JOIN (SELECT doc_id FROM verdict WHERE n_drop > 0) USING (doc_id)
     GROUP BY doc_id

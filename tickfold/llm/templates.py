@@ -6,10 +6,9 @@ agree with it in at least ``AGREEMENT`` of all positions belong to it, their oth
 that agrees less is a template of its own. A template that enough documents share recurs, and its lines are dropped from all
 documents but the first (the smallest id).
 
-``drop_recurring`` leaves a document whole that consists of recurring lines in the main, as its SQL statement does; so it
-empties none, but such documents keep their boilerplate. ``deduplicate_lines``, the pipeline's stage, drops lines whatever
-their share of the document. There only a document with the whole text of an earlier one is a copy: it loses what the first of
-its kind loses, so both stay equal for the removal of near duplicates. Any other document whose lines all recur is emptied.
+Lines go whatever their share of a document. Only a document with the whole text of an earlier one is a copy: it loses what
+the first of its kind loses, so both stay equal for the removal of near duplicates. Any other document whose lines all recur
+elsewhere is emptied, and stays as an empty row.
 
 Lines are told apart by two 64-bit hashes; the lines' texts don't move, save one per line of a leaf with several. Null texts
 stay null and have no lines, blank lines are kept and belong to no template. Repeated rows are separate documents; of equal
@@ -28,8 +27,6 @@ LEADING = 3
 AGREEMENT = 0.7
 #: Documents that make a template recur: few for long lines, which never meet by chance, more for short ones.
 LONG_TOKENS, LONG_DOCS, SHORT_DOCS = 20, 2, 8
-#: Part of a document's tokens in recurring lines (of two templates at least) that makes it a copy.
-COPY_SHARE = 0.5
 
 SPACES = r"[\\x20\\x09-\\x0D]+"
 #: A token with a digit; possessive, so a long token without one is read once.
@@ -88,11 +85,8 @@ def copies(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
     return stage(found.filter("same <> row").select("row", "same"), "template-copies")
 
 
-def marked(lines: DataFrame, rows: DataFrame, text: str, doc_id: str, spare: bool = True) -> DataFrame:
-    """(row, pos, n, template columns, drop): every line with tokens, and whether its document should lose it.
-
-    Unless documents are spared by their share of recurring lines, a copy of an earlier one loses what that one loses.
-    """
+def marked(lines: DataFrame, rows: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(row, pos, drop): every line with tokens, and whether its document loses it; a copy loses what the first one does."""
     worded = lines.filter("n > 0")
     of_row = worded.groupBy("leaf", "full", "row").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.min("pos").alias("pos"))
     of_row = stage(of_row, "template-of-row")
@@ -114,35 +108,23 @@ def marked(lines: DataFrame, rows: DataFrame, text: str, doc_id: str, spare: boo
     recurring = found.filter(f"docs >= CASE WHEN n >= {LONG_TOKENS} THEN {LONG_DOCS} ELSE {SHORT_DOCS} END")
     recurring = stage(recurring.select("leaf", "template", F.col("first.row").alias("first")), "template-recurring")
     out = narrow_join(grouped(worded.drop("id")), recurring, ["leaf", "template"], "left", recurring.count())
-    holder = F.col("row")
-    if not spare:
-        same = copies(rows, text, doc_id)
-        out = narrow_join(out, same, "row", "left", same.count())
-        holder = F.coalesce("same", "row")
-    return out.withColumn("recurs", F.col("first").isNotNull()).withColumn("drop", F.coalesce(F.col("first") != holder, F.lit(False)))
+    same = copies(rows, text, doc_id)
+    out = narrow_join(out, same, "row", "left", same.count())
+    gone = F.coalesce(F.col("first") != F.coalesce("same", "row"), F.lit(False))
+    return out.select("row", "pos", gone.alias("drop"))
 
 
-def drop_recurring(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", spare: bool = True) -> tuple[DataFrame, str, str]:
+def drop_recurring(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, str, str]:
     """``docs`` with recurring lines dropped from ``text``, and two counts per row.
 
-    ``spare`` leaves documents whole that are recurring lines in the main (see the SQL statement).
     Returns (rows, name of the count of lines with tokens, name of the count of dropped lines).
     """
     names = docs.columns
     at, key = f"c{names.index(text)}", f"c{names.index(doc_id)}"
     rows = staged_rows(docs.toDF(*[f"c{i}" for i in range(len(names))]), "row", "template-rows")
     lines = lines_of(rows, at, key)
-    all_lines = stage(marked(lines, rows, at, key, spare), "template-marked")
-    per_row = all_lines.groupBy("row").agg(
-        F.count("*").alias("n_lines"),
-        F.sum("n").alias("tokens"),
-        F.sum(F.when(F.col("recurs"), F.col("n")).otherwise(0)).alias("shared"),
-        F.count_if("drop").alias("n_drop"),
-        F.min(F.when(F.col("recurs"), F.struct("leaf", "template"))).alias("low"),
-        F.max(F.when(F.col("recurs"), F.struct("leaf", "template"))).alias("high"),
-    )
-    copy = f"(shared = tokens OR low <> high AND shared >= {COPY_SHARE} * tokens)" if spare else "false"
-    per_row = per_row.selectExpr("row", "n_lines", f"CASE WHEN {copy} THEN 0L ELSE n_drop END AS n_drop")
+    all_lines = stage(marked(lines, rows, at, key), "template-marked")
+    per_row = all_lines.groupBy("row").agg(F.count("*").alias("n_lines"), F.count_if("drop").alias("n_drop"))
     per_row = stage(per_row, "template-rows-marked")
     hit = per_row.filter("n_drop > 0").select("row")
     # of the documents that lose lines: which positions stay, in order
@@ -171,5 +153,5 @@ def drop_recurring(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def deduplicate_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents with their own columns, recurring lines dropped whatever their share of a document."""
-    rows, n_lines, n_dropped = drop_recurring(docs, text, doc_id, spare=False)
+    rows, n_lines, n_dropped = drop_recurring(docs, text, doc_id)
     return rows.drop(n_lines, n_dropped)
