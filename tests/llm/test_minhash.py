@@ -76,7 +76,7 @@ def test_classes_equal_brute_force(spark):
 
 def test_large_buckets_of_different_texts(spark, monkeypatch):
     """Buckets above the limit meet by rare shingles and lose no link."""
-    monkeypatch.setattr(minhash, "FULL", 3)
+    monkeypatch.setattr(minhash, "FULL", 3)  # pairs
     texts = corpus()
     rows, _, cls, _ = minhash.classes(documents(spark, texts))
     assert [r[cls] for r in rows.orderBy("doc_id").collect()] == brute(texts)
@@ -111,6 +111,20 @@ def test_weights_rule_out_only_what_they_must(spark):
         assert not r.near or abs(of[r.weight] - of[r.other]) <= 1
 
 
+def test_bits_rule_out_unlike_pairs_alone(spark):
+    texts = corpus()[:100]
+    held = minhash._prepared(documents(spark, texts), "text").filter("bits IS NOT NULL").select("doc_id", "bits").collect()
+    pairs = [(x.doc_id, y.doc_id, x.bits, y.bits) for x in held for y in held if x.doc_id < y.doc_id]
+    df = spark.createDataFrame(pairs, "i int, j int, ba array<long>, bb array<long>")
+    passed = {(r.i, r.j) for r in df.filter(minhash.near_bits(0.8)).select("i", "j").collect()}
+    bags, far = {r.doc_id: bag(texts[r.doc_id]) for r in held}, 0
+    for i, j, _, _ in pairs:
+        similar = minhash.jaccard(bags[i], bags[j])
+        assert similar < 0.8 or (i, j) in passed
+        far += similar < 0.3 and (i, j) in passed
+    assert far < 0.02 * len(pairs)
+
+
 def test_marks_of_unlike_texts_rarely_agree():
     texts = [minhash.words(prose(i, 150, [f"w{i}x{k}" for k in range(80)])) for i in range(30)]
     doc, value, count = minhash.shingles(texts, minhash.WordHashes())

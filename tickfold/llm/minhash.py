@@ -7,11 +7,13 @@ with one process for all slots, and a point counts if its level, drawn by halvin
 documents then share a slot with the probability of their weighted Jaccard similarity.
 
 Slots are banded. Inside a bucket every text is first compared with one centre, so a large group of near copies costs one
-comparison per text; links join texts into classes. What a bucket holds beside its largest class is then compared with the
-whole bucket, if that is little. The texts of wider buckets, which mostly share a common passage, meet by their rarest
-shingles instead: two texts at the threshold share one of the rarest fifth of theirs, whatever the order that says which are
-rare, so this loses nothing. Only texts whose total weights allow the threshold meet. A comparison is exact, on the shingle
-multisets, for all pairs whose signatures don't rule it out.
+comparison per text; links join texts into classes. A second round takes the best-linked text of a bucket as its centre, for
+the least edited copy is near most others. What a bucket holds beside its largest class is then compared with the whole
+bucket, if those are few pairs. The texts of wider buckets meet by their rarest shingles instead: two texts at the threshold
+share one of the rarest fifth of theirs, whatever the order that says which are rare, so this loses nothing, and a heavily
+edited copy, or one that shares but a passage with others, meets nobody. Texts meet only if their total weights and a few
+bits of their signatures allow the threshold. A comparison is exact, on the shingle multisets, for all pairs whose signatures
+don't rule it out.
 
 Null texts and texts without words link to nothing but equal non-empty texts. Repeated rows are copies. Ids may repeat or
 be null; classes are named by their smallest id, rows without an id by null unless the class has one. An empty table gives
@@ -45,14 +47,15 @@ from tickfold.llm.decontam import words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: 36 bands of 6 slots: a pair at the threshold is missed with a probability of 2e-5, one at half of it meets with 1.3e-1.
-BANDS, ROWS = 36, 6
+#: 30 bands of 6 slots: a pair at the threshold is missed with a probability of 1.1e-4.
+BANDS, ROWS = 30, 6
 SLOTS = BANDS * ROWS
 #: Slots of which a byte is kept to rule pairs out.
 MARKS = 128
-#: Up to this many texts beside a bucket's largest class are compared with the whole bucket; those of wider ones meet by rare
-#: shingles.
-FULL = 48
+#: Up to this many pairs of a bucket are made; the texts of wider ones meet by rare shingles.
+FULL = 256
+#: Words of signature bits that go with a text into its buckets, 60 bits each.
+BITS = SLOTS // 60
 #: Pairs whose equal marks are this many standard deviations below the threshold's are not compared: one pair at the threshold
 #: in 10^6.
 RULED_OUT = 4.75
@@ -138,12 +141,13 @@ def signatures(doc: np.ndarray, value: np.ndarray, count: np.ndarray, n: int) ->
                 dd, cc, seed, time, bits = dd[inside], cc[inside], seed[inside], time[inside], bits[inside]
                 if not len(dd):
                     break
-                place = mix(bits)
-                slot = (place % np.uint64(SLOTS)).astype(np.int64)
-                # the level within the block: each bit of the rest halves it
-                level = low + 1 + (mix(place) % np.uint64(high - low)).astype(np.int64)
-                good = level <= cc
-                key, at, mark = dd[good] * SLOTS + slot[good], time[good], place[good]
+                mark = mix(bits)
+                key, at = dd * SLOTS + (mark % np.uint64(SLOTS)).astype(np.int64), time
+                if high > 1:
+                    # the level within the block: each bit of the rest halves it
+                    level = low + 1 + (mix(mark) % np.uint64(high - low)).astype(np.int64)
+                    good = level <= cc
+                    key, at, mark = key[good], at[good], mark[good]
                 np.minimum.at(first, key, at)
                 ahead = at == first[key]
                 winner[key[ahead]] = mark[ahead]
@@ -168,7 +172,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 def _prepared(docs: DataFrame, text: str) -> DataFrame:
     """All columns with ``digest`` (16 bytes, equal for equal words), ``bands``, ``marks`` (the high byte of the first slots, as
-    the low bits of a value say little more than its slot) and ``weight`` (shingles).
+    the low bits of a value say little more than its slot), ``weight`` (shingles) and ``bits`` (one of each slot).
 
     They are null where nothing may link.
     """
@@ -189,21 +193,25 @@ def _prepared(docs: DataFrame, text: str) -> DataFrame:
             signature = signatures(doc, value, count, len(has))
             keys, high = bands(signature).view(np.int64), (signature[:, :MARKS] >> np.uint64(56)).astype(np.uint8)
             weights = np.bincount(doc, count, minlength=len(has)).astype(np.int64).tolist()
+            ones = (signature >> np.uint64(40) & np.uint64(1)).reshape(len(has), BITS, 60) << np.arange(60, dtype=np.uint64)
+            bits = ones.sum(2, dtype=np.uint64).view(np.int64).tolist()
             rows: list[list[int] | None] = [None] * len(found)
             marks: list[bytes | None] = [None] * len(found)
             weight: list[int | None] = [None] * len(found)
-            for i, key, mark, w in zip(has, keys.tolist(), high, weights):
-                rows[i], marks[i], weight[i] = key, mark.tobytes(), w
+            some: list[list[int] | None] = [None] * len(found)
+            for i, key, mark, w, b in zip(has, keys.tolist(), high, weights, bits):
+                rows[i], marks[i], weight[i], some[i] = key, mark.tobytes(), w, b
             new = {
                 "digest": pa.array(digests, pa.binary()),
                 "bands": pa.array(rows, pa.list_(pa.int64())),
                 "marks": pa.array(marks, pa.binary()),
                 "weight": pa.array(weight, pa.int64()),
+                "bits": pa.array(some, pa.list_(pa.int64())),
             }
             yield extended(batch, keep, new)
         pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(step, schema_of(docs, keep, "digest binary, bands array<long>, marks binary, weight long"))
+    return docs.mapInArrow(step, schema_of(docs, keep, "digest binary, bands array<long>, marks binary, weight long, bits array<long>"))
 
 
 def least_equal(threshold: float) -> int:
@@ -216,6 +224,16 @@ def near_weights(threshold: float, a: str = "wa", b: str = "wb") -> Column:
     return F.least(a, b) + 1e-6 >= threshold * F.greatest(a, b)
 
 
+def near_bits(threshold: float, a: str = "ba", b: str = "bb") -> Column:
+    """Whether the bits of two texts allow the threshold: slots that differ agree in a bit half of the time."""
+    agree = (1 + threshold) / 2
+    most = int(SLOTS * (1 - agree) + RULED_OUT * (SLOTS * agree * (1 - agree)) ** 0.5) + 1
+    differing = F.bit_count(F.lit(0))
+    for i in range(BITS):
+        differing = differing + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+    return differing <= most
+
+
 def weight_class(threshold: float) -> Column:
     """Two weights that allow the threshold are of the same or of neighbouring classes."""
     return F.floor(F.log("weight") / (1e-4 - math.log(threshold))).cast("int")
@@ -305,33 +323,53 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def _centre_pairs(buckets: DataFrame) -> DataFrame:
+def _centre_pairs(buckets: DataFrame, threshold: float) -> DataFrame:
     """(a, b): every text b of a bucket with the bucket's centre a, its smallest, which its buckets mostly share."""
-    centres = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
-    pairs = salted_join(buckets, centres, "bucket").filter("node <> a")
-    return stage(pairs.select("a", F.col("node").alias("b")).distinct(), "minhash-centre-pairs")
+    centres = buckets.groupBy("bucket").agg(F.min(F.struct("node", "weight", "bits")).alias("c"))
+    centres = centres.select("bucket", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.bits").alias("ba"))
+    pairs = salted_join(buckets.withColumnsRenamed({"node": "b", "weight": "wb", "bits": "bb"}), centres, "bucket")
+    pairs = pairs.filter((F.col("a") != F.col("b")) & near_weights(threshold) & near_bits(threshold))
+    return stage(pairs.select("a", "b").distinct(), "minhash-centre-pairs")
+
+
+def _linked_centre_pairs(level: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): every text b of a bucket with its best-linked text a, where their classes differ."""
+    degree = links.select("a", "b").union(links.select("b", "a")).groupBy("a").agg(F.count("*").alias("degree"))
+    ranked = stage(level.join(degree.withColumnRenamed("a", "node"), "node"), "minhash-ranked")
+    best = F.max(F.struct("degree", F.negative("node").alias("first"), "node", "label", "weight", "bits")).alias("c")
+    centres = ranked.groupBy("bucket").agg(best).select(
+        "bucket", F.col("c.node").alias("a"), F.col("c.label").alias("la"), F.col("c.weight").alias("wa"), F.col("c.bits").alias("ba")
+    )
+    pairs = salted_join(level.withColumnsRenamed({"node": "b", "label": "lb", "weight": "wb", "bits": "bb"}), centres, "bucket")
+    pairs = pairs.filter((F.col("la") != F.col("lb")) & near_weights(threshold) & near_bits(threshold))
+    return stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-linked-centres")
 
 
 def _beside(level: DataFrame, most: int | None, threshold: float) -> tuple[DataFrame, DataFrame | None]:
     """((a, b) of different classes that share a bucket, the rows of buckets too wide for that).
 
-    Each text beside a bucket's largest class meets the texts of the whole bucket whose weight is near its own, so pairs grow
-    with the bucket's size and not with its square, as long as few stand beside; ``most`` of them, or any number for None.
+    Each text beside a bucket's largest class meets the texts of the whole bucket whose weight and bits are near its own: at
+    most ``most`` pairs of a bucket, or any number for None.
     """
     sizes = level.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = F.max(F.struct("n", "label")).alias("largest")
     several = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), largest, F.count("*").alias("classes")).filter("classes > 1")
-    several = stage(several.selectExpr("bucket", "n - largest.n AS others", "largest.label AS main"), "minhash-several")
+    several = stage(several.selectExpr("bucket", "(n - largest.n) * n AS pairs", "largest.label AS main"), "minhash-several")
     held = stage(salted_join(level, several, "bucket"), "minhash-held")
-    small = held if most is None else held.filter(F.col("others") <= most)
-    dealt, hot = salted(small.select("bucket", "size", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb")), "bucket")
+    small = held if most is None else held.filter(F.col("pairs") <= most)
+    right = small.select("bucket", "size", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb"), F.col("bits").alias("bb"))
+    dealt, hot = salted(right, "bucket")
     beside = small.filter("label <> main").select(
         "bucket", F.explode(F.array(F.col("size") - 1, "size", F.col("size") + 1)).alias("size"),
-        F.col("node").alias("a"), F.col("label").alias("la"), F.col("weight").alias("wa"),
+        F.col("node").alias("a"), F.col("label").alias("la"), F.col("weight").alias("wa"), F.col("bits").alias("ba"),
     )
-    met = dealt.join(spread(beside, hot, "bucket"), ["bucket", "salt", "size"]).filter((F.col("la") != F.col("lb")) & near_weights(threshold))
+    may = (F.col("la") != F.col("lb")) & near_weights(threshold) & near_bits(threshold)
+    keys = ["bucket", "salt", "size"]
+    left = spread(beside, hot, "bucket").withColumnsRenamed({k: f"{k}_a" for k in keys})
+    alike = (F.col("bucket") == F.col("bucket_a")) & (F.col("salt") == F.col("salt_a")) & (F.col("size") == F.col("size_a"))
+    met = dealt.join(left, alike & may)
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs, None if most is None else held.filter(F.col("others") > most)
+    return pairs, None if most is None else held.filter(F.col("pairs") > most)
 
 
 def rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
@@ -375,12 +413,10 @@ def rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.select("node", "text").mapInArrow(prefix, "node long, bucket long")
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, every_text: DataFrame, threshold: float) -> DataFrame:
+def _open_pairs(level: DataFrame, every_text: DataFrame, threshold: float) -> DataFrame:
     """(a, b): the pairs of different classes that share a bucket, or a rare shingle where buckets are wide."""
-    size = weight_class(threshold).alias("size")
-    level = stage(buckets.join(labels, "node").select("bucket", "node", "label", "weight", size), "minhash-open")
     pairs, wide = _beside(level, FULL, threshold)
-    of_wide = stage(wide.select("node", "label", "weight", "size").distinct(), "minhash-wide")
+    of_wide = stage(wide.drop("bucket", "pairs", "main").groupBy("node").agg(*[F.first(c).alias(c) for c in ("label", "weight", "size", "bits")]), "minhash-wide")
     n = of_wide.count()
     if n:
         texts = narrow_join(every_text, of_wide.select("node"), "node", "left_semi", n)
@@ -407,11 +443,12 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     heads = stage(heads.union(rows.filter("digest IS NULL").select("row", F.col("row").alias("node"))), "minhash-nodes")
     first = owner.select("node")
     keys = stage(
-        rows.filter("bands IS NOT NULL").select(F.col("row").alias("node"), "bands", "marks", "weight").join(first, "node"), "minhash-bands"
+        rows.filter("bands IS NOT NULL").select(F.col("row").alias("node"), "bands", "marks", "weight", "bits").join(first, "node"), "minhash-bands"
     )
-    every = keys.select("node", "weight", F.explode("bands").alias("bucket"))
+    every = keys.select("node", F.explode("bands").alias("bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    buckets = stage(salted_join(every, shared, "bucket"), "minhash-buckets")
+    met = stage(salted_join(every, shared, "bucket"), "minhash-met")
+    buckets = stage(met.join(keys.select("node", "weight", "bits"), "node"), "minhash-buckets")
     asked = stage(buckets.select("node").distinct(), "minhash-asked")
     every_text = rows.select(F.col("row").alias("node"), F.col(at).alias("text"))
 
@@ -421,12 +458,15 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
         texts = narrow_join(every_text, ends, "node", "left_semi", ends.count())
         return stage(verified(pairs, texts, threshold), "minhash-verified")
 
-    links = linked(_centre_pairs(buckets))
+    links = linked(_centre_pairs(buckets, threshold))
     labels = stage(components(asked, links), "minhash-classes")
-    more = _open_pairs(buckets, labels, every_text, threshold)
-    if more.limit(1).count():
-        links = stage(links.union(linked(more)), "minhash-all-links")
-        labels = stage(components(asked, links), "minhash-classes")
+    size = weight_class(threshold).alias("size")
+    for round_ in (_linked_centre_pairs, _open_pairs):
+        level = stage(buckets.join(labels, "node").select("bucket", "node", "label", "weight", "bits", size), "minhash-open")
+        pairs = round_(level, links if round_ is _linked_centre_pairs else every_text, threshold)
+        if pairs.limit(1).count():
+            links = stage(links.union(linked(pairs)), "minhash-all-links")
+            labels = stage(components(asked, links), "minhash-classes")
     # salted_join needs one row per key on its right: every node has one label
     whole = stage(
         heads.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label")), "minhash-labelled"
@@ -438,7 +478,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     named = named.select("label", "class", F.col("best.row").alias("kept"))
     tagged = salted_join(whole, named, "label").select("row", "class", (F.col("row") == F.col("kept")).alias("is_kept"))
     tagged = stage(tagged, "minhash-tagged")
-    out = narrow_join(rows.drop("digest", "bands", "marks", "weight"), tagged, "row", "inner", rows.count())
+    out = narrow_join(rows.drop("digest", "bands", "marks", "weight", "bits"), tagged, "row", "inner", rows.count())
     flag, cls = free_name(docs, "is_kept"), free_name(docs, "class_id")
     columns = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
     return out.select(*columns, F.col("row").alias(row), F.col("class").alias(cls), F.col("is_kept").alias(flag)), row, cls, flag
