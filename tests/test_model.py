@@ -157,6 +157,75 @@ def test_searches(spark, modeling):
     assert names[0].feature == "x" and len(names) == 2
 
 
+def test_walk_forward_equals_single_fits(spark, modeling):
+    """Scalers and encoders from common tables give what each fit's own would; a sector appears late, a column is constant."""
+    wide = modeling.withColumns({"sector": F.when((F.col("ticker") == "T3") & (F.col("date") > "2020-06-01"), "C").otherwise(F.col("sector")), "flat": F.lit(0.1)})
+    features, pairs = [*FEATURES, "flat"], [("2020-04-01", "2020-05-01"), ("2020-08-01", "2020-09-01"), ("2020-09-15", "2020-10-01")]
+    got = {(r.date, r.ticker): r.predictions for r in model.walk_forward(wide, pairs, features, PARAMS).collect()}
+    want = {}
+    for train, test in pairs:
+        want |= {(r.date, r.ticker): r.predictions for r in model.fit_predict(wide, train, test, features, PARAMS).collect()}
+    assert got == pytest.approx(want) and len(want) == 90
+
+
+def test_scalers_and_encoders_take_two_jobs(spark, modeling):
+    def jobs(run, group):
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    found = []
+    assert jobs(lambda: found.append(model.Expanding.fit(modeling, FEATURES)), "fit") <= 6  # two plans with their shuffles, however many dates
+    known = found[0]
+    assert jobs(lambda: [(known.moments.scale(before=f"2020-{m:02d}-01"), known.indexer(f"2020-{m:02d}-01")) for m in range(2, 11)], "read") == 0
+
+
+def test_bags_are_drawn_by_hash(modeling):
+    import hashlib
+
+    keys = [(r.ticker, str(r.date)) for r in modeling.select("ticker", "date").collect()]
+    for seed in (1, 999):
+        got = {(r.ticker, str(r.date)) for r in modeling.repartition(7).filter(model.in_bag(seed, 0.7)).select("ticker", "date").collect()}
+        want = {k for k in keys if int(hashlib.sha256(f"{seed}:{k[0]}:{k[1]}".encode()).hexdigest()[:8], 16) < int(0.7 * 2**32)}
+        assert got == want and 0.6 < len(want) / len(keys) < 0.8
+
+
+def test_every_seed_is_a_fit(modeling):
+    prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES)
+    params = {**PARAMS, "bagging_fraction": 0.7}
+    assert fits_of([{**params, "random_state": s} for s in model.seeds(200)]) == 200
+    scores = model.seed_stability(prepared, params, [1, 2, 3, 3]).filter("fold = 1").orderBy("candidate").collect()
+    assert len({r.score for r in scores}) == 3 and scores[2].score == scores[3].score
+    # a bag is a filter of the rows: the fit equals one on those rows alone
+    train_on = model.fold_flags(prepared.folds)[0][2]
+    own = model.boosted_trees({**params, "random_state": 2}).setMaxBins(prepared.bins).fit(prepared.rows.filter(train_on).filter(model.in_bag(2, 0.7)))
+    test = own.transform(prepared.rows.filter(model.fold_flags(prepared.folds)[1][2])).withColumnRenamed("prediction", "predictions")
+    assert model.error_metrics(test, "label").first().rmse == pytest.approx(scores[1].score)
+
+
+def test_forests_are_read_by_prefix(modeling):
+    prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES, onehot=True)
+    candidates = [{"n_estimators": n, "max_depth": 3, "random_state": 5} for n in (2, 5, 1)]
+    assert fits_of(candidates, model.random_forest, "mape") == 1
+    assert fits_of(model.random_candidates(c.FOREST_GRID, 500), model.random_forest) < 120
+    forest = prepared.estimator(model.random_forest, candidates[1]).fit(prepared.rows.filter(model.fold_flags(FOLDS)[0][2]))
+    test = prepared.rows.filter(model.fold_flags(FOLDS)[1][2])
+    rows = test.collect()
+    for metric in ("mape", "rmse"):
+        got = model.prefix_errors(forest, test, [1, 2, 5], metric)
+        for n, score in zip((1, 2, 5), got):
+            errors = [r.label - sum(t.predict(r.features) for t in forest.trees[:n]) / n for r in rows]
+            want = np.sqrt(np.mean(np.square(errors))) if metric == "rmse" else np.mean([abs(e) / abs(r.label) for e, r in zip(errors, rows)])
+            assert score == pytest.approx(want)
+        whole = model.error_metrics(forest.transform(test).withColumnRenamed("prediction", "predictions"), "label").first()[metric]
+        assert got[2] == pytest.approx(whole)
+    scores = {r.candidate: r.score for r in model.cross_validate(prepared, candidates, model.random_forest, "mape").filter("fold = 1").collect()}
+    assert scores[1] == pytest.approx(model.prefix_errors(forest, test, [5], "mape")[0])
+
+
 def test_forest_on_dummies(modeling):
     prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES, onehot=True)
     assert prepared.names == ("x", "z", "sector_A", "sector_B", "market_cap_cat_mid")

@@ -91,6 +91,29 @@ def test_scan_reads_only_needed_columns(spark, tmp_path):
     assert len(prices) == 1 and "Open" not in prices[0] and "Adj. Close" not in prices[0]
 
 
+def test_clustered_tables_are_not_shuffled(spark, tmp_path):
+    """Between the scans of bucketed prices and ratios and the windows no row moves."""
+    configure(spark)
+    inputs = testdata.inputs(spark, SMALL)
+    for name in ("prices", "ratios"):
+        files.write_clustered(inputs[name], f"plan_{name}", str(tmp_path / name), "Ticker", ("Date", "SimFinId"), 4)
+        inputs[name] = files.read_clustered(spark, f"plan_{name}")
+        assert len(list((tmp_path / name).glob("part-*.parquet"))) <= 4  # a bucket is one file
+    plan = physical(plans.monthly_panel(plans.clean_panel(inputs, clustered=True), FIXTURE))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "plan_" in line]
+    assert len(scans) == 2 and all("Bucketed: true" in line for line in scans)
+    # what is dealt by ticker is the companies, and no bucketed scan lies below an exchange
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    below = None
+    for line, at in zip(lines, depth):
+        if below is not None and at <= below:
+            below = None
+        if below is None and re.search(r"Exchange (hash|range|Single|RoundRobin)", line):
+            below = at
+        assert below is None or line not in scans, line
+
+
 def test_inputs_scan_the_lines_once(spark):
     configure(spark)
     adaptive = "spark.sql.adaptive.enabled"

@@ -61,8 +61,9 @@ def moments_by(df: DataFrame, columns: Sequence[str], key: str = "date") -> Data
 
     def of(c: str) -> Column:
         x = F.col(f"`{c}`").cast("double")
+        mean = F.when(F.min(x) == F.max(x), F.min(x)).otherwise(F.avg(x))  # a sum of equal values may round
         return F.struct(
-            F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("low"), F.max(x).alias("high")
+            F.count(x).alias("n"), mean.alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("low"), F.max(x).alias("high")
         ).alias(c)
 
     stats = df.groupBy(key).agg(*map(of, columns))
@@ -70,38 +71,57 @@ def moments_by(df: DataFrame, columns: Sequence[str], key: str = "date") -> Data
     return stats.select(key, F.inline(cells))
 
 
+_OF = "struct<n: bigint, mean: double, m2: double, low: double, high: double>"
+
+
+def _start() -> Column:
+    """The moments of nothing."""
+    nothing = F.lit(None).cast("double")
+    return F.struct(F.lit(0).cast("long").alias("n"), *[nothing.alias(m) for m in MOMENTS[1:]])
+
+
+def _merge(a: Column, b: Column) -> Column:
+    """Common moments of two slices (Chan, Golub and LeVeque, 1983), without the cancellation that sums of squares suffer.
+
+    Slices that are constant together have exactly that mean and no spread.
+    """
+    n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+    low, high = F.least(a["low"], b["low"]), F.greatest(a["high"], b["high"])
+    flat = low == high
+    mean = F.when(flat, low).otherwise(a["mean"] + apart * (b["n"] / n))
+    m2 = F.when(flat, 0.0).otherwise(a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n)))
+    both = F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"))
+    return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both).cast(_OF)
+
+
+def _slices(key: str) -> Column:
+    """The slices of a group in order of their key; one per key, so bounded by the keys."""
+    return F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*MOMENTS).alias("of"))))
+
+
 def expanding(moments: DataFrame, key: str = "date") -> DataFrame:
     """Moments of all rows up to and with each key: (key, column, n, mean, m2, low, high).
 
-    Per column the slices, one per key, are merged in order of the key; two slices give their exact common moments (Chan,
-    Golub and LeVeque, 1983), without the cancellation that sums of squares suffer. A column that is constant so far has
-    exactly that mean and no spread.
+    Per column the slices, one per key, are merged in order of the key.
     """
     kind = dict(moments.dtypes)[key]
-    of = "struct<n: bigint, mean: double, m2: double, low: double, high: double>"
-
-    def add(a: Column, b: Column) -> Column:
-        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
-        low, high = F.least(a["low"], b["low"]), F.greatest(a["high"], b["high"])
-        flat = low == high
-        mean = F.when(flat, low).otherwise(a["mean"] + apart * (b["n"] / n))
-        m2 = F.when(flat, 0.0).otherwise(a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n)))
-        both = F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"))
-        return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
-
-    slices = F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*MOMENTS).alias("of"))))
-    runs = moments.groupBy("column").agg(slices.alias("slices"))
-    nothing = F.lit(None).cast("double")
-    start = F.struct(F.lit(0).cast("long").alias("n"), *[nothing.alias(m) for m in MOMENTS[1:]])
 
     def step(out: Column, part: Column) -> Column:
-        so_far = F.when(F.size(out) > 0, F.element_at(out, -1)["of"]).otherwise(start)
-        return F.concat(out, F.array(F.struct(part["key"].alias("key"), add(so_far, part["of"]).cast(of).alias("of"))))
+        so_far = F.when(F.size(out) > 0, F.element_at(out, -1)["of"]).otherwise(_start())
+        return F.concat(out, F.array(F.struct(part["key"].alias("key"), _merge(so_far, part["of"]).alias("of"))))
 
-    empty = F.array().cast(f"array<struct<key: {kind}, of: {of}>>")
+    empty = F.array().cast(f"array<struct<key: {kind}, of: {_OF}>>")
+    runs = moments.groupBy("column").agg(_slices(key).alias("slices"))
     return runs.select("column", F.inline(F.aggregate("slices", empty, step))).select(F.col("key").alias(key), "column", "of.*")
 
 
+def totalled(moments: DataFrame, key: str, *sums: Column) -> DataFrame:
+    """Moments of all slices together, and further aggregates: (column, n, mean, m2, low, high, ...)."""
+    runs = moments.groupBy("column").agg(_slices(key).alias("slices"), *sums)
+    total = F.aggregate("slices", _start(), lambda out, part: _merge(out, part["of"]))
+    return runs.withColumn("of", total).select("column", "of.*", *[c for c in runs.columns if c not in ("column", "slices")])
+
+
 def merged(parts: Iterable[Slice]) -> Slice:
     """The common moments of several slices; without values there is no mean."""
     n, mean, m2, low, high = 0, None, None, None, None

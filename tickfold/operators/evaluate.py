@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickfold.config import TARGET
@@ -43,11 +43,14 @@ def performance_summary(predictions: DataFrame, n: int, target: str = TARGET) ->
     )
 
 
-def error_metrics(scored: DataFrame, truth: str = TARGET, prediction: str = "predictions") -> DataFrame:
-    """Root mean squared error and mean absolute percentage error in one row; rows without truth are left out."""
+def error_columns(prediction: str = "predictions", truth: str = TARGET) -> dict[str, Column]:
+    """Aggregates by name: root mean squared error and mean absolute percentage error; rows without truth are left out."""
     error = F.col(truth) - F.col(prediction)
     floor = F.lit(2.220446049250313e-16)  # machine epsilon, for a zero truth
-    return scored.filter(F.col(truth).isNotNull()).agg(
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        F.avg(F.abs(error) / F.greatest(F.abs(F.col(truth)), floor)).alias("mape"),
-    )
+    return {"rmse": F.sqrt(F.avg(error * error)), "mape": F.avg(F.abs(error) / F.greatest(F.abs(F.col(truth)), floor))}
+
+
+def error_metrics(scored: DataFrame, truth: str = TARGET, prediction: str = "predictions") -> DataFrame:
+    """Both errors in one row."""
+    known = scored.filter(F.col(truth).isNotNull())
+    return known.agg(*[value.alias(name) for name, value in error_columns(prediction, truth).items()])

@@ -17,13 +17,13 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickfold.config import CATEGORICAL, TARGET, Fold
 from tickfold.functions.scaling import MomentTable, ZScore, double_columns
-from tickfold.operators.evaluate import error_metrics, top_predictions
+from tickfold.operators.evaluate import error_columns, error_metrics, top_predictions
 from tickfold.operators.splits import fold_flags, slice_between, train_set
 from tickfold.session import stage
 
@@ -151,15 +151,27 @@ EFFECTIVE = {
 def effective(learner: Learner, params: Params) -> dict[str, float]:
     """The parameters a fit really has, after limits and missing counterparts.
 
-    Boosting without row sampling draws no random numbers, so its seed is left out.
+    Boosting without row sampling draws no random numbers, so its seed is left out; with ``bagging_fraction`` the seed draws
+    the bag of rows.
     """
     estimator = learner(params)
     found = {EFFECTIVE[p.name]: float(v) for p, v in estimator.extractParamMap().items() if p.name in EFFECTIVE}
-    if isinstance(estimator, GBTRegressor) and found["subsample"] == 1.0:
+    if (fraction := float(params.get("bagging_fraction", 1.0))) < 1:
+        found["bagging_fraction"] = fraction
+    elif isinstance(estimator, GBTRegressor) and found["subsample"] == 1.0:
         del found["random_state"]
     return found
 
 
+def in_bag(seed: int, fraction: float) -> Column:
+    """Whether a row belongs to the bag of a seed: decided by a hash of seed, ticker and date alone.
+
+    So a bag is the same whichever way rows are stored or dealt, and no rows are copied for it.
+    """
+    key = F.concat_ws(":", F.lit(str(int(seed))), "ticker", F.col("date").cast("string"))
+    return F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("long") < F.lit(int(fraction * (1 << 32)))
+
+
 # -- one fit ------------------------------------------------------------------------------------------------------
 
 
@@ -390,7 +402,7 @@ def prepare_search(
         names = [f"{c}_idx" for c in categorical] + numeric
     encoded = encoder.transform(scaled).select("date", "ticker", "label", "features")
     return Prepared(
-        stage(encoded, "train"), encoder, scale, tuple(names), tuple(folds), own_scale, tuple(features),
+        stage(encoded.hint("rebalance"), "train"), encoder, scale, tuple(names), tuple(folds), own_scale, tuple(features),
         bins_for(encoder, onehot), target,
     )
 
@@ -416,21 +428,40 @@ def require_rows(prepared: Prepared, share: float = 1.0) -> None:
             raise ValueError(f"fold {number} has no {role} rows at a share of {share:g} of the rows")
 
 
+def prefix_errors(model: RandomForestRegressionModel, test: DataFrame, trees: Sequence[int], metric: str) -> list[float]:
+    """Errors of the forests of a forest's first ``trees`` trees, all in one pass: each row meets every tree once."""
+    scored, names = test, []
+    for i, tree in enumerate(model.trees):
+        names.append(f"_tree_{i}")
+        scored = tree.setPredictionCol(names[-1]).transform(scored)
+    scored = scored.filter("label IS NOT NULL").select("label", F.array(*names).alias("by_tree"))
+    for n in trees:
+        scored = scored.withColumn(f"_first_{n}", F.expr(f"aggregate(slice(by_tree, 1, {n}), 0D, (a, x) -> a + x) / {n}"))
+    found = scored.agg(*[error_columns(f"_first_{n}", "label")[metric].alias(str(n)) for n in trees]).first()
+    return [found[str(n)] for n in trees]
+
+
 def fold_scores(
     prepared: Prepared, fold: int, learner: Learner, params: Params, trees: Sequence[int], metric: str, share: float = 1.0
 ) -> list[float]:
     """Errors of one fit on one fold, one for each number of ``trees`` (the first so many of the longest run)."""
     train_on, test_on = (c for number, _, c in fold_flags(prepared.folds) if number == fold)
     rows = _part(prepared, share)
-    model = prepared.estimator(learner, {**params, "n_estimators": max(trees)}).fit(rows.filter(train_on))
-    if len(trees) > 1:
-        errors = model.evaluateEachIteration(rows.filter(test_on), "squared")
+    test = rows.filter(test_on)
+    train = rows.filter(train_on)
+    if (fraction := float(params.get("bagging_fraction", 1.0))) < 1:
+        train = train.filter(in_bag(params.get("random_state", 1), fraction))
+    model = prepared.estimator(learner, {**params, "n_estimators": max(trees)}).fit(train)
+    if len(trees) > 1 and isinstance(model, RandomForestRegressionModel):
+        scores = prefix_errors(model, test, trees, metric)
+    elif len(trees) > 1:
+        errors = model.evaluateEachIteration(test, "squared")
         return [math.sqrt(errors[n - 1]) for n in trees]
-    scored = model.transform(rows.filter(test_on)).withColumnRenamed("prediction", "predictions")
-    value = error_metrics(scored, "label").first()[metric]
-    if value is None:
+    else:
+        scores = [error_metrics(model.transform(test).withColumnRenamed("prediction", "predictions"), "label").first()[metric]]
+    if None in scores:
         raise ValueError(f"fold {fold} has no test rows with a label at a share of {share:g} of the rows")
-    return [float(value)]
+    return [float(value) for value in scores]
 
 
 RESULT = "candidate int, fold int, score double, params map<string,double>, effective map<string,double>"
@@ -439,14 +470,16 @@ RESULT = "candidate int, fold int, score double, params map<string,double>, effe
 def distinct_fits(candidates: Sequence[Params], learner: Learner, metric: str) -> list[tuple[dict, dict[int, list[int]]]]:
     """(parameters, candidates by number of trees) of every fit that is needed.
 
-    Candidates that come to the same effective parameters share a fit. Boosting without row sampling grows its trees one
-    after the other, so by squared error a shorter run is read off the longest one.
+    Candidates that come to the same effective parameters share a fit. Trees are grown one after the other: a shorter
+    boosting run is read off the longest one by squared error, and a forest of n trees is the first n of the largest forest
+    with the same other parameters, by either error.
     """
     fits: dict[tuple, tuple[dict, dict[int, list[int]]]] = {}
+    boosted = bool(candidates) and isinstance(learner(candidates[0]), GBTRegressor)
     for i, params in enumerate(candidates):
         own = effective(learner, params)
         trees = int(own["n_estimators"])
-        if metric == "rmse" and "random_state" not in own and issubclass(type(learner(params)), GBTRegressor):
+        if not boosted or metric == "rmse" and own.get("subsample") == 1.0:
             del own["n_estimators"]
         _, by_trees = fits.setdefault(tuple(sorted(own.items())), (dict(params), {}))
         by_trees.setdefault(trees, []).append(i)
@@ -559,8 +592,8 @@ def seed_stability(
 ) -> DataFrame:
     """Fold scores of one parameter set under many seeds.
 
-    MLlib's boosting draws random numbers only when it samples rows (``subsample`` below 1 in ``params``). Otherwise all
-    seeds come to one fit and one score, which is then the answer.
+    A seed draws the bag of rows that its trees see (``bagging_fraction`` below 1 in ``params``), so every seed is a fit of its
+    own over the one staged table. Without bags all seeds come to one fit and one score, which is then the answer.
     """
     return cross_validate(prepared, [{**params, "random_state": s} for s in seed_list], learner, metric, parallelism)
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickfold.functions.scaling import ZScore
+from tickfold.functions.scaling import ZScore, totalled
 
 QUANTILES = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 
@@ -87,49 +87,85 @@ class _Search:
     part: float  # how far between the two the quantile lies
     low: float
     high: float
-    below: int = 0
-    values: list[float] | None = None
+    below: int = 0  # values under low
+    pair: tuple[float, float] | None = None  # the values of both ranks
+
+    def value(self) -> Column:
+        return F.col(f"`{self.column}`")
 
     def inside(self) -> Column:
-        x = F.col(f"`{self.column}`")
-        return (x >= F.lit(self.low)) & (x <= F.lit(self.high))
+        return (self.value() >= F.lit(self.low)) & (self.value() <= F.lit(self.high))
 
     def quantile(self) -> float:
-        if self.values is None:
-            return self.low
-        first = self.values[self.rank - self.below]
-        after = self.values[min(self.rank - self.below + 1, len(self.values) - 1)]
+        first, after = self.pair
         return first + (after - first) * self.part if self.part else first
 
 
-def _narrowed(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
-    """Sets each search's interval from a sketch of the values it still holds, and checks it by exact counts.
+def _bracketed(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
+    """Narrows each interval by a sketch of the values it holds.
 
-    The sketch bounds both ranks from below and above by its guaranteed error; a bound that the counts refute is not used.
+    The sketch bounds both ranks from below and above by its guaranteed error; exact counts say whether a bound holds.
     """
     held = df.agg(*[F.count_if(s.inside()).alias(str(i)) for i, s in enumerate(searches)]).first()
     probes = []
     for i, s in enumerate(searches):
         size = max(held[i], 1)
-        wide = 2.0 / accuracy
-        at = [max(0.0, (s.rank - s.below) / size - wide), min(1.0, (s.rank - s.below + 2) / size + wide)]
-        probes.append(F.percentile_approx(F.when(s.inside(), F.col(f"`{s.column}`")), at, accuracy).alias(str(i)))
-    found = df.agg(*probes).first()
-    bounds = [tuple(found[i]) for i in range(len(searches))]
+        at = [max(0.0, (s.rank - s.below) / size - 2 / accuracy), min(1.0, (s.rank - s.below + 2) / size + 2 / accuracy)]
+        probes.append(F.percentile_approx(F.when(s.inside(), s.value()), at, accuracy).alias(str(i)))
+    bounds = [tuple(found) for found in df.agg(*probes).first()]
     counts = df.agg(
         *[
-            F.struct(F.count_if(F.col(f"`{s.column}`") < F.lit(low)), F.count_if(F.col(f"`{s.column}`") <= F.lit(high))).alias(str(i))
+            F.struct(F.count_if(s.value() < F.lit(low)), F.count_if(s.value() <= F.lit(high))).alias(str(i))
             for i, (s, (low, high)) in enumerate(zip(searches, bounds))
         ]
     ).first()
-    for i, (s, (low, high)) in enumerate(zip(searches, bounds)):
-        under, upto = counts[i]
+    for s, (low, high), (under, upto) in zip(searches, bounds, counts):
         if under <= s.rank:
             s.low, s.below = low, under
-        if upto > s.rank + (1 if s.part else 0):
+        if upto > s.rank + 1:
             s.high = high
 
 
+def _trimmed(df: DataFrame, searches: list[_Search]) -> list[int]:
+    """Reads ranks off the ends of each interval or drops an end value, however frequent it is, so that every round gets on.
+
+    Returns how many values each interval then holds, at most.
+    """
+    found = df.agg(
+        *[
+            F.struct(
+                F.count_if(s.inside()),
+                F.count_if(s.value() == F.lit(s.low)),
+                F.count_if(s.value() == F.lit(s.high)),
+                F.min(F.when(s.inside() & (s.value() > F.lit(s.low)), s.value())),
+                F.max(F.when(s.inside() & (s.value() < F.lit(s.high)), s.value())),
+            ).alias(str(i))
+            for i, s in enumerate(searches)
+        ]
+    ).first()
+    sizes = []
+    for s, (inside, at_low, at_high, next_low, next_high) in zip(searches, found):
+        last = s.below + inside - at_high  # first rank of the highest value
+
+        def known(rank: int) -> float | None:
+            if rank < s.below + at_low:
+                return s.low
+            if rank >= last:
+                return s.high
+            return next_low if rank == s.below + at_low else next_high if rank == last - 1 else None
+
+        first, after = known(s.rank), known(s.rank + 1) if s.part else 0.0
+        if first is not None and after is not None:
+            s.pair = (first, after)
+        elif s.rank >= s.below + at_low:
+            s.low, s.below, inside = next_low, s.below + at_low, inside - at_low
+        else:
+            # the lower rank is the lowest value's last, so the other is the next: known, and not here
+            raise AssertionError(f"quantile {s.name} of {s.column}")
+        sizes.append(inside)
+    return sizes
+
+
 def profile_quantiles_exact(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """Exact quantiles per numeric column, linear between neighbouring ranks: (column, p05, p25, p50, p75, p95).
 
@@ -155,21 +191,63 @@ def _quantiles(df: DataFrame, columns: Sequence[str], accuracy: int) -> list[tup
         for name, q in QUANTILES.items() if n else ():
             at = q * (n - 1)
             searches.append(_Search(c, name, math.floor(at), at - math.floor(at), low, high))
-    due = [s for s in searches if s.low != s.high]
+    due = searches
     while due:
-        _narrowed(df, due, accuracy)
-        due = [s for s in due if s.low != s.high]
-        sizes = df.agg(*[F.count_if(s.inside()).alias(str(i)) for i, s in enumerate(due)]).first() if due else ()
-        small = [s for i, s in enumerate(due) if sizes[i] <= PICKED]
+        _bracketed(df, due, accuracy)
+        sizes = _trimmed(df, due)
+        small = [s for s, n in zip(due, sizes) if s.pair is None and n <= PICKED]
         if small:
-            lists = [F.sort_array(F.collect_list(F.when(s.inside(), F.col(f"`{s.column}`")))).alias(str(i)) for i, s in enumerate(small)]
-            for s, values in zip(small, df.agg(*lists).first()):
-                s.values = list(values)
-        due = [s for s in due if s.values is None]
+            lists = df.agg(*[F.sort_array(F.collect_list(F.when(s.inside(), s.value()))).alias(str(i)) for i, s in enumerate(small)])
+            for s, values in zip(small, lists.first()):
+                at = s.rank - s.below
+                s.pair = (values[at], values[at + 1] if s.part else 0.0)
+        due = [s for s in due if s.pair is None]
     found = {(s.column, s.name): s.quantile() for s in searches}
     return [(c, *[found.get((c, name)) for name in QUANTILES]) for c in columns]
 
 
+def profile_parts(df: DataFrame, columns: Sequence[str], key: Column, name: str = "part") -> DataFrame:
+    """Per part of a table (a year, say) and numeric column what a profile needs, in rows that merge.
+
+    (part, column, n_rows, n, n_zeros, n_negative, mean, m2, low, high, sketch): counts, moments and extremes, and a sketch of
+    fixed size of the different values. Stored, the table grows by one part's rows; a new part costs that part alone.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("x")) for c in columns])
+    x = F.col("x")
+    return df.select(key.alias(name), F.inline(cells)).groupBy(name, "column").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(x).alias("n"),
+        F.count_if(x == 0).alias("n_zeros"),
+        F.count_if(x < 0).alias("n_negative"),
+        F.avg(x).alias("mean"),
+        (F.var_pop(x) * F.count(x)).alias("m2"),
+        F.min(x).alias("low"),
+        F.max(x).alias("high"),
+        # text, so that 0.1 is one value however it was come by
+        F.hll_sketch_agg(x.cast("string")).alias("sketch"),
+    )
+
+
+def profile_merged(parts: DataFrame, name: str = "part") -> DataFrame:
+    """The profile of all parts together: one row per column; ``about_distinct`` is off by 1.6 % or so."""
+    counts = [F.sum(c).alias(c) for c in ("n_rows", "n_zeros", "n_negative")]
+    distinct = F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about_distinct")
+    total = totalled(parts, name, *counts, distinct)
+    return total.select(
+        "column",
+        "n_rows",
+        F.col("n").alias("n_values"),
+        (F.col("n_rows") - F.col("n")).alias("n_missing"),
+        "n_zeros",
+        "n_negative",
+        F.col("low").alias("min"),
+        F.col("high").alias("max"),
+        "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std"),
+        "about_distinct",
+    )
+
+
 def profile_distinct(df: DataFrame, columns: Sequence[str], rsd: float | None = None) -> DataFrame:
     """Distinct non-missing values per column.
 

@@ -331,11 +331,11 @@ def _per_name(source: str, value: str, digits: int) -> str:
   FROM {source} GROUP BY 1, 2"""
 
 
-def _profile(source: str, columns: list[str], digits: int, shape: bool) -> str:
+def _profile(source: str, columns: list[str], digits: int, shape: bool, shape_out: bool = True) -> str:
     """One SELECT per column."""
     # prices are exact, features are sums in an order of their own
     ends = "min(x) AS min, max(x) AS max" if shape else f"round(min(x), {digits}) AS min, round(max(x), {digits}) AS max"
-    extra = ", " + _digits("skewness(x)", "skewness") + ", " + _digits("kurtosis(x)", "kurtosis") if shape else ""
+    extra = ", " + _digits("skewness(x)", "skewness") + ", " + _digits("kurtosis(x)", "kurtosis") if shape and shape_out else ""
     moments = f"round(avg(x), {digits}) AS mean, round(stddev_samp(x), {digits}) AS std"
     if shape:
         moments = _digits("avg(x)", "mean") + ", " + _digits("stddev_samp(x)", "std")
@@ -485,6 +485,7 @@ def statements() -> dict[str, str]:
   GROUP BY 1, 2 HAVING count(*) > 1""",
         "clean_panel": _query(TO_PANEL, f"SELECT {_PANEL_OUT} FROM panel"),
         "profile_numeric": _query(TO_PANEL, _profile("panel", _PROFILED, 4, True)),
+        "profile_by_year": _query(TO_PANEL, _profile("panel", _PROFILED, 4, True, shape_out=False)),
         "profile_quantiles": _query(TO_PANEL, _quantiles("panel", _PROFILED, 6)),
         "profile_modeling_quantiles": _query(TO_MODELING, _quantiles("modeling", [*FEATURES, TARGET], 6)),
         "profile_distinct": _query(
