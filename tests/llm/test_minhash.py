@@ -89,14 +89,17 @@ def test_prefixes_meet_at_the_threshold(spark):
     rows = minhash.rare_shingles(spark.createDataFrame(held, "node long, text string"), 0.8).collect()
     prefix = {}
     for r in rows:
-        prefix.setdefault(r.node, set()).add(r.bucket)
+        prefix.setdefault(r.node, {})[r.bucket] = r.before
     bags = {i: bag(t) for i, t in held}
     met = 0
     for i in bags:
         for j in bags:
             if i < j and minhash.words(texts[i]) != minhash.words(texts[j]) and minhash.jaccard(bags[i], bags[j]) >= 0.8:
                 met += 1
-                assert prefix[i] & prefix[j]
+                whole = [sum(bags[k][1]) for k in (i, j)]
+                shared = 0.8 / 1.8 * sum(whole) - 1e-6
+                common = prefix[i].keys() & prefix[j].keys()
+                assert any(prefix[i][s] + shared <= whole[0] and prefix[j][s] + shared <= whole[1] for s in common)
     assert met > 50
     assert sum(map(len, prefix.values())) < 0.3 * sum(len(b[0]) for b in bags.values())
 

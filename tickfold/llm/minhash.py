@@ -9,9 +9,9 @@ documents then share a slot with the probability of their weighted Jaccard simil
 Slots are banded. Inside a bucket every text is first compared with one centre, so a large group of near copies costs one
 comparison per text; links join texts into classes. A second round takes the best-linked text of a bucket as its centre, for
 the least edited copy is near most others. What a bucket holds beside its largest class is then compared with the whole
-bucket, if those are few pairs. The texts of wider buckets meet by their rarest shingles instead: two texts at the threshold
-share one of the rarest fifth of theirs, whatever the order that says which are rare, so this loses nothing, and a heavily
-edited copy, or one that shares but a passage with others, meets nobody. Texts meet only if their total weights and a few
+bucket, if those are few pairs. The texts of wider buckets meet by their rarest shingles instead: in any fixed order of
+shingles, two texts at the threshold share one before the rest of either falls short of what they must share, so this loses
+nothing, and a heavily edited copy, or one that shares but a passage with others, meets nobody. Texts meet only if their total weights and a few
 bits of their signatures allow the threshold. A comparison is exact, on the shingle multisets, for all pairs whose signatures
 don't rule it out.
 
@@ -53,7 +53,7 @@ SLOTS = BANDS * ROWS
 #: Slots of which a byte is kept to rule pairs out.
 MARKS = 128
 #: Up to this many pairs of a bucket are made; the texts of wider ones meet by rare shingles.
-FULL = 256
+FULL = 64
 #: Words of signature bits that go with a text into its buckets, 60 bits each.
 BITS = SLOTS // 60
 #: Pairs whose equal marks are this many standard deviations below the threshold's are not compared: one pair at the threshold
@@ -349,7 +349,8 @@ def _beside(level: DataFrame, most: int | None, threshold: float) -> tuple[DataF
     """((a, b) of different classes that share a bucket, the rows of buckets too wide for that).
 
     Each text beside a bucket's largest class meets the texts of the whole bucket whose weight and bits are near its own: at
-    most ``most`` pairs of a bucket, or any number for None.
+    most ``most`` pairs of a bucket. For None buckets are shingles, and rows have the weight ``before`` them in their text's
+    order: what two texts at the threshold share, t / (1 + t) of both weights, must lie behind their first common shingle.
     """
     sizes = level.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = F.max(F.struct("n", "label")).alias("largest")
@@ -357,13 +358,18 @@ def _beside(level: DataFrame, most: int | None, threshold: float) -> tuple[DataF
     several = stage(several.selectExpr("bucket", "(n - largest.n) * n AS pairs", "largest.label AS main"), "minhash-several")
     held = stage(salted_join(level, several, "bucket"), "minhash-held")
     small = held if most is None else held.filter(F.col("pairs") <= most)
-    right = small.select("bucket", "size", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb"), F.col("bits").alias("bb"))
+    placed = [] if most is not None else ["before"]
+    right = small.select("bucket", "size", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("weight").alias("wb"), F.col("bits").alias("bb"), *placed)
     dealt, hot = salted(right, "bucket")
     beside = small.filter("label <> main").select(
         "bucket", F.explode(F.array(F.col("size") - 1, "size", F.col("size") + 1)).alias("size"),
         F.col("node").alias("a"), F.col("label").alias("la"), F.col("weight").alias("wa"), F.col("bits").alias("ba"),
+        *[F.col(c).alias(f"{c}_a") for c in placed],
     )
     may = (F.col("la") != F.col("lb")) & near_weights(threshold) & near_bits(threshold)
+    if placed:
+        shared = threshold / (1 + threshold) * (F.col("wa") + F.col("wb")) - 1e-6
+        may = may & (F.col("before_a") + shared <= F.col("wa")) & (F.col("before") + shared <= F.col("wb"))
     keys = ["bucket", "salt", "size"]
     left = spread(beside, hot, "bucket").withColumnsRenamed({k: f"{k}_a" for k in keys})
     alike = (F.col("bucket") == F.col("bucket_a")) & (F.col("salt") == F.col("salt_a")) & (F.col("size") == F.col("size_a"))
@@ -373,7 +379,7 @@ def _beside(level: DataFrame, most: int | None, threshold: float) -> tuple[DataF
 
 
 def rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
-    """(node, bucket): for every text the shingles of which it must share one with any text at the threshold.
+    """(node, bucket, before): for every text the shingles of which it must share one with any text at the threshold.
 
     In a fixed order of all shingles, the weight behind a text's prefix falls short of ``threshold`` times its own; what it
     shares with such a text is more than that, so it reaches into the prefix, on both sides. The order is by how often
@@ -408,9 +414,10 @@ def rare_shingles(texts: DataFrame, threshold: float) -> DataFrame:
             before = before - before[np.minimum(first, max(len(doc) - 1, 0))][doc] if len(doc) else before
             # the weight from a shingle on is enough: it is in the prefix
             inside = (whole[doc] - before + 1e-6 >= threshold * whole[doc]) & (times > 1)
-            yield pa.RecordBatch.from_arrays([pa.array(node[doc[inside]]), pa.array(value[inside].view(np.int64))], names=["node", "bucket"])
+            arrays = [node[doc[inside]], value[inside].view(np.int64), before[inside].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["node", "bucket", "before"])
 
-    return texts.select("node", "text").mapInArrow(prefix, "node long, bucket long")
+    return texts.select("node", "text").mapInArrow(prefix, "node long, bucket long, before long")
 
 
 def _open_pairs(level: DataFrame, every_text: DataFrame, threshold: float) -> DataFrame:
