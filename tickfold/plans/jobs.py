@@ -70,7 +70,7 @@ def _profile(run: Run, table: str, df: DataFrame) -> None:
     """Every column of a stored table, text and dates too."""
     numbers = double_columns(df)
     run.save(f"{table}_numeric", profile.profile_numeric(df, numbers))
-    run.save(f"{table}_quantiles", profile.profile_quantiles(df, numbers))
+    run.save(f"{table}_quantiles", profile.profile_quantiles_exact(df, numbers))
     run.save(f"{table}_distinct", profile.profile_distinct(df, df.columns))
     run.save(f"{table}_top_values", profile.profile_topk(df, df.columns, 10))
     run.save(f"{table}_correlations", profile.profile_corr_wide(df, numbers))

@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Table names of the vendor's schema.
-SCHEMA = "investments.fundamentals"
-TABLES = {
-    "companies": '"us-companies"',
-    "industries": "industries",
-    "prices": '"us-shareprices-daily"',
-    "ratios": '"us-derived-shareprices-daily-asreported"',
-}
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame, SparkSession
 
 def query_options(sql: str, url: str, **connection: str) -> dict[str, str]:
     """Options of a whole-query read; the database sends the result over one connection."""
@@ -48,16 +40,14 @@ def read_table(spark: SparkSession, table: str, url: str, column: str, lower, up
 
 
 def read_inputs(
-    spark: SparkSession, url: str, first_date: str, last_date: str, partitions: int = 64, schema: str = SCHEMA,
+    spark: SparkSession, url: str, tables: Mapping[str, str], first_date: str, last_date: str, partitions: int = 64,
     **connection: str,
 ) -> dict[str, DataFrame]:
-    """All four inputs: the dimensions by plain query, the two daily tables split by date."""
-    inputs = {
-        name: read_query(spark, f"select * from {schema}.{TABLES[name]}", url, **connection)
-        for name in ("companies", "industries")
-    }
+    """All four inputs: the dimensions by plain query, the two daily tables split by date.
+
+    ``tables`` names the table of each of companies, industries, prices and ratios, as the database writes it.
+    """
+    inputs = {name: read_query(spark, f"select * from {tables[name]}", url, **connection) for name in ("companies", "industries")}
     for name in ("prices", "ratios"):
-        inputs[name] = read_table(
-            spark, f"{schema}.{TABLES[name]}", url, '"Date"', first_date, last_date, partitions, **connection
-        )
+        inputs[name] = read_table(spark, tables[name], url, '"Date"', first_date, last_date, partitions, **connection)
     return inputs
