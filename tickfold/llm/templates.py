@@ -134,9 +134,8 @@ def drop_recurring(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         F.sort_array(F.collect_list(F.struct("pos", F.col("gone").isNull().alias("stays")))).alias("places")
     )
     stay = stage(stay.select("row", F.col("places.stays").alias("stays")), "template-stays")
-    # by their numbers of rows and lines, so texts move only where those are too many to broadcast
-    n_stay = stay.agg(F.coalesce(F.sum(F.size("stays")), F.lit(0))).first()[0]
-    joined = narrow_join(narrow_join(rows, per_row, "row", "left", per_row.count()), stay, "row", "left", n_stay)
+    # texts move once, whatever their number: a broadcast below some size would only make small tables look cheaper
+    joined = rows.join(per_row.join(stay, "row", "left"), "row", "left")
     lines_kept = f"transform(filter(zip_with(split({at}, '\\n'), stays, (l, s) -> struct(l, s)), x -> x.s), x -> x.l)"
     joined = joined.withColumn(at, F.expr(f"CASE WHEN stays IS NULL THEN {at} ELSE array_join({lines_kept}, '\\n') END"))
     n_lines, n_dropped = free_name(docs, "n_lines"), free_name(docs, "n_dropped")
