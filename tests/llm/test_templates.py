@@ -61,6 +61,22 @@ def test_odd_rows(spark):
     assert templates.deduplicate_lines(empty(spark)).count() == 0
 
 
+def families():
+    """Three families of lines in one leaf, ten lines each and all different, and lines that are alone."""
+    tails = ("one and two make three as all know", "seen by night from a hill far away", "never sold nor lent at any fair price")
+    texts = [f"alpha beta gamma {'x' * (i + 1)} stands {tail} here" for tail in tails for i in range(10)]
+    return [*texts, *(f"alpha beta gamma {prose(900 + i, 9)}" for i in range(5))]
+
+
+def test_a_leaf_holds_many_templates(spark):
+    rows = list(enumerate(families()))
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    want = duckdb.sql(oracle.LINE_DEDUP).df().sort_values("doc_id")
+    got = templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))[0].toPandas().sort_values("doc_id")
+    assert got.values.tolist() == want[got.columns].values.tolist()
+    assert got.doc_id[got.n_dropped == 0].tolist() == [0, 10, 20, 30, 31, 32, 33, 34]  # the first of each family, and what is alone
+
+
 def test_boilerplate_goes_whatever_its_share(spark):
     """Without sparing by share: lines stay in their first holder and in whole copies of it alone."""
     a, b, c = (prose(500 + i, 40) for i in range(3))

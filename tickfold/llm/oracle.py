@@ -4,6 +4,29 @@ from __future__ import annotations
 
 from tickfold.llm import templates
 
+#: The tokens of ``templates.DEEPER``, from 1.
+DEEPER = (f"tokens[{templates.LEADING + 1}]", "tokens[-1]", "tokens[len(tokens) // 2 + 1]")
+
+
+def _levels() -> str:
+    """Per level of a leaf the seeds of its branches, the lines that join them, and the pool of lines left for the next."""
+    out = []
+    for k in range(len(DEEPER) + 1):
+        after = DEEPER[k] if k < len(DEEPER) else "''"
+        out.append(f"""seeds{k} AS (
+    SELECT leaf, place, first(mask ORDER BY docs DESC, mask) AS seed, first(tokens ORDER BY docs DESC, mask) AS seed_tokens
+    FROM pool{k} GROUP BY leaf, place
+), joined{k} AS MATERIALIZED (
+    SELECT leaf, mask, seed FROM pool{k} JOIN seeds{k} USING (leaf, place)
+    WHERE mask <> seed
+        AND len(list_filter(list_zip(tokens, seed_tokens), lambda p: p[1] = p[2])) >= {templates.AGREEMENT} * len(tokens)
+), pool{k + 1} AS MATERIALIZED (
+    SELECT leaf, mask, tokens, docs, {after} AS place
+    FROM pool{k} ANTI JOIN (SELECT leaf, mask FROM joined{k} UNION SELECT leaf, seed FROM joined{k}) USING (leaf, mask)
+),""")
+    return "\n".join(out)
+
+
 LINE_DEDUP = f"""
 WITH lines AS (
     SELECT doc_id, pos, tokens, len(tokens) AS n, array_to_string(tokens, ' ') AS mask,
@@ -18,14 +41,11 @@ WITH lines AS (
 ), worded AS (SELECT * FROM lines WHERE n > 0),
 masks AS (
     SELECT leaf, mask, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM worded GROUP BY leaf, mask
-), seeds AS (
-    SELECT leaf, first(mask ORDER BY docs DESC, mask) AS seed, first(tokens ORDER BY docs DESC, mask) AS seed_tokens
-    FROM masks GROUP BY leaf
-), mapped AS (
-    SELECT leaf, mask,
-        CASE WHEN len(list_filter(list_zip(tokens, seed_tokens), lambda p: p[1] = p[2])) >= {templates.AGREEMENT} * len(tokens)
-            THEN seed ELSE mask END AS template
-    FROM masks JOIN seeds USING (leaf)
+), pool0 AS (SELECT *, '' AS place FROM masks),
+{_levels()}
+mapped AS (
+    SELECT leaf, mask, coalesce(j.seed, mask) AS template
+    FROM masks LEFT JOIN ({" UNION ALL ".join(f"FROM joined{k}" for k in range(len(DEEPER) + 1))}) j USING (leaf, mask)
 ), grouped AS (SELECT * FROM worded JOIN mapped USING (leaf, mask)),
 recurring AS (
     SELECT leaf, template, min(doc_id) AS first FROM grouped GROUP BY leaf, template

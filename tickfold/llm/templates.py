@@ -2,8 +2,10 @@
 
 A line is parsed to a fixed depth: first by its number of tokens, then by its ``LEADING`` first tokens, where a token with a
 digit counts as the wildcard ``<*>``. That names a leaf. A leaf's most frequent line is its template; lines of the leaf that
-agree with it in at least ``AGREEMENT`` of all positions belong to it, their other positions being variable fields. A line
-that agrees less is a template of its own. A template that enough documents share recurs, and its lines are dropped from all
+agree with it in at least ``AGREEMENT`` of all positions belong to it, their other positions being variable fields. The lines
+that are left are parsed on, by one more token at a time (``DEEPER``): each branch of the leaf has its own most frequent line
+and lines that agree with it, so one leaf holds many templates. A line that joins none is a template of its own; families that
+differ in all the tokens read on stay apart. A template that enough documents share recurs, and its lines are dropped from all
 documents but the first (the smallest id).
 
 Lines go whatever their share of a document. Only a document with the whole text of an earlier one is a copy: it loses what
@@ -25,6 +27,8 @@ from tickfold.llm.common import BROADCAST_IDS, free_name, narrow_join, salted_jo
 #: Leading tokens that are levels of the tree.
 LEADING = 3
 AGREEMENT = 0.7
+#: Tokens (from 0) by which the lines left in a leaf are parsed on, one level after the other.
+DEEPER = (f"{LEADING}", "size(tokens) - 1", "size(tokens) div 2")
 #: Documents that make a template recur: few for long lines, which never meet by chance, more for short ones.
 LONG_TOKENS, LONG_DOCS, SHORT_DOCS = 20, 2, 8
 
@@ -64,13 +68,23 @@ def variants(rows: DataFrame, text: str, masks: DataFrame) -> DataFrame:
     asked = stage(masks.join(several, "leaf", "left_semi").select("leaf", "full", "docs", "at.row", "at.pos"), "template-asked")
     lines = narrow_join(_exploded(rows, text), asked, ["row", "pos"], "inner", asked.count())
     one = stage(lines.selectExpr("leaf", "full", "docs", f"{MASK} AS mask"), "template-variants")
+    pool = one.selectExpr("leaf", "full", "docs", "split(mask, ' ') AS tokens", "mask")
     # of equally frequent lines the first by text is the template
-    best = F.min_by(F.struct("full", "mask"), F.struct(-F.col("docs"), F.col("mask")))
-    seeds = one.groupBy("leaf").agg(best.alias("seed"))
-    both = salted_join(one.select("leaf", "full", "mask"), seeds, "leaf").filter("full <> seed.full")
-    both = both.selectExpr("leaf", "full", "seed.full AS template", "split(mask, ' ') AS a", "split(seed.mask, ' ') AS b")
-    equal = "size(filter(zip_with(a, b, (x, y) -> x = y), e -> e))"
-    return both.filter(f"{equal} >= {AGREEMENT} * size(a)").select("leaf", "full", "template")
+    best = F.min_by(F.struct("full", "tokens"), F.struct(-F.col("docs"), F.col("mask"))).alias("seed")
+    equal = "size(filter(zip_with(tokens, seed.tokens, (x, y) -> x = y), e -> e))"
+    found = None
+    for place in (None, *DEEPER):
+        branch = "leaf" if place is None else f"xxhash64(leaf, get(tokens, {place}))"
+        branched = pool.withColumn("branch", F.expr(branch))
+        seeds = branched.groupBy("branch").agg(best, F.count("*").alias("held")).filter("held > 1").drop("held")
+        both = salted_join(branched.drop("docs", "mask"), seeds, "branch").filter("full <> seed.full")
+        joined = both.filter(f"{equal} >= {AGREEMENT} * size(tokens)").selectExpr("leaf", "full", "seed.full AS template")
+        joined = stage(joined, "template-joined")
+        found = joined if found is None else found.union(joined)
+        # a template and its lines are done; a branch's most frequent line that nobody joined is parsed on with the others
+        done = stage(joined.select("leaf", "full").union(joined.select("leaf", "template")).distinct(), "template-done")
+        pool = stage(narrow_join(pool, done, ["leaf", "full"], "left_anti", done.count()), "template-left")
+    return found
 
 
 def copies(rows: DataFrame, text: str, doc_id: str) -> DataFrame:
