@@ -79,6 +79,22 @@ def test_several_blocks_find_the_same(spark, monkeypatch):
     assert decontam.contamination(docs, benchmark).orderBy("doc_id").collect() == whole
 
 
+def test_odd_rows_in_several_passes(spark, monkeypatch):
+    """Passes are put together by row: repeated and null ids stay apart, windows of two blocks may overlap in a text."""
+    items = [(i, t) for i, t in enumerate(("one two three", "two three four five", "no such words", "five", None, "", "three four"))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(1)
+    docs = odd(spark).unionByName(documents(spark, ["one two three four five six", "ONE two three", "three four"]), allowMissingColumns=True)
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 4)
+    assert len(decontam.blocks(benchmark, "item_id", "text", 3)) > 3
+    out = decontam.contamination(docs, benchmark, window=3).collect()
+    order = lambda r: (r.text or "", r.text is None, r.doc_id is None, r.doc_id or 0)
+    rows = sorted(docs.collect(), key=order)
+    assert len(out) == len(rows)
+    for row, text in zip(sorted(out, key=order), rows):
+        assert (row.n_words, row.n_hit, row.asDict()["items"]) == brute(text.text, items, 3)
+    assert decontam.contamination(empty(spark), benchmark, window=3).count() == 0
+
+
 def test_longest_matches_equal_brute_force(spark):
     draw = random.Random(9)
     items = [(i, " ".join(draw.choices("abc", k=9))) for i in range(6)]

@@ -5,8 +5,9 @@ sorted by prefix doubling, and all suffixes of the benchmark items are binary-se
 suffix, the longest verbatim match and its place, and per window of test words the range of all places where it occurs.
 Only suffixes that begin with enough words known to the benchmark can match, so only those are sorted.
 
-The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words, each broadcast by itself, however large the
-benchmark is. Documents are never shuffled.
+The benchmark's words are cut by Spark and written. They go to the tasks in blocks of at most ``BLOCK_WORDS`` words, one block
+and one broadcast at a time: a benchmark of one block takes one pass without a shuffle, a larger one a pass per block, whose
+hits are put together by row.
 
 Null texts have no words; a document or item without words has no hits. Items with equal ids count as one item; a null id
 is written as an empty one. Repeated documents are separate rows. Empty tables give an empty result, or no hits.
@@ -15,21 +16,22 @@ is written as an empty one. Repeated documents are separate rows. Empty tables g
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickfold.llm.common import chunks, extended, schema_of
+from tickfold.llm.common import chunks, extended, free_name, schema_of, stage, staged_rows
 
 #: Words of UTF-8 text in lower case: digits, a to z, and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
-#: Benchmark words in one broadcast (about 30 MB as numbers and text).
+#: Benchmark words in one broadcast (about 30 MB as numbers and text); an item of more is a block of its own.
 BLOCK_WORDS = 1_000_000
 BREAK = -1
 
@@ -65,19 +67,49 @@ def block_of(items: list[tuple[str, list[bytes]]], window: int) -> Block:
     return Block(vocabulary, [name for name, _ in items], *columns)
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, window: int) -> list[Broadcast]:
-    """The benchmark in broadcasts of at most ``BLOCK_WORDS`` words (one item at least)."""
-    context = benchmark.sparkSession.sparkContext
-    out, held, n = [], [], 0
+def blocks(benchmark: DataFrame, item_id: str, text: str, window: int) -> list[Callable[[], Broadcast]]:
+    """The benchmark in blocks of at most ``BLOCK_WORDS`` words (one item at least), each broadcast when it is called for.
+
+    Tasks cut the words and number pieces of that size; pieces that follow each other share a block while they fit. Only
+    their sizes, one per piece, come to the driver at once.
+    """
+    most = BLOCK_WORDS
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, held = TaskContext.get().partitionId() << 32, 0
+        for batch, texts in chunks(batches, "text"):
+            found = [words(t) for t in texts]
+            pieces = []
+            for own in found:
+                if held and held + len(own) > most:
+                    piece, held = piece + 1, 0
+                held += len(own)
+                pieces.append(piece)
+            new = {
+                "piece": pa.array(pieces, pa.int64()),
+                "n": pa.array([len(own) for own in found], pa.int64()),
+                "words": pa.array([b" ".join(own) for own in found], pa.binary()),
+            }
+            yield extended(batch, ["id"], new)
+
     rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(text).alias("text"))
-    for row in rows.toLocalIterator():  # one partition of the benchmark at a time
-        found = words(row["text"] or "")
-        if held and n + len(found) > BLOCK_WORDS:
-            out.append(context.broadcast(block_of(held, window)))
-            held, n = [], 0
-        held.append((row["id"], found))
-        n += len(found)
-    return [*out, context.broadcast(block_of(held, window))] if held else out
+    items = stage(rows.mapInArrow(step, "id string, piece long, n long, words binary"), "benchmark-pieces")
+    bounds: list[tuple[int, int]] = []
+    room = 0
+    for piece, n in items.groupBy("piece").agg(F.sum("n")).orderBy("piece").collect():
+        if bounds and n <= room:
+            bounds[-1] = (bounds[-1][0], piece)
+            room -= n
+        else:
+            bounds.append((piece, piece))
+            room = most - n
+    return [partial(_shared, items.filter(F.col("piece").between(*b)), window) for b in bounds]
+
+
+def _shared(items: DataFrame, window: int) -> Broadcast:
+    """The broadcast of one block's items."""
+    held = [(r["id"], bytes(r["words"]).split()) for r in items.select("id", "words").collect()]
+    return items.sparkSession.sparkContext.broadcast(block_of(held, window))
 
 
 def suffix_array(flat: np.ndarray, depth: int) -> np.ndarray:
@@ -165,6 +197,7 @@ class Marks(NamedTuple):
     words: np.ndarray  # of each document
     hit: np.ndarray  # of each document
     items: list[set[str]]
+    spans: list[list[tuple[int, int]]]  # hit words of each document, from and to
 
 
 def mark(found: list[list[bytes]], parts: list[Block]) -> Marks:
@@ -201,8 +234,49 @@ def mark(found: list[list[bytes]], parts: list[Block]) -> Marks:
         met = np.unique(np.repeat(np.arange(len(first)), high - low) + doc * len(first))
         for d, w in zip((met // len(first)).tolist(), (met % len(first)).tolist()):
             items[d].update(block.items[k] for k in held[1][begin[w] : begin[w + 1]].tolist())
-    covered = np.append(0, np.cumsum(np.cumsum(hit[:-1]) > 0))
-    return Marks(counts, covered[offsets[:-1] + counts] - covered[offsets[:-1]], items)
+    inside = np.cumsum(hit[:-1]) > 0
+    covered = np.append(0, np.cumsum(inside))
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))  # no window reaches over a text's end
+    spans: list[list[tuple[int, int]]] = [[] for _ in found]
+    for first, stop in edges.reshape(-1, 2).tolist():
+        d = int(np.searchsorted(offsets, first, side="right")) - 1
+        spans[d].append((first - int(offsets[d]), stop - int(offsets[d])))
+    return Marks(counts, covered[offsets[:-1] + counts] - covered[offsets[:-1]], items, spans)
+
+
+#: Words in the union of ``spans``.
+UNION = """aggregate(array_sort(spans), named_struct('upto', 0L, 'n', 0L), (x, s) -> named_struct(
+    'upto', greatest(x.upto, s.b), 'n', x.n + greatest(0L, s.b - greatest(s.a, x.upto))), x -> x.n)"""
+
+
+def _in_passes(rows: DataFrame, text: str, row: str, parts: list[Callable[[], Broadcast]]) -> DataFrame:
+    """(row, n_words, n_hit, items) of all rows, block by block: one block's hits are written before the next is broadcast."""
+    found = None
+    for k, part in enumerate(parts):
+        shared = part()
+
+        def step(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared, k: int = k) -> Iterator[pa.RecordBatch]:
+            spans_of = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+            for batch, texts in chunks(batches, text):
+                marks = mark([words(t) for t in texts], [shared.value])
+                spans = [[{"a": a, "b": b} for a, b in own] for own in marks.spans]
+                new = {
+                    "n_words": pa.array(marks.words),
+                    "spans": pa.array(spans, spans_of),
+                    "items": pa.array([sorted(s) for s in marks.items], pa.list_(pa.string())),
+                }
+                # the first pass names every row, later ones those that they hit
+                yield extended(batch, [row], new).filter(pa.array((marks.hit > 0) | (k == 0)))
+
+        hits = rows.select(row, text).mapInArrow(step, f"`{row}` long, n_words long, spans array<struct<a: long, b: long>>, items array<string>")
+        hits = stage(hits, "benchmark-hits")
+        shared.unpersist()
+        found = hits if found is None else found.union(hits)
+    # a row has as many parts as blocks at most, and its spans are within its words
+    whole = found.groupBy(row).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")
+    )
+    return whole.select(row, "n_words", F.expr(UNION).alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW) -> DataFrame:
@@ -212,7 +286,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """
     new = ("n_words", "n_hit", "items")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
-    shared = blocks(benchmark, item_id, item_text, window)
+    columns = list(dict.fromkeys([*keep, text]))
+    parts = blocks(benchmark, item_id, item_text, window)
+    if len(parts) > 1:
+        row = free_name(docs, "row_number")
+        rows = staged_rows(docs.select(*columns), row, "benchmark-rows")
+        return rows.select(row, *keep).join(_in_passes(rows, text, row, parts), row).select(*keep, *new)
+    shared = [part() for part in parts]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b.value for b in shared]
@@ -222,7 +302,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
             columns = (pa.array(marks.words), pa.array(marks.hit), pa.array(found, pa.list_(pa.string())))
             yield extended(batch, keep, dict(zip(new, columns)))
 
-    columns = list(dict.fromkeys([*keep, text]))
     return docs.select(*columns).mapInArrow(step, schema_of(docs, keep, "n_words long, n_hit long, items array<string>"))
 
 
@@ -240,19 +319,16 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", d
     Columns: item_id, item_word, length, doc_id, doc_word (word offsets from 0). Shards report their own best, which are
     then compared by a grouped maximum.
     """
-    shared = blocks(benchmark, item_id, item_text, least)
     kind = dict(docs.dtypes)[doc_id]
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b.value for b in shared]
+    def step(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+        block = shared.value
+        ask = np.flatnonzero(block.length >= least)
         for batch, texts in chunks(batches, text):
             found = [words(t) for t in texts]
             offsets = np.append(0, np.cumsum([len(w) + 1 for w in found]))
-            for block in parts:
-                ask = np.flatnonzero(block.length >= least)
-                shard = shard_of(found, block, least) if len(ask) else None
-                if shard is None:
-                    continue
+            shard = shard_of(found, block, least) if len(ask) else None
+            if shard is not None:
                 start, length = block.start[ask], block.length[ask]
                 low = search(shard.flat, shard.order, block.flat, start, length, False)
                 best, at = np.zeros(len(ask), np.int64), np.zeros(len(ask), np.int64)
@@ -277,6 +353,11 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", d
                     names=["item_id", "item_word", "length", "doc_id", "doc_word"],
                 )
 
-    found = docs.select(doc_id, text).mapInArrow(step, f"item_id string, item_word long, length long, doc_id {kind}, doc_word long")
+    schema = f"item_id string, item_word long, length long, doc_id {kind}, doc_word long"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for part in blocks(benchmark, item_id, item_text, least):
+        shared = part()
+        found = found.union(stage(docs.select(doc_id, text).mapInArrow(lambda b, shared=shared: step(b, shared), schema), "benchmark-longest"))
+        shared.unpersist()
     best = F.max(F.struct("length", "doc_id", "doc_word")).alias("best")
     return found.groupBy("item_id", "item_word").agg(best).select("item_id", "item_word", "best.*")
