@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -104,15 +106,25 @@ class _Search:
 def _bracketed(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
     """Narrows each interval by a sketch of the values it holds.
 
-    The sketch bounds both ranks from below and above by its guaranteed error; exact counts say whether a bound holds.
+    The sketch bounds both ranks from below and above by its guaranteed error; exact counts say whether a bound holds. Searches
+    of the same interval, as all of a column are at first, share one sketch.
     """
-    held = df.agg(*[F.count_if(s.inside()).alias(str(i)) for i, s in enumerate(searches)]).first()
+    shared: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        shared.setdefault((s.column, s.low, s.high), []).append(s)
+    held = df.agg(*[F.count_if(group[0].inside()).alias(str(i)) for i, group in enumerate(shared.values())]).first()
     probes = []
-    for i, s in enumerate(searches):
-        size = max(held[i], 1)
-        at = [max(0.0, (s.rank - s.below) / size - 2 / accuracy), min(1.0, (s.rank - s.below + 2) / size + 2 / accuracy)]
-        probes.append(F.percentile_approx(F.when(s.inside(), s.value()), at, accuracy).alias(str(i)))
-    bounds = [tuple(found) for found in df.agg(*probes).first()]
+    for i, group in enumerate(shared.values()):
+        size, at = max(held[i], 1), []
+        for s in group:
+            at += [max(0.0, (s.rank - s.below) / size - 2 / accuracy), min(1.0, (s.rank - s.below + 2) / size + 2 / accuracy)]
+        probes.append(F.percentile_approx(F.when(group[0].inside(), group[0].value()), at, accuracy).alias(str(i)))
+    sketched = {
+        (s.column, s.name): (found[2 * k], found[2 * k + 1])
+        for group, found in zip(shared.values(), df.agg(*probes).first())
+        for k, s in enumerate(group)
+    }
+    bounds = [sketched[s.column, s.name] for s in searches]
     counts = df.agg(
         *[
             F.struct(F.count_if(s.value() < F.lit(low)), F.count_if(s.value() <= F.lit(high))).alias(str(i))
@@ -126,12 +138,17 @@ def _bracketed(df: DataFrame, searches: list[_Search], accuracy: int) -> None:
             s.high = high
 
 
+def _near(df: DataFrame, searches: list[_Search]) -> DataFrame:
+    """The rows with a value in one of the intervals: a small part of the table once these are narrow."""
+    return df.filter(reduce(or_, [s.inside() for s in searches]))
+
+
 def _trimmed(df: DataFrame, searches: list[_Search]) -> list[int]:
     """Reads ranks off the ends of each interval or drops an end value, however frequent it is, so that every round gets on.
 
     Returns how many values each interval then holds, at most.
     """
-    found = df.agg(
+    found = _near(df, searches).agg(
         *[
             F.struct(
                 F.count_if(s.inside()),
@@ -197,7 +214,7 @@ def _quantiles(df: DataFrame, columns: Sequence[str], accuracy: int) -> list[tup
         sizes = _trimmed(df, due)
         small = [s for s, n in zip(due, sizes) if s.pair is None and n <= PICKED]
         if small:
-            lists = df.agg(*[F.sort_array(F.collect_list(F.when(s.inside(), s.value()))).alias(str(i)) for i, s in enumerate(small)])
+            lists = _near(df, small).agg(*[F.sort_array(F.collect_list(F.when(s.inside(), s.value()))).alias(str(i)) for i, s in enumerate(small)])
             for s, values in zip(small, lists.first()):
                 at = s.rank - s.below
                 s.pair = (values[at], values[at + 1] if s.part else 0.0)
