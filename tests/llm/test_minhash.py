@@ -42,6 +42,50 @@ def test_signatures_are_unbiased():
     assert np.mean(np.square(errors)) < 2 * np.mean(spread)
 
 
+def one_by_one(value, count, weight):
+    """A signature drawn point by point in plain Python."""
+    slots, best, limit = [0] * minhash.SLOTS, [np.inf] * minhash.SLOTS, 8.0 / weight
+    while np.inf in best:
+        best = [np.inf] * minhash.SLOTS
+        for v, c in zip(value, count):
+            low, high = 0, 1
+            while c > low:
+                seed = minhash.mix(np.array([v]) + np.uint64(int(minhash._A) * high & minhash.MASK))
+                time, step = 0.0, 0
+                while True:
+                    step += 1
+                    bits = minhash.mix(seed + np.uint64(int(minhash._C) * step & minhash.MASK))
+                    time -= np.log(minhash.uniform(bits))[0] / (minhash.SLOTS * (high - low))
+                    if time > limit:
+                        break
+                    mark = minhash.mix(bits)
+                    slot = int(mark[0] % np.uint64(minhash.SLOTS))
+                    level = low + 1 + int(minhash.mix(mark)[0] % np.uint64(high - low)) if high > 1 else 1
+                    if level <= c and time < best[slot]:
+                        best[slot], slots[slot] = time, int(mark[0])
+                low, high = high, high * 2
+        limit *= 2
+    return slots
+
+
+def test_signatures_are_those_of_single_points(monkeypatch):
+    texts = ["a", "one two three", "x " * 40, prose(1, 7), prose(2, 30) + " " + "again and again " * 9]
+    doc, value, count = minhash.shingles([minhash.words(t) for t in texts], minhash.WordHashes())
+    expected = [one_by_one(value[doc == i], count[doc == i].tolist(), int(count[doc == i].sum())) for i in range(len(texts))]
+    for points in (1, 50, minhash.POINTS):
+        monkeypatch.setattr(minhash, "POINTS", points)
+        assert minhash.signatures(doc, value, count, len(texts)).tolist() == expected
+
+
+def test_short_texts_take_few_turns(monkeypatch):
+    """A text of one shingle needs some 1,440 points: they are drawn side by side, not in a turn each."""
+    calls, mix = [], minhash.mix
+    doc, value, count = minhash.shingles([[w] for w in (b"a", b"b", b"c")], minhash.WordHashes())
+    monkeypatch.setattr(minhash, "mix", lambda x: calls.append(len(x)) or mix(x))
+    minhash.signatures(doc, value, count, 3)
+    assert len(calls) < 200
+
+
 def edited(text, seed, edits):
     draw, own = random.Random(seed), text.split()
     for _ in range(edits):

@@ -65,6 +65,8 @@ CELLS = 1 << 20
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 MASK = (1 << 64) - 1
+#: Points that a turn of the signatures draws at once, if it has fewer shingles.
+POINTS = 1 << 13
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -94,7 +96,9 @@ def shingles(texts: list[list[bytes]], cache: dict[bytes, int]) -> tuple[np.ndar
         at = np.minimum(start + j, max(n - 1, 0))
         value = np.where(j < width, mix(value * _A + flat[at] + np.uint64(j + 1)), value)
     doc, value = doc[begins], value[begins]
-    order = np.lexsort((value, doc))
+    order = np.argsort(value)
+    # a stable sort of small numbers is a pass or two
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(texts) <= 1 << 16 else np.int64), kind="stable")]
     doc, value = doc[order], value[order]
     if not len(doc):
         return doc, value, doc
@@ -134,23 +138,30 @@ def signatures(doc: np.ndarray, value: np.ndarray, count: np.ndarray, n: int) ->
             time = np.zeros(len(d))
             dd, cc, step = d, c, 0
             while len(dd):
-                step += 1
-                bits = mix(seed + np.uint64(int(_C) * step & MASK))
-                time = time - np.log(uniform(bits)) / rate
-                inside = time <= limit[dd]
-                dd, cc, seed, time, bits = dd[inside], cc[inside], seed[inside], time[inside], bits[inside]
-                if not len(dd):
-                    break
-                mark = mix(bits)
-                key, at = dd * SLOTS + (mark % np.uint64(SLOTS)).astype(np.int64), time
+                # short texts need many points of few shingles: a turn draws the next ones side by side, each in its order
+                wide = min(max(POINTS // len(dd), 1), 64)
+                steps = np.array([int(_C) * (step + i) & MASK for i in range(1, wide + 1)], np.uint64)
+                step += wide
+                bits = mix(seed[:, None] + steps)
+                gaps = np.log(uniform(bits))
+                gaps /= -rate
+                gaps[:, 0] += time
+                times = np.cumsum(gaps, 1)
+                inside = times <= limit[dd][:, None]
+                # a point of few: those beyond the limit are dropped, and a row with one draws no more
+                at, of = times[inside], np.nonzero(inside)[0]
+                mark = mix(bits[inside])
+                key = dd[of] * SLOTS + (mark % np.uint64(SLOTS)).astype(np.int64)
                 if high > 1:
                     # the level within the block: each bit of the rest halves it
                     level = low + 1 + (mix(mark) % np.uint64(high - low)).astype(np.int64)
-                    good = level <= cc
+                    good = level <= cc[of]
                     key, at, mark = key[good], at[good], mark[good]
                 np.minimum.at(first, key, at)
                 ahead = at == first[key]
                 winner[key[ahead]] = mark[ahead]
+                on = inside[:, -1]
+                dd, cc, seed, time = dd[on], cc[on], seed[on], times[on, -1]
             more = c > high
             d, v, c = d[more], v[more], c[more]
             low, high = high, high * 2
