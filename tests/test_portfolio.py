@@ -232,3 +232,31 @@ def test_every_rebalancing_date_has_a_status(spark):
 def test_numbers_that_are_none_are_refused():
     with pytest.raises(ValueError, match="finite"):
         pf._max_sharpe(np.array([0.1, np.nan]), np.eye(2))
+
+
+def test_panel_is_cut_to_picked_names_below_its_own_steps(spark):
+    """A basket's panel is filtered by name before it is spread over days, and gives the same prices as the whole."""
+    day = dt.date(2020, 1, 1)
+    first = spark.createDataFrame([(t, i, day, float(i)) for i, t in enumerate(["a", "b", "c", None])], "ticker string, simfinid long, date date, x double")
+    panel = first.selectExpr(
+        "ticker", "simfinid", "concat('n', simfinid) AS comp_name", "explode(sequence(date, date + 9)) AS date", "x AS open"
+    ).selectExpr("*", "sum(open) OVER (PARTITION BY ticker ORDER BY date) AS adj_close")
+    # a name that is not in the panel, one picked twice, one without a ticker
+    picks = spark.createDataFrame(
+        [("b", day + dt.timedelta(days=4)), ("b", day + dt.timedelta(days=7)), ("z", day), ("c", day), (None, day)], "ticker string, date date"
+    )
+    held = picks.selectExpr(
+        "date", "ticker", "1D AS weights", "date AS month_end_date", "date_add(date, 1) AS period_start_date", "date_add(date, 2) AS period_end_date"
+    )
+    for made in (
+        lambda rows: pf.basket_history(picks, panel, rows),
+        lambda rows: pf.ticker_vectors(picks, panel, rows),
+        lambda rows: pf.position_prices(held, panel, rows),
+    ):
+        listed, whole, beyond = made(10), made(None), made(pf.LISTED_ROWS + 1)
+        plan = listed._jdf.queryExecution().optimizedPlan().toString()
+        spread = plan.index("Generate explode(sequence(date")
+        assert " IN (" in plan[spread:] and " IN (" not in plan[:spread]
+        assert " IN (" not in beyond._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, listed.collect())) == sorted(map(str, whole.collect())) == sorted(map(str, beyond.collect()))
+        assert listed.count()
