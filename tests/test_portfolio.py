@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tickfold.operators import portfolio as pf
+from tickfold.plans import queries
 
 RNG = np.random.default_rng(7)
 
@@ -260,3 +261,17 @@ def test_panel_is_cut_to_picked_names_below_its_own_steps(spark):
         assert " IN (" not in beyond._jdf.queryExecution().optimizedPlan().toString()
         assert sorted(map(str, listed.collect())) == sorted(map(str, whole.collect())) == sorted(map(str, beyond.collect()))
         assert listed.count()
+
+
+def test_companies_of_names_not_picked_are_checked_too(spark, tmp_path):
+    rows = {
+        "supplier": ([(1, "one", 0), (2, "two", 0), (2, "two", 0)], "s_suppkey long, s_name string, s_nationkey int"),
+        "part": ([(7, 9.0)], "p_partkey long, p_retailprice double"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    line = "7L AS l_partkey, 1L AS l_suppkey, 2D AS l_quantity, 3D AS l_extendedprice, timestamp_ntz'2000-07-03' AS l_shipdate"
+    spark.range(1).selectExpr(*line.split(", ")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    picks = spark.createDataFrame([("S1", dt.date(2000, 7, 31))], "ticker string, date date")
+    with pytest.raises(Exception, match="companies: duplicate key"):
+        pf.basket_history(picks, queries._quotes(spark, str(tmp_path)), 10).collect()
