@@ -204,3 +204,24 @@ def test_entry_file_runs_alone():
     root = Path(__file__).resolve().parents[1]
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     assert int(out.stdout.split()[0]) >= 70
+
+
+def test_random_search_is_whole(spark, monkeypatch):
+    """The registered random search draws all its candidates from the full lists, and refits the best."""
+    from tickfold import config as c
+    from tickfold.operators import model
+    from tickfold.plans import queries
+
+    asked = {}
+
+    def search(prepared, candidates, learner, metric="rmse", parallelism=4, refit=True):
+        asked.update(candidates=candidates, metric=metric, refit=refit)
+        rows = [(i, 1, float(i), {k: float(v) for k, v in p.items()}, {}) for i, p in enumerate(candidates)]
+        return model.SearchResult(spark.createDataFrame(rows, model.RESULT), candidates[0], None)
+
+    monkeypatch.setattr(queries, "_prepared", lambda *_: None)
+    monkeypatch.setattr(queries.model, "search", search)
+    assert queries.QUERIES["search_random"](spark, SMALL).count() == c.COARSE_ITERATIONS == 1000
+    drawn = asked["candidates"]
+    assert {k: sorted({p[k] for p in drawn}) for k in drawn[0]} == {k: sorted(set(v)) for k, v in c.COARSE_GRID.items()}
+    assert asked["refit"] and asked["metric"] == "rmse"
