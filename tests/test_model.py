@@ -231,3 +231,12 @@ def test_forest_on_dummies(modeling):
     assert prepared.names == ("x", "z", "sector_A", "sector_B", "market_cap_cat_mid")
     found = model.search(prepared, [{"n_estimators": 3, "max_depth": 2}], model.random_forest, "mape", refit=False)
     assert found.model is None and found.results.count() == 2
+
+
+def test_a_refit_draws_its_bag(modeling):
+    prepared = model.prepare_search(modeling, "2020-09-01", FOLDS, FEATURES)
+    params = {**PARAMS, "bagging_fraction": 0.5, "random_state": 7}
+    got = model.refitted(prepared, params, model.boosted_trees).pipeline.stages[-1]
+    own = prepared.estimator(model.boosted_trees, params).fit(prepared.rows.filter(model.in_bag(7, 0.5)))
+    whole = prepared.estimator(model.boosted_trees, params).fit(prepared.rows)
+    assert got.toDebugString.split("\n", 1)[1] == own.toDebugString.split("\n", 1)[1] != whole.toDebugString.split("\n", 1)[1]

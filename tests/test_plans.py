@@ -225,3 +225,24 @@ def test_random_search_is_whole(spark, monkeypatch):
     drawn = asked["candidates"]
     assert {k: sorted({p[k] for p in drawn}) for k in drawn[0]} == {k: sorted(set(v)) for k, v in c.COARSE_GRID.items()}
     assert asked["refit"] and asked["metric"] == "rmse"
+
+
+def test_seed_test_is_whole(spark, monkeypatch):
+    """The registered seed test fits the chosen parameters under every seed, and refits the best one."""
+    from tickfold import config as c
+    from tickfold.plans import queries
+
+    asked, refits = [], []
+
+    def seed_stability(prepared, params, seed_list, learner=model.boosted_trees, metric="rmse", parallelism=4):
+        asked.append((params, len(set(seed_list))))
+        rows = [(i, 1, float(s != 6020), {**{k: float(v) for k, v in params.items()}, "random_state": float(s)}, {}) for i, s in enumerate(seed_list)]
+        return spark.createDataFrame(rows, model.RESULT)
+
+    monkeypatch.setattr(queries, "_prepared", lambda *_: None)
+    monkeypatch.setattr(queries.model, "seed_stability", seed_stability)
+    monkeypatch.setattr(queries.model, "refitted", lambda prepared, params, learner: refits.append(params))
+    assert queries.QUERIES["seed_stability"](spark, SMALL).count() == 200
+    (params, seeds), = asked
+    assert seeds == 200 and {k: params[k] for k in c.BEST_PARAMS} == c.BEST_PARAMS and params["bagging_fraction"] == 0.8
+    assert [p["random_state"] for p in refits] == [6020] and 6020 in model.seeds(200)
