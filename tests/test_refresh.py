@@ -70,3 +70,19 @@ def test_a_refresh_reads_no_old_rows(spark, dated, tmp_path):
     refresh.refreshed(state, new, schedule, S, keep)
     old = set(dated.inputFiles())
     assert read and not old & set(read)
+
+
+def test_no_daily_table_is_written(spark, dated):
+    """A first load writes a bounded number of rows a ticker beside its month ends, however long the history."""
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = stage(df, name)
+        return kept[name]
+
+    new = splits.slice_between(dated, S.start_date, "2001-10-01")
+    refresh.refreshed(None, new, plans.schedule(dated, S), S, keep)
+    most = {name: df.groupBy("ticker").count().agg(F.max("count")).first()[0] for name, df in kept.items()}
+    assert most["edges"] <= 30 and most["complete"] <= 247 + 80 and most["targets"] <= 80
+    assert sum(df.count() for df in kept.values()) < new.count() / 2
+    assert kept["complete"].filter("NOT _end AND market_cap IS NOT NULL").isEmpty()  # of other days only what lags read
